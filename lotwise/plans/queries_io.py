@@ -1,2 +1,391 @@
-"""Registered keys (filled in below)."""
+"""Keys for sources and sinks and the incremental load (2.12).
+
+Each writes what Spark derives from the driver tables into a fresh folder
+below the shared checkpoint directory, reads it back and returns the result,
+so the check covers the real write + read path.
+"""
 from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.text import split_features
+from ..operators.analysis import clean_for_analysis  # noqa: F401
+from ..operators.warehouse import incremental_load, read_warehouse, run_audit_row
+from ..schemas import LISTING_FIELDS, OVERVIEW_FIELDS, WAREHOUSE_TABLES, ddl
+from ..session import scratch_path
+from ..sources import files, jdbc, jsonio, kvtext, lake, web
+from . import oracle as O
+from .catalog import clean, listing, raw, register
+from .oracle import q, with_ctes
+
+
+def _scratch(spark: SparkSession, key: str) -> str:
+    return scratch_path(spark, f"{key}-{uuid.uuid4().hex[:12]}")
+
+
+def _written_records(s: SparkSession, d: str, key: str) -> str:
+    """raw listing -> 'Key: value' record text, bulk layout (RS-separated)."""
+    r = raw(s, d)
+    out = _scratch(s, key)
+    r.select(kvtext.render_kv(r).alias("value")).write.option("lineSep", kvtext.RECORD_SEP).text(out)
+    return out
+
+
+# ---------------------------------------------------------------------------
+# key/value text
+# ---------------------------------------------------------------------------
+@register("read_kv_text", with_ctes(["raw_listing"], "SELECT " + ", ".join(
+    f"{O.py_strip(q(c))} AS {q(c)}" for c in LISTING_FIELDS) + " FROM raw_listing"))
+def _read_kv_text(s, d):
+    path = _written_records(s, d, "kv")
+    recs = kvtext.read_kv_text(s, path, record_sep=kvtext.RECORD_SEP)
+    return kvtext.kv_to_fields(recs).select(*LISTING_FIELDS)
+
+
+_FEATS = "list_filter(list_transform(string_split({0}, ';'), lambda x: trim(x)), lambda x: x <> '')"
+
+
+@register("kv_to_nested", with_ctes(["raw_listing"], f"""
+SELECT coalesce({O.py_strip('"Title"')}, 'No Title') AS title,
+  coalesce({O.py_strip('"Cash Price"')}, 'N/A') AS cash_price,
+  coalesce({O.py_strip('"Finance Price"')}, 'N/A') AS finance_price,
+  coalesce({O.py_strip('"Finance Details"')}, 'N/A') AS finance_details,
+  ({' + '.join(f'CASE WHEN {q(c)} IS NULL THEN 0 ELSE 1 END' for c in OVERVIEW_FIELDS)}) AS n_overview,
+  coalesce(array_to_string({_FEATS.format(O.py_strip(q('Features')))}, '|'), '') AS features
+FROM raw_listing"""))
+def _kv_to_nested(s, d):
+    recs = kvtext.read_kv_text(s, _written_records(s, d, "nested"), record_sep=kvtext.RECORD_SEP)
+    n = kvtext.kv_to_nested(recs)
+    return n.select("title", "price_info.cash_price", "price_info.finance_price", "price_info.finance_details",
+                    F.size(F.map_keys("overview")).alias("n_overview"),
+                    F.array_join("features", "|").alias("features"))
+
+
+SIDECAR_TIME = "concat('2024-01-', lpad(CAST(idx AS VARCHAR), 2, '0'), ' 08:00:00')"
+
+
+@register("attach_sidecar", with_ctes(["raw_listing"], f"""
+SELECT r."VIN", r.page, r.idx, m.crawl_time, m.crawl_time IS NOT NULL AS has_meta
+FROM raw_listing r LEFT JOIN (SELECT DISTINCT page, idx, {SIDECAR_TIME} AS crawl_time FROM raw_listing
+                              WHERE idx <= 6) m ON r.page = m.page AND r.idx = m.idx"""))
+def _attach_sidecar(s, d):
+    """Sidecars exist for line numbers 1-6 only; they join on (page, index)."""
+    r = raw(s, d)
+    out = _scratch(s, "sidecar")
+    side = (r.filter(F.col("idx") <= 6).select("page", "idx").distinct()
+             .select(F.concat(F.lit("2024-01-"), F.lpad(F.col("idx").cast("string"), 2, "0"), F.lit(" 08:00:00"))
+                     .alias("crawl_time"), F.col("page"), F.col("idx").alias("index")))
+    side.write.json(out)
+    meta = s.read.schema("crawl_time string, page int, index int").json(out)
+    j = r.join(meta, (r.page == meta.page) & (r.idx == meta.index), "left")
+    return j.select(r.VIN, r.page, r.idx, meta.crawl_time, meta.crawl_time.isNotNull().alias("has_meta"))
+
+
+@register("write_json_by_page", with_ctes(["raw_listing"], "SELECT page, count(*) AS n FROM raw_listing GROUP BY page"))
+def _write_json_by_page(s, d):
+    out = _scratch(s, "bypage")
+    kvtext.write_json_by_page(raw(s, d), out)
+    back = s.read.schema(", ".join(f"`{c}` string" for c in LISTING_FIELDS) + ", idx int, page int").json(out)
+    return back.groupBy("page").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("conversion_summary", with_ctes(["raw_listing"], "SELECT count(*) AS converted_files_count FROM raw_listing"))
+def _conversion_summary(s, d):
+    return kvtext.conversion_summary(raw(s, d)).select("converted_files_count")
+
+
+# ---------------------------------------------------------------------------
+# lake
+# ---------------------------------------------------------------------------
+@register("stamp_lake_metadata", with_ctes(["raw_listing"], "SELECT \"VIN\", 'crawler' AS data_source, "
+                                           "'1.0' AS data_version, 'lake_loader' AS processing_pipeline, "
+                                           "'hdfs' AS storage_system FROM raw_listing"))
+def _stamp(s, d):
+    st = lake.stamp_lake_metadata(raw(s, d))
+    return st.select("VIN", "datalake_metadata.data_source", "datalake_metadata.data_version",
+                     "datalake_metadata.processing_pipeline", "datalake_metadata.storage_system")
+
+
+@register("write_lake", with_ctes(["raw_listing"], "SELECT page, count(*) AS n, true AS dated FROM raw_listing "
+                                  "GROUP BY page"))
+def _write_lake(s, d):
+    base = _scratch(s, "lake")
+    lake.write_lake(lake.stamp_lake_metadata(raw(s, d)), base, fmt="parquet")
+    back = lake.read_lake(s, base, fmt="parquet")
+    return back.groupBy("page").agg(F.count(F.lit(1)).alias("n"),
+                                    F.bool_and(F.col("load_date").isNotNull()).alias("dated"))
+
+
+@register("load_manifest", with_ctes(["raw_listing"], "SELECT count(*) AS rows, true AS has_files FROM raw_listing"))
+def _load_manifest(s, d):
+    base = _scratch(s, "manifest")
+    lake.write_lake(raw(s, d), base, fmt="parquet")
+    m = lake.load_manifest(s, base, source_directory="raw_listing", fmt="parquet")
+    return m.select("rows", (F.col("loaded_files_count") > 0).alias("has_files"))
+
+
+@register("write_with_fallback", with_ctes(["raw_listing"], "SELECT 'local_fallback' AS storage_type, "
+                                           "count(*) AS rows FROM raw_listing"))
+def _write_with_fallback(s, d):
+    root = _scratch(s, "fallback")
+    primary = "unreachable-lake://namenode/listings"  # primary storage down: no file system answers
+    status = lake.write_with_fallback(lake.stamp_lake_metadata(raw(s, d)), primary, f"{root}/fallback",
+                                      writer=lambda df, p: lake.write_lake(df, p, fmt="parquet"))
+    target = status.first()["target"]
+    back = s.read.parquet(target)
+    return back.groupBy(F.col("datalake_metadata.storage_system").alias("storage_type")).agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
+@register("archive_snapshot", with_ctes(["raw_listing"], "SELECT count(*) AS rows FROM raw_listing"))
+def _archive(s, d):
+    target = lake.archive_snapshot(raw(s, d), _scratch(s, "archive"), fmt="parquet")
+    return s.read.parquet(target).agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ---------------------------------------------------------------------------
+# JSON / CSV
+# ---------------------------------------------------------------------------
+@register("read_listing_json", with_ctes(["raw_listing"], "SELECT " + ", ".join(q(c) for c in LISTING_FIELDS)
+                                         + " FROM raw_listing"))
+def _read_listing_json(s, d):
+    out = _scratch(s, "json")
+    raw(s, d).select(*LISTING_FIELDS).write.json(out)
+    return jsonio.read_listing_json(s, out, multiline=False).select(*LISTING_FIELDS)
+
+
+@register("first_nonempty_source", with_ctes(["raw_listing"], "SELECT count(*) AS rows FROM raw_listing"))
+def _first_nonempty(s, d):
+    root = _scratch(s, "candidates")
+    s.createDataFrame([], "Title string").write.json(f"{root}/empty")
+    raw(s, d).select(*LISTING_FIELDS).write.json(f"{root}/full")
+    chosen = jsonio.first_nonempty_source(s, [f"{root}/missing", f"{root}/empty", f"{root}/full"],
+                                          lambda sp, p: jsonio.read_listing_json(sp, p, multiline=False))
+    return jsonio.read_listing_json(s, chosen, multiline=False).agg(F.count(F.lit(1)).alias("rows"))
+
+
+CLEAN_FIELDS = [
+    ("Year of Manufacture", "double"), ("Car Make", "string"), ("Car Full Title", "string"),
+    ("Cash Price (USD)", "double"), ("VIN", "string"), ("Mileage", "double"), ("Fuel Type", "string"),
+    ("MPG", "string"), ("Exterior", "string"), ("Interior", "string"), ("Transmission", "string"),
+    ("Engine", "string"), ("Location", "string"), ("Listed Since", "string"), ("Stock Number", "string"),
+    ("Features", "string"), ("Drivetrain", "string"), ("Financing Support", "string"), ("City MPG", "double"),
+    ("Highway MPG", "double"), ("Price Category", "string")]
+CLEAN_SCHEMA = ", ".join(f"`{n}` {t}" for n, t in CLEAN_FIELDS)
+
+
+_CSV_SQL = with_ctes(["clean_listing"], "SELECT " + ", ".join(
+    f"nullif({q(n)}, '') AS {q(n)}" if t == "string" else q(n) for n, t in CLEAN_FIELDS) + " FROM clean_listing")
+
+
+@register("write_csv", _CSV_SQL)
+def _write_csv(s, d):
+    """CSV round trip: an empty string comes back as NULL (as any CSV reader sees it)."""
+    out = _scratch(s, "csv")
+    files.write_csv(clean(s, d).select(*[F.col(f"`{n}`") for n, _ in CLEAN_FIELDS]), out)
+    return files.read_csv(s, out, CLEAN_SCHEMA)
+
+
+register("read_csv", _CSV_SQL)(_write_csv)
+
+
+# ---------------------------------------------------------------------------
+# JDBC (embedded Derby in a scratch folder: no server, no port)
+# ---------------------------------------------------------------------------
+def _derby(s: SparkSession, key: str) -> tuple[str, dict]:
+    return (f"jdbc:derby:{_scratch(s, key)}/db;create=true",
+            {"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
+
+
+def _car_info(s, d) -> DataFrame:
+    return read_warehouse_from_listing(s, d)["car_info"]
+
+
+def read_warehouse_from_listing(s, d):
+    from ..operators.warehouse import vertical_split
+    return vertical_split(listing(s, d))
+
+
+@register("append_jdbc", with_ctes(["car_info"], "SELECT count(*) AS rows, count(DISTINCT \"VIN\") AS keys FROM car_info"))
+def _append_jdbc(s, d):
+    url, props = _derby(s, "jdbc_append")
+    jdbc.append_jdbc(_car_info(s, d), url, "Car_Info", props)
+    back = s.read.jdbc(url, '"Car_Info"', properties=props)
+    return back.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("VIN").alias("keys"))
+
+
+@register("read_jdbc_subquery", with_ctes(["car_info"], 'SELECT "VIN" FROM car_info'))
+def _read_jdbc_subquery(s, d):
+    url, props = _derby(s, "jdbc_read")
+    jdbc.append_jdbc(_car_info(s, d), url, "Car_Info", props)
+    missing = jdbc.read_jdbc_subquery(s, url, 'SELECT "VIN" FROM "No_Such_Table"', props, "VIN string")
+    keys = jdbc.read_jdbc_subquery(s, url, 'SELECT "VIN" FROM "Car_Info"', props, "VIN string")
+    return keys.unionByName(missing)
+
+
+@register("ensure_tables")
+def _ensure_tables(s, d):
+    url, props = _derby(s, "jdbc_ensure")
+    first = jdbc.ensure_tables_jdbc(s, url, props)
+    second = jdbc.ensure_tables_jdbc(s, url, props)
+    n = _car_info(s, d).count()
+    return s.createDataFrame([(t, 1) for t in first] + [(t, 2) for t in second] + [("car_info_rows", n)],
+                             "table string, run long")
+
+
+@register("list_tables")
+def _list_tables(s, d):
+    _car_info(s, d).createOrReplaceTempView("Car_Info")
+    return jdbc.list_tables(s)
+
+
+@register("describe_table")
+def _describe_table(s, d):
+    return jdbc.describe_table(_car_info(s, d))
+
+
+@register("resolve_table_alias")
+def _resolve_alias(s, d):
+    read_warehouse_from_listing(s, d)["other_detail"].createOrReplaceTempView("Other_Details")
+    name = jdbc.resolve_table_alias(s, ["Other_Detail", "Other_Details"])
+    return s.table(name).agg(F.count(F.lit(1)).alias("rows")).withColumn("resolved", F.lit(name))
+
+
+@register("copy_tables", with_ctes(["car_info", "evaluate"], "SELECT 'Car_Info' AS \"table\", count(*) AS rows, 'ok' AS "
+                                   "status FROM car_info UNION ALL SELECT 'Evaluate', count(*), 'ok' FROM evaluate "
+                                   "UNION ALL SELECT 'Missing_Table', NULL, 'error: AnalysisException'"))
+def _copy_tables(s, d):
+    src_url, props = _derby(s, "copy_src")
+    dst_url, _ = _derby(s, "copy_dst")
+    t = read_warehouse_from_listing(s, d)
+    jdbc.append_jdbc(t["car_info"], src_url, "Car_Info", props)
+    jdbc.append_jdbc(t["evaluate"], src_url, "Evaluate", props)
+    reader = jdbc.jdbc_reader(s, src_url, props)
+    writer = jdbc.jdbc_writer(dst_url, props)
+    rep = jdbc.copy_tables(s, ["Car_Info", "Evaluate", "Missing_Table"], reader, writer)
+    return rep.withColumn("status", F.when(F.col("status").startswith("error"),
+                                           F.lit("error: AnalysisException")).otherwise(F.col("status")))
+
+
+# ---------------------------------------------------------------------------
+# web pages
+# ---------------------------------------------------------------------------
+@register("listing_links", """
+SELECT page_id, i - 1 AS pos, links[i] AS href
+FROM (SELECT page_id, regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1) AS links FROM pages) p,
+     LATERAL (SELECT unnest(generate_series(1, len(links))) AS i)
+WHERE i - 1 < 30""")
+def _listing_links(s, d):
+    return web.listing_links(s.read.parquet(f"{d}/pages.parquet"), attr=None, cap=30)
+
+
+def _html_text_sql(c):
+    t = f"regexp_replace({c}, '<[^>]+>', '', 'g')"
+    for ent, ch in web.ENTITIES:
+        t = f"replace({t}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
+    return O.py_strip(t)
+
+
+def _grab(pat):
+    return f"nullif(regexp_extract(html, '{pat}', 1), '')"
+
+
+@register("page_title_fallback", "SELECT page_id, coalesce(" + _html_text_sql(
+    "coalesce(" + _grab('(?s)<h1[^>]*' + web.TITLE_ATTR + '[^>]*>(.*?)</h1>') + ", "
+    + _grab('(?s)<div[^>]*' + web.TITLE_ATTR + '[^>]*>(.*?)</div>') + ", "
+    + _grab("(?s)<h1[^>]*>(.*?)</h1>") + ")") + ", 'No Title') AS title FROM pages")
+def _page_title(s, d):
+    return web.page_title_fallback(s.read.parquet(f"{d}/pages.parquet"))
+
+
+ITEM_SQL = ("list_filter([" + ", ".join([
+    "'Exterior: ' || \"Exterior\"", "'Interior: ' || \"Interior\"", '"Mileage"', "'Fuel Type: ' || \"Fuel Type\"",
+    '"MPG"', '"Transmission"', '"Drivetrain"', '"Engine"', "'Listed ' || \"Listed Since\"", "'VIN: ' || \"VIN\"",
+    "'Stock Number: ' || \"Stock Number\"", "\"Location\" || ' (' || CAST(idx AS VARCHAR) || ' miles away)'"])
+    + "], lambda x: x IS NOT NULL)")
+
+
+def _items(r: DataFrame):
+    c = lambda n: F.col(f"`{n}`")
+    its = [F.concat(F.lit("Exterior: "), c("Exterior")), F.concat(F.lit("Interior: "), c("Interior")), c("Mileage"),
+           F.concat(F.lit("Fuel Type: "), c("Fuel Type")), c("MPG"), c("Transmission"), c("Drivetrain"), c("Engine"),
+           F.concat(F.lit("Listed "), c("Listed Since")), F.concat(F.lit("VIN: "), c("VIN")),
+           F.concat(F.lit("Stock Number: "), c("Stock Number")),
+           F.concat(c("Location"), F.lit(" ("), c("idx").cast("string"), F.lit(" miles away)"))]
+    return F.filter(F.array(*its), lambda x: x.isNotNull())
+
+
+def _rule_sql(field: str) -> str:
+    x = "x"
+    strip = O.py_strip
+
+    def after(p):
+        return strip(f"replace({x}, '{p}', '')")
+    rules = [
+        (f"starts_with({x}, 'Exterior:')", "Exterior", after("Exterior:")),
+        (f"starts_with({x}, 'Interior:')", "Interior", after("Interior:")),
+        (f"contains({x}, 'miles') AND NOT contains({x}, 'miles away')", "Mileage", strip(x)),
+        (f"starts_with({x}, 'Fuel Type:')", "Fuel Type", after("Fuel Type:")),
+        (f"contains({x}, 'city /')", "MPG", strip(x)),
+        (f"contains({x}, 'Transmission')", "Transmission", strip(x)),
+        (f"{x} IN ('AWD', '4WD', 'FWD', 'RWD')", "Drivetrain", x),
+        (f"contains({x}, 'L') AND contains({x}, 'Gas')", "Engine", strip(x)),
+        (f"starts_with({x}, 'Listed')", "Listed Since", after("Listed")),
+        (f"starts_with({x}, 'VIN:')", "VIN", after("VIN:")),
+        (f"starts_with({x}, 'Stock Number:')", "Stock Number", after("Stock Number:")),
+        (f"contains({x}, 'miles away')", "Location", strip(f"split_part({x}, '(', 1)")),
+    ]
+    fcase = "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for c, n, _ in rules) + " END"
+    vcase = "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, _, v in rules) + " END"
+    hits = f"list_filter(list_transform(items, lambda x: {{'f': {fcase}, 'v': {vcase}}}), lambda s: s.f = '{field}')"
+    return f"CASE WHEN len({hits}) > 0 THEN {hits}[-1].v ELSE 'N/A' END AS {q(field)}"
+
+
+@register("overview_classify", with_ctes(["raw_listing"], "SELECT " + ", ".join(_rule_sql(f) for f in OVERVIEW_FIELDS)
+                                         + f" FROM (SELECT {ITEM_SQL} AS items FROM raw_listing)"))
+def _overview_classify(s, d):
+    r = raw(s, d)
+    return web.overview_classify(r.select(_items(r).alias("items")))
+
+
+# ---------------------------------------------------------------------------
+# incremental load, audit, marker
+# ---------------------------------------------------------------------------
+_LOAD_TABLES = ["car_info", "engine_info", "evaluate", "in_exterior", "installment_info", "other_detail",
+                "transformed_cars"]
+
+
+@register("incremental_load", with_ctes(["listing"], " UNION ALL ".join(
+    f"SELECT 1 AS run, '{t}' AS \"table\", count(DISTINCT \"VIN\") AS rows_added FROM listing" for t in _LOAD_TABLES)
+    + " UNION ALL " + " UNION ALL ".join(f"SELECT 2, '{t}', 0" for t in _LOAD_TABLES)))
+def _incremental_load(s, d):
+    """Load the transformed listings twice into a fresh warehouse; the second
+    run must add nothing (idempotent by key)."""
+    root = _scratch(s, "warehouse")
+    lst = listing(s, d)
+    first = incremental_load(s, lst, root, run_id=1)
+    second = incremental_load(s, lst, root, run_id=2)
+    return (first.select(F.lit(1).alias("run"), "*")
+            .unionByName(second.select(F.lit(2).alias("run"), "*"))
+            .withColumnRenamed("rows_added", "rows_added"))
+
+
+@register("run_audit")
+def _run_audit(s, d):
+    root = _scratch(s, "audit")
+    incremental_load(s, listing(s, d), root, run_id=7, user="tester")
+    return s.read.parquet(f"{root}/etl_log")
+
+
+@register("run_marker")
+def _run_marker(s, d):
+    root = _scratch(s, "marker")
+    n = read_warehouse_from_listing(s, d)["car_info"].count()
+    run_audit_row(s, 9, n, "SUCCESS", "tester", kind="marker").write.mode("append").parquet(f"{root}/etl_log")
+    return s.read.parquet(f"{root}/etl_log")
+
+
+__all__ = ["WAREHOUSE_TABLES", "ddl", "read_warehouse", "split_features"]
