@@ -1,2 +1,155 @@
-"""Registered keys (filled in below)."""
+"""Keys for the model block."""
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import encode as E
+from ..operators import model as M
+from ..operators.knn import knn_join
+from ..operators.selltime import remaining_quantile, sell_probability, weibull_scale, weibull_shape
+from ..session import cut_lineage
+from .catalog import analysis, clean, register
+from .oracle import q, with_ctes
+
+KNN_K = 10
+
+KNN_SQL = f"""
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+pairs AS (SELECT a.vec_id AS qid, b.vec_id AS nid, list_distance(a.v, b.v) AS dist FROM e a, e b)
+SELECT qid, nid, dist, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, nid) AS rank FROM pairs) WHERE rank <= {KNN_K}"""
+
+
+@register("knn_join", KNN_SQL)
+def _knn_join(s, d):
+    emb = s.read.parquet(f"{d}/embeddings.parquet")
+    dim = len(emb.select("embedding").first()[0])  # one row: the vector width
+    v = emb.select("vec_id", F.col("embedding").cast("array<double>").alias("vec"))
+    return knn_join(v.withColumnRenamed("vec_id", "qid"), v.withColumnRenamed("vec_id", "nid"), KNN_K, dim)
+
+
+def _model_src():
+    return 'SELECT * FROM analysis WHERE "VIN" IS NOT NULL'
+
+
+def _codes_sql() -> str:
+    cols = ", ".join(f"CASE WHEN {q(c)} IS NULL THEN NULL ELSE dense_rank() OVER (PARTITION BY {q(c)} IS NULL "
+                     f"ORDER BY {q(c)}) - 1 END AS {q(c)}" for c in M.CATEGORICAL)
+    return with_ctes(["analysis"], f'SELECT "VIN", {cols} FROM src', [("src", _model_src())])
+
+
+@register("label_encode", _codes_sql())
+def _label_encode(s, d):
+    a = analysis(s, d).filter(F.col("VIN").isNotNull()).select("VIN", *[F.col(f"`{c}`") for c in M.CATEGORICAL])
+    return E.label_encode(cut_lineage(a), M.CATEGORICAL)
+
+
+FILLED = ["City MPG", "Highway MPG", "Listed Days"]
+
+
+@register("fill_median", with_ctes(["analysis"], 'SELECT "VIN", ' + ", ".join(
+    f"coalesce({q(c)}, (SELECT quantile_cont({q(c)}, 0.5) FROM src)) AS {q(c)}" for c in FILLED) + " FROM src",
+    [("src", _model_src())]))
+def _fill_median(s, d):
+    a = analysis(s, d).filter(F.col("VIN").isNotNull()).select("VIN", *[F.col(f"`{c}`") for c in FILLED])
+    return E.fill_median(a, FILLED)
+
+
+@register("scale_numeric", with_ctes(["analysis"], 'SELECT "VIN", ' + ", ".join(
+    f"CASE WHEN stddev_pop({q(c)}) OVER () > 0 THEN ({q(c)} - avg({q(c)}) OVER ()) / stddev_pop({q(c)}) OVER () "
+    f"ELSE 0.0 END AS {q(c)}" for c in M.NUMERIC) + " FROM src", [("src", _model_src())]))
+def _scale_numeric(s, d):
+    a = analysis(s, d).filter(F.col("VIN").isNotNull()).select("VIN", *[F.col(f"`{c}`") for c in M.NUMERIC])
+    return E.scale_numeric(a, M.NUMERIC)
+
+
+@register("impute_mode", with_ctes(["analysis"], 'SELECT "VIN", ' + ", ".join(
+    f"coalesce({q(c)}, (SELECT v FROM (SELECT {q(c)} AS v, count(*) AS n FROM src WHERE {q(c)} IS NOT NULL "
+    f"GROUP BY 1 ORDER BY n DESC, v LIMIT 1))) AS {q(c)}" for c in M.CATEGORICAL) + " FROM src",
+    [("src", _model_src())]))
+def _impute_mode(s, d):
+    a = analysis(s, d).filter(F.col("VIN").isNotNull()).select("VIN", *[F.col(f"`{c}`") for c in M.CATEGORICAL])
+    return E.impute_mode(a, M.CATEGORICAL)
+
+
+@register("one_hot")
+def _one_hot(s, d):
+    base = M.model_frame(analysis(s, d))
+    out, names = E.one_hot(base, "Fuel Type", prefix="fuel#")
+    return out.select("VIN", F.aggregate(F.array(*[F.col(f"`{n}`") for n in names]), F.lit(0.0),
+                                         lambda a, b: a + b).alias("hot_count"))
+
+
+@register("truncated_svd")
+def _truncated_svd(s, d):
+    base = M.model_frame(analysis(s, d))
+    vecs, _ = M.feature_vectors(base, with_time=True)
+    return M.truncated_svd(vecs, "vec", 15).select("VIN", "svd")
+
+
+@register("kmeans_cluster")
+def _kmeans(s, d):
+    return M.clusters(M.model_frame(analysis(s, d)))
+
+
+@register("cluster_stats")
+def _cluster_stats(s, d):
+    return M.cluster_stats(M.clusters(M.model_frame(analysis(s, d))))
+
+
+@register("cluster_stats_lookup")
+def _cluster_stats_lookup(s, d):
+    cl = M.clusters(M.model_frame(analysis(s, d)))
+    return M.cluster_stats_lookup(cl, M.cluster_stats(cl))
+
+
+@register("score_all")
+def _score_all(s, d):
+    return M.score_all(analysis(s, d))
+
+
+@register("weibull_fit")
+def _weibull_fit(s, d):
+    return _score_all(s, d).select("VIN", "weibull_shape", "weibull_scale")
+
+
+@register("sell_probability")
+def _sell_probability(s, d):
+    return _score_all(s, d).select("VIN", "current_listing_days", "probability_sold_30days")
+
+
+@register("sell_quantiles")
+def _sell_quantiles(s, d):
+    return _score_all(s, d).select("VIN", "days_to_sell_25p", "days_to_sell_median", "days_to_sell_75p")
+
+
+@register("sell_fallback")
+def _sell_fallback(s, d):
+    return _score_all(s, d).filter(F.col("weibull_shape").isNull()).select(
+        "VIN", "probability_sold_30days", "days_to_sell_median", "similar_cars_median_days")
+
+
+@register("expected_days")
+def _expected_days(s, d):
+    return _score_all(s, d).select("VIN", "expected_days_to_sell", "total_expected_days")
+
+
+@register("cluster_outcome_stats")
+def _cluster_outcome_stats(s, d):
+    a = analysis(s, d)
+    return M.cluster_outcome_stats(M.score_all(a), M.model_frame(a))
+
+
+@register("combine_predictions")
+def _combine_predictions(s, d):
+    return M.combine_predictions(clean(s, d), M.score_all(analysis(s, d)))
+
+
+@register("score_new")
+def _score_new(s, d):
+    """Score the analysis listings as if new (Listed Days 0) against the catalogue."""
+    a = analysis(s, d)
+    return M.score_new(a, a)
+
+
+__all__ = ["remaining_quantile", "sell_probability", "weibull_scale", "weibull_shape"]
