@@ -68,3 +68,4 @@ from . import queries_core  # noqa: E402,F401
 from . import queries_analytics  # noqa: E402,F401
 from . import queries_io  # noqa: E402,F401
 from . import queries_model  # noqa: E402,F401
+from . import queries_stream  # noqa: E402,F401
