@@ -9,13 +9,17 @@ def dedup_by_key(df: DataFrame, key: str = "VIN") -> DataFrame:
     """One row per key value (NULL is one group, as in ``dropDuplicates``).
 
     The survivor is the row whose remaining columns, compared left to right
-    (NULL first), are smallest, so reruns and both engines agree. Written as
+    (NULL last, so the more complete copy wins), are smallest, so reruns and
+    both engines agree. Written as
     ``groupBy().agg(min(struct))`` so the partial aggregate collapses a hot
     key on the map side before the shuffle: a key holding a third of all rows
     costs one row per map partition, not one huge sort group.
     """
     others = [c for c in df.columns if c != key]
-    packed = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)])
+    fields = []
+    for i, c in enumerate(others):  # (is NULL, value) pairs order NULLs after values
+        fields += [F.col(f"`{c}`").isNull().alias(f"n{i}"), F.col(f"`{c}`").alias(f"c{i}")]
+    packed = F.struct(*fields)
     agg = df.groupBy(F.col(f"`{key}`")).agg(F.min(packed).alias("__row"))
     return agg.select([F.col(f"`{key}`") if c == key else F.col(f"__row.c{others.index(c)}").alias(c)
                        for c in df.columns])

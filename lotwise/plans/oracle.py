@@ -114,8 +114,8 @@ def raw_listing_cte() -> str:
 
 
 def dedup_sql(src: str, key: str, columns: list[str]) -> str:
-    """Same survivor as ``dedup_by_key``: smallest remaining columns, NULL first."""
-    order = ", ".join(f"{q(c)} ASC NULLS FIRST" for c in columns if c != key)
+    """Same survivor as ``dedup_by_key``: smallest remaining columns, NULL last."""
+    order = ", ".join(f"{q(c)} ASC NULLS LAST" for c in columns if c != key)
     return (f"SELECT * EXCLUDE (__rn) FROM (SELECT *, row_number() OVER (PARTITION BY {q(key)} "
             f"ORDER BY {order}) AS __rn FROM {src}) WHERE __rn = 1")
 

@@ -22,9 +22,10 @@ def read_kv_text(spark: SparkSession, path: str, record_sep: str | None = None)
     """
     r = spark.read.option("recursiveFileLookup", "true")
     if record_sep is None:
-        df = r.option("wholetext", "true").option("pathGlobFilter", "*.txt").text(path)
+        # text()'s own keyword default would override a wholetext option set earlier
+        df = r.option("pathGlobFilter", "*.txt").text(path, wholetext=True)
     else:
-        df = r.option("lineSep", record_sep).text(path)
+        df = r.text(path, lineSep=record_sep)
     df = df.select("value", F.col("_metadata.file_path").alias("source_path"))
     if record_sep is None:
         df = df.filter(~F.col("source_path").endswith("_meta.txt"))
