@@ -36,14 +36,15 @@ def model_frame(analysis: DataFrame) -> DataFrame:
     return fill_median(df, ["City MPG", "Highway MPG", "Listed Days"])
 
 
-def feature_vectors(df: DataFrame, with_time: bool) -> tuple[DataFrame, int]:
+def feature_vectors(df: DataFrame, with_time: bool, categorical: bool = True) -> tuple[DataFrame, int]:
     """median impute + z-score numerics, mode impute + one-hot categoricals,
-    assembled into ``vec`` (array<double>)."""
+    assembled into ``vec`` (array<double>). ``categorical=False`` keeps the
+    scaled numerics only."""
     nums = NUMERIC + (["Listed Days"] if with_time else [])
     df = scale_numeric(fill_median(df, nums), nums, suffix="__z")
     df = impute_mode(df, CATEGORICAL)
     names = []
-    for c in CATEGORICAL:
+    for c in (CATEGORICAL if categorical else []):
         df, n = one_hot(df, c, prefix=f"{c}#")
         names += n
     cols = [f"{n}__z" for n in nums] + names
@@ -100,13 +101,16 @@ def clusters(base: DataFrame) -> DataFrame:
                                                                                    _c("Listed Days"))
 
 
-def score_all(analysis: DataFrame, k: int = 20, exclude_self: bool = False) -> DataFrame:
+def score_all(analysis: DataFrame, k: int = 20, exclude_self: bool = False, knn_features: str = "full") -> DataFrame:
     """Prediction fields for every listing (in-sample: a listing is its own
-    nearest neighbour unless ``exclude_self``)."""
+    nearest neighbour unless ``exclude_self``). ``knn_features='full'`` finds
+    neighbours on scaled numerics + one-hot categoricals (the defined
+    model); ``'numeric'`` on the scaled numerics only, where projection
+    pruning keeps the exact search near-linear."""
     base = cut_lineage(model_frame(analysis))
     cl = cut_lineage(clusters(base))
     stats = cluster_stats(cl)
-    nn_in, dim = feature_vectors(base, with_time=False)
+    nn_in, dim = feature_vectors(base, with_time=False, categorical=knn_features == "full")
     nn_in = cut_lineage(nn_in.select("VIN", "vec"))
     dirs = pca_directions(nn_in, "vec", KNN_DIRECTIONS)
     neigh = knn_join(nn_in.select(F.col("VIN").alias("qid"), "vec"), nn_in.select(F.col("VIN").alias("nid"), "vec"),
@@ -117,7 +121,7 @@ def score_all(analysis: DataFrame, k: int = 20, exclude_self: bool = False) -> D
     return out.select("VIN", *PREDICTION_FIELDS)
 
 
-def score_new(new_cars: DataFrame, analysis: DataFrame, k: int = 20) -> DataFrame:
+def score_new(new_cars: DataFrame, analysis: DataFrame, k: int = 20, knn_features: str = "full") -> DataFrame:
     """Score listings that are not in the catalogue: Listed Days = 0,
     unconditional probabilities; neighbours come from the catalogue."""
     base = cut_lineage(model_frame(analysis))
@@ -125,7 +129,7 @@ def score_new(new_cars: DataFrame, analysis: DataFrame, k: int = 20) -> DataFram
     stats = cluster_stats(cl)
     both = base.unionByName(model_frame(new_cars.withColumn("Listed Days", F.lit(0.0))).withColumn(
         "VIN", F.concat(F.lit("new:"), F.col("VIN"))))
-    vecs, dim = feature_vectors(both, with_time=False)
+    vecs, dim = feature_vectors(both, with_time=False, categorical=knn_features == "full")
     vecs = cut_lineage(vecs.select("VIN", "vec"))
     queries = vecs.filter(F.col("VIN").startswith("new:")).select(F.col("VIN").alias("qid"), "vec")
     catalogue = vecs.filter(~F.col("VIN").startswith("new:")).select(F.col("VIN").alias("nid"), "vec")
