@@ -2,6 +2,7 @@
 exact neighbours and Weibull time-to-sell scores, all as Spark plans."""
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.linalg.distributed import RowMatrix
@@ -53,12 +54,14 @@ def feature_vectors(df: DataFrame, with_time: bool, categorical: bool = True) ->
 
 
 def truncated_svd(df: DataFrame, vec: str, k: int = 15, out: str = "svd") -> DataFrame:
-    """Project on the top-k right singular vectors (no centring). V is
-    dim x k, computed by MLlib from the distributed Gramian; the projection
-    runs as array expressions with V as literals."""
+    """Project on the top-k right singular vectors (no centring). The d x d
+    Gramian is one distributed pass (MLlib); its eigenvectors (d is the
+    feature width, small) give V, and the projection runs as array
+    expressions with V as literals."""
     rows = df.select(vec).rdd.map(lambda r: r[0])
-    svd = RowMatrix(rows).computeSVD(k, computeU=False)
-    v = svd.V.toArray()
+    gram = RowMatrix(rows).computeGramianMatrix().toArray()
+    vals, vecs = np.linalg.eigh(gram)
+    v = vecs[:, np.argsort(vals)[::-1][:k]]
     comps = [F.aggregate(F.zip_with(F.col(vec), F.array(*[F.lit(float(x)) for x in v[:, j]]), lambda a, b: a * b),
                          F.lit(0.0), lambda acc, x: acc + x) for j in range(v.shape[1])]
     return df.withColumn(out, F.array(*comps))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import encode as E
 from ..operators import model as M
-from ..operators.knn import knn_join
+from ..operators.knn import knn_join, pca_directions
 from ..operators.selltime import remaining_quantile, sell_probability, weibull_scale, weibull_shape
 from ..session import cut_lineage
 from .catalog import analysis, clean, register
@@ -37,8 +37,10 @@ SELECT qid, nid, dist, rank FROM (
 def _knn_join(s, d):
     emb = s.read.parquet(f"{d}/embeddings.parquet")
     dim = len(emb.select("embedding").first()[0])  # one row: the vector width
-    v = emb.select("vec_id", F.col("embedding").cast("array<double>").alias("vec"))
-    return knn_join(v.withColumnRenamed("vec_id", "qid"), v.withColumnRenamed("vec_id", "nid"), KNN_K, dim)
+    v = cut_lineage(emb.select("vec_id", F.col("embedding").cast("array<double>").alias("vec")))
+    dirs = pca_directions(v, "vec", 3)
+    return knn_join(v.withColumnRenamed("vec_id", "qid"), v.withColumnRenamed("vec_id", "nid"), KNN_K, dim,
+                    directions=dirs)
 
 
 def _model_src():
