@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import PRICE_SEGMENT_LABELS
+from ..session import cut_lineage
 
 SEG = "Price Segment"
 
@@ -132,8 +133,10 @@ def with_top_columns(df: DataFrame) -> DataFrame:
 
 def segment_report(df: DataFrame) -> DataFrame:
     """(section, segment, key, value) rows covering counts, every crosstab
-    percentage, MPG, listed days and mileage statistics per segment."""
-    df = with_top_columns(df)
+    percentage, MPG, listed days and mileage statistics per segment. The
+    input is materialised once (checkpoint in the shared folder) because
+    every section of the union reads it."""
+    df = cut_lineage(with_top_columns(df))
     parts = [segment_counts(df).select(F.lit("count").alias("section"), "segment",
                                        F.lit("n").alias("key"), F.col("n").cast("double").alias("value"))]
     for name, row, col in CROSSTABS:
