@@ -30,3 +30,9 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from .token_counts import count_tokens
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op2_fingerprints")
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprints import fingerprint_documents
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
