@@ -36,3 +36,9 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fingerprints import fingerprint_documents
     return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op4_decontamination")
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import find_leaks
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
