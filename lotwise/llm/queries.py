@@ -48,3 +48,9 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import score_quality
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_pii
+    return find_pii(table(spark, sf_dir, "documents"))
