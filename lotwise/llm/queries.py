@@ -54,3 +54,13 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import find_pii
     return find_pii(table(spark, sf_dir, "documents"))
+
+
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+@register("op6_url_filters")
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import filter_urls, labelled_urls, train_url_model
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES, train_url_model(labelled_urls(spark)))
