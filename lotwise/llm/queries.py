@@ -64,3 +64,9 @@ URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block",
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import filter_urls, labelled_urls, train_url_model
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES, train_url_model(labelled_urls(spark)))
+
+
+@register("op10_simhash")
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
