@@ -70,3 +70,14 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def _register_mixing():
+    from .mixing import mixture, mixture_sql
+
+    @register("op3_mixing", mixture_sql())
+    def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return mixture(table(spark, sf_dir, "documents"))
+
+
+_register_mixing()
