@@ -81,3 +81,9 @@ def _register_mixing():
 
 
 _register_mixing()
+
+
+@register("op8_suffix_dedup")
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents"))
