@@ -87,3 +87,9 @@ _register_mixing()
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import remove_repeats
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@register("op1_fuzzy_passages")
+def op1_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fuzzy_passages import find_passages
+    return find_passages(table(spark, sf_dir, "documents"))
