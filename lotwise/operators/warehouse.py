@@ -5,12 +5,13 @@ import getpass
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import CHILD_TABLES, WAREHOUSE_TABLES, ddl
 from ..session import cut_lineage
 from .cleaning import installment_flag, not_null_key, typed_cast
+from .dedup import dedup_by_key
 
 # Column order returned by the search join (parent first, then the children).
 WIDE_COLUMNS = [
@@ -63,7 +64,7 @@ def listing_wide(tables: dict[str, DataFrame]) -> DataFrame:
 def anti_join_existing(new: DataFrame, existing: DataFrame, key: str = "VIN") -> DataFrame:
     """Rows of ``new`` whose key is not loaded yet; NULL keys never load.
     A distributed left-anti join instead of collecting the keys to the driver."""
-    return not_null_key(new, key).join(existing.select(key).distinct(), on=key, how="left_anti")
+    return not_null_key(new, key).join(existing.select(key), on=key, how="left_anti")
 
 
 # ---------------------------------------------------------------------------
@@ -108,43 +109,73 @@ def read_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {n: read_table(spark, root, n) for n in ["car_info"] + CHILD_TABLES}
 
 
+# Children first, the wide table next, the parent last: a key in car_info has all its other rows.
+LOAD_ORDER = CHILD_TABLES + ["transformed_cars", "car_info"]
+
+
+def _append_missing(spark: SparkSession, rows: DataFrame, root: str, name: str) -> int:
+    """Append the rows whose key the table does not hold yet; returns their
+    number, counted while they are written."""
+    seen = Observation()
+    fresh = anti_join_existing(rows, read_table(spark, root, name)).observe(seen, F.count(F.lit(1)).alias("n"))
+    fresh.write.mode("append").parquet(table_path(root, name))
+    return int(seen.get["n"])
+
+
+def append_audit(spark: SparkSession, root: str, audit: DataFrame) -> None:
+    """Append audit rows whose (id, kind) is not logged yet, so a replayed run logs once."""
+    log = read_table(spark, root, "etl_log").select("id", "kind")
+    audit.join(log, ["id", "kind"], "left_anti").select(audit.columns).write.mode("append").parquet(table_path(root, "etl_log"))
+
+
 def incremental_load(spark: SparkSession, listing: DataFrame, root: str, run_id: int | None = None,
                      user: str | None = None, fixed: bool = False) -> DataFrame:
     """transform output -> new keys only -> six tables + wide table + audit row.
 
-    * New rows are materialised (checkpoint in the shared folder) before the
-      first append, so the anti join is not re-evaluated against tables it
-      has already grown.
-    * Children are written first, ``car_info`` last as the commit mark; each
-      table is anti-joined against its own keys, so a rerun after a partial
-      failure adds only what is missing. Loading the same input twice adds 0.
+    * The input is staged once (checkpoint in the shared folder); every table
+      takes its own missing keys from it, so a run that stopped between any two
+      appends is completed by the next one. Loading the same input twice adds 0.
+    * ``car_info`` is written last of all seven, as the commit mark.
+    * A failure is logged as a FAILED audit row and raised again; a run id is
+      logged once for each outcome.
     Returns (table, rows_added).
     """
     user = user or getpass.getuser()
     run_id = run_id if run_id is not None else int(uuid.uuid4().int % (1 << 62))
     ensure_tables(spark, root)
-    existing = read_table(spark, root, "car_info")
-    fresh = cut_lineage(anti_join_existing(listing, existing))
-    parts = vertical_split(fresh, fixed)
-    added = {}
-    for name in CHILD_TABLES + ["car_info"]:
-        target = read_table(spark, root, name)
-        rows = anti_join_existing(parts[name], target)
-        rows = cut_lineage(rows)
-        added[name] = rows.count()
-        rows.write.mode("append").parquet(table_path(root, name))
-    wide_target = read_table(spark, root, "transformed_cars")
-    wide = (anti_join_existing(fresh, wide_target)
-            .withColumn("load_date", F.current_timestamp())
-            .select(*[F.col(f"`{c}`") for c, _ in WAREHOUSE_TABLES["transformed_cars"]]))
-    wide = cut_lineage(wide)
-    added["transformed_cars"] = wide.count()
-    wide.write.mode("append").parquet(table_path(root, "transformed_cars"))
-    audit = run_audit_row(spark, run_id, added["car_info"], "SUCCESS", user, kind="load")
-    audit.write.mode("append").parquet(table_path(root, "etl_log"))
+    added: dict[str, int] = {}
+    try:
+        staged = cut_lineage(not_null_key(listing, "VIN"))
+        parts = vertical_split(staged, fixed)
+        parts["transformed_cars"] = staged.withColumn("load_date", F.current_timestamp()) \
+            .select(*[F.col(f"`{c}`") for c, _ in WAREHOUSE_TABLES["transformed_cars"]])
+        for name in LOAD_ORDER:
+            added[name] = _append_missing(spark, parts[name], root, name)
+    except Exception:
+        append_audit(spark, root, run_audit_row(spark, run_id, added.get("car_info", 0), "FAILED", user, kind="load-failed"))
+        raise
+    append_audit(spark, root, run_audit_row(spark, run_id, added["car_info"], "SUCCESS", user, kind="load"))
     return spark.createDataFrame(sorted(added.items()), "table string, rows_added long")
 
 
+def merge_survivors(spark: SparkSession, batch: DataFrame, state: str, key: str = "VIN", buckets: int = 64) -> None:
+    """Merge raw rows into the survivor table ``state``: one row per key, chosen
+    by the same order as ``dedup_by_key``, whatever micro-batch a copy came in.
+
+    The table is partitioned by a hash bucket of the key; a batch rewrites only
+    the buckets it touches (dynamic partition overwrite from a checkpointed
+    merge). The order's minimum is associative and a replayed batch changes
+    nothing, so stream and batch agree.
+    """
+    bucketed = batch.withColumn("key_bucket", F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(buckets)).cast("int"))
+    merged = bucketed
+    if _exists(spark, state):
+        touched = [r[0] for r in bucketed.select("key_bucket").distinct().collect()]  # at most ``buckets``
+        merged = spark.read.schema(bucketed.schema).parquet(state).where(F.col("key_bucket").isin(touched)).unionByName(bucketed)
+    cut_lineage(dedup_by_key(merged, key)).repartition("key_bucket").write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("key_bucket").parquet(state)
+
+
 def run_audit_row(spark: SparkSession, run_id: int, n: int, status: str, user: str,
                   kind: str = "load") -> DataFrame:
     """One audit row (execution time, records processed, status, user)."""

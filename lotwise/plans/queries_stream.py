@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.cleaning import null_sentinels
 from ..operators.transform import transform_listings
-from ..operators.warehouse import incremental_load, listing_wide, read_warehouse
+from ..operators.warehouse import incremental_load, listing_wide, merge_survivors, read_warehouse, vertical_split
 from ..schemas import LISTING_FIELDS
 from ..session import scratch_path
 from ..streaming import events as EV
@@ -19,6 +20,9 @@ from .oracle import with_ctes
 STATUS_SQL = ("CASE event_type WHEN 'purchase' THEN 'new_data_available' WHEN 'signup' THEN 'warehouse_updated' "
               "ELSE event_type END")
 
+# The keys drain what is there and end; a listener in production keeps the default trigger.
+DRAIN = {"availableNow": True}
+
 
 def _scratch(spark: SparkSession, key: str) -> str:
     return scratch_path(spark, f"{key}-{uuid.uuid4().hex[:12]}")
@@ -27,17 +31,14 @@ def _scratch(spark: SparkSession, key: str) -> str:
 def _messages(s: SparkSession, d: str):
     ev = s.read.parquet(f"{d}/events.parquet")
     ev = ev.withColumn("status", F.expr(STATUS_SQL)).withColumn("source", F.lit("events"))
-    return EV.encode_events(ev, "event_id", "status", "ts", "source", ["user_id"]), ev
+    return EV.encode_events(ev, "event_id", "status", "ts", "source", ["user_id"])
 
 
 def _publish(s: SparkSession, d: str, key: str) -> str:
-    msgs, ev = _messages(s, d)
     # error events are published as broken JSON (a truncated value)
-    broken = ev.select(F.col("event_id").cast("string").alias("key"), F.col("event_type"))
     out = _scratch(s, key)
-    good = msgs.join(broken, "key").filter(F.col("event_type") != "error").drop("event_type")
-    bad = broken.filter(F.col("event_type") == "error").select("key", F.lit('{"status": "new_data_avail').alias("value"))
-    EV.publish_event(good.unionByName(bad), out)
+    EV.publish_event(_messages(s, d).withColumn("value", F.when(F.get_json_object("value", "$.status") == "error", '{"status": "new_data_avail')
+                                                .otherwise(F.col("value"))), out)
     return out
 
 
@@ -72,7 +73,7 @@ def _etl_on_event(s, d):
     root, ck, quar = _scratch(s, "wh_stream"), _scratch(s, "etl_ck"), _scratch(s, "quarantine")
     lst = listing(s, d)
     q = EV.etl_on_event(EV.event_stream(s, src, max_files_per_trigger=2),
-                        lambda bid: incremental_load(s, lst, root, run_id=bid), ck, quar)
+                        lambda bid: incremental_load(s, lst, root, run_id=bid), ck, quar, DRAIN)
     q.awaitTermination()
     wh = read_warehouse(s, root)
     out = None
@@ -90,22 +91,21 @@ def _refresh_on_event(s, d):
 
     def refresh(_bid):
         listing_wide(read_warehouse(s, root)).write.mode("overwrite").parquet(serving)
-    EV.refresh_on_event(EV.event_stream(s, src), refresh, ck).awaitTermination()
+    EV.refresh_on_event(EV.event_stream(s, src), refresh, ck, trigger=DRAIN).awaitTermination()
     return s.read.parquet(serving).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @register("ingest_listings_stream", with_ctes(["car_info"], 'SELECT "VIN", "Car_Make", "Car_Price_USD" FROM car_info'))
 def _ingest_listings_stream(s, d):
-    """Lake files -> per micro-batch transform + load; equals the batch result
-    because all copies of a VIN sit in the same file (co-partitioned by VIN)."""
-    lake, ck, root = _scratch(s, "lake_in"), _scratch(s, "ingest_ck"), _scratch(s, "wh_ingest")
-    raw(s, d).repartition(8, "VIN").write.json(lake)
+    """Lake files -> survivor table per micro-batch -> transform + split; equals
+    the batch result although the copies of a VIN are dealt over all files."""
+    lake, ck, state = _scratch(s, "lake_in"), _scratch(s, "ingest_ck"), _scratch(s, "survivors")
+    raw(s, d).repartition(6, "idx", "page").write.json(lake)
     schema = ", ".join(f"`{c}` string" for c in LISTING_FIELDS) + ", page int, idx int"
-
-    def handle(batch, bid):
-        incremental_load(s, transform_listings(batch), root, run_id=bid)
-    EV.ingest_listings_stream(s, lake, schema, handle, ck, max_files_per_trigger=2).awaitTermination()
-    return read_warehouse(s, root)["car_info"].select("VIN", "Car_Make", "Car_Price_USD")
+    EV.ingest_listings_stream(s, lake, schema, lambda batch, _bid: merge_survivors(s, null_sentinels(batch, exclude=("VIN",)), state), ck,
+                              max_files_per_trigger=2, trigger=DRAIN).awaitTermination()
+    survivors = s.read.parquet(state).drop("key_bucket")
+    return vertical_split(transform_listings(survivors))["car_info"].select("VIN", "Car_Make", "Car_Price_USD")
 
 
 @register("supervise_streams")
