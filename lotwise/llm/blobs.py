@@ -12,7 +12,7 @@ import numpy as np
 import zstandard
 
 #: Buckets for each shuffle partition, so that hashing buckets to partitions comes out even.
-BUCKETS_PER_PARTITION = 8
+BUCKETS_PER_PARTITION = 2
 
 
 def bucket_count(spark) -> int:

@@ -10,17 +10,20 @@ document with a smaller id. The steps:
    document, place), goes to the bucket of its trigger.
 2. A bucket sorts its share of dictionary and parse. Equal phrases leave their
    smallest document; in all others every string of the phrase is repeated.
-   Different phrases with one trigger may still share strings, so one copy of
-   each is asked for.
-3. The tasks that hold the texts build the suffix array of the asked phrases,
-   over suffixes of at least LENGTH bytes; neighbours with a common prefix of
-   LENGTH bytes form a run, whose smallest document is kept. Run heads meet in
-   the bucket of their hash, which settles runs across tasks.
+   Different phrases with one trigger may still share strings, so the bytes of
+   each are asked for, from one place.
+3. The tasks that hold the texts send the asked phrases to the bucket of their
+   trigger. There the suffix array of this part of the dictionary is built over
+   suffixes of at least LENGTH bytes; neighbours with a common prefix of LENGTH
+   bytes form a run, ordered by the documents of the parse: all but the smallest
+   document repeat the string.
 4. The settled places return to their texts, which are cut.
 
 Records travel as packed blobs (``blobs``); texts are compressed and dealt once,
-for steps 3 and 4 alike. A trigger with more than ``CROWD`` phrases in a task
-goes to step 3's runs directly, so a passage that a third of all documents
+for steps 3 and 4 alike. Phrases of a trigger that is crowded (more than
+``CROWD`` phrases in a task or ``CROWD_ALL`` in its bucket) are not gathered:
+their suffix runs are built where their texts are and only run heads travel, to
+the bucket of the string's hash, so a passage that a third of all documents
 share is no hot bucket.
 """
 from __future__ import annotations
@@ -33,17 +36,23 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blobs import bucket_count, deal, runs, unpack
+from .blobs import bucket_count, deal, pack, runs, unpack
 from .parsing import GRAM, LENGTH, phrases
 from .tables import materialise
 from .text import byte_view, filled, mix64, pieces, prefix_sums, substring_hash
 
-#: Text that a task parses before it settles and sends what it found, and phrases of one trigger it sends from it.
-FLUSH_BYTES, CROWD = 1 << 24, 64
+#: Text that a task parses before it settles and sends what it found, phrases of one
+#: trigger it sends from it, and phrases of one trigger that a bucket gathers.
+FLUSH_BYTES, CROWD, CROWD_ALL = 1 << 24, 64, 2048
+#: Records that a task holds before it sends them.
+HELD = 1 << 20
 ROW = "key int, kind int, payload binary"
-RANGE, ASK, PARSE, RUN = 0, 1, 2, 3
+RANGE, ASK, MORE, PARSE, PHRASE, RUN = range(6)
 _RANGE = [8, 5, 5]          # document, first start, last start
-_ASK = [6, 8, 5, 1]         # phrase, document, first start, starts - 1
+_ASK = [3, 8, 5, 1]         # bucket of the trigger (_AS_RUNS: crowded), document, first start, starts - 1
+_AS_RUNS = (1 << 24) - 1
+_MORE = [6, 8, 5, 1]        # phrase, document, first start, starts - 1, for phrases that one document holds more than once
+_PHRASE = [8, 5, 1]         # document, first start, starts - 1; the bytes follow
 _PARSE = [5, 6, 8, 5, 1]    # trigger, phrase, document, first start, starts - 1
 _RUN = [6, 5, 8, 5]         # two hashes of LENGTH bytes, document, start
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
@@ -71,11 +80,24 @@ def _ranges(doc, a, b, groups: int) -> list[tuple[int, int, bytes]]:
 
 
 def _settle_runs(data: np.ndarray, at: np.ndarray, doc: np.ndarray, start: np.ndarray, length: int, groups: int) -> list[tuple[int, int, bytes]]:
-    """The suffix array of ``data`` over the suffixes at ``at``, by their first
-    ``length`` bytes: strings that an earlier document here holds too become
-    ranges, the others run records."""
+    """Strings of crowded phrases: those that an earlier document here holds too
+    become ranges, the others run records."""
     if not len(at):
         return []
+    order, late = _suffix_runs(data, at, doc, length)
+    doc, start, at = doc[order], start[order], at[order]
+    out = _ranges(doc[late], start[late], start[late], groups)
+    p = prefix_sums(data)
+    w = substring_hash(p, at[~late], at[~late] + length)
+    w2 = mix64(substring_hash(p, at[~late] + 1, at[~late] + length - 1) + np.uint64(7))
+    out += [(k, RUN, b) for k, b in deal(((w >> np.uint64(48)) % np.uint64(groups)).astype(np.int64), [w, w2, doc[~late], start[~late]], _RUN)]
+    return out
+
+
+def _suffix_runs(data: np.ndarray, at: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffix array of ``data`` over the suffixes at ``at`` (by their first
+    ``length`` bytes, then document), and which of them stand in a run behind a
+    smaller document."""
     view = np.empty((len(at), length + 1), np.uint8)
     view[:, :length] = np.lib.stride_tricks.sliding_window_view(data, length)[at]
     view[:, length] = 1  # NumPy drops trailing zero bytes of fixed strings
@@ -84,15 +106,8 @@ def _settle_runs(data: np.ndarray, at: np.ndarray, doc: np.ndarray, start: np.nd
     order = order[np.lexsort((doc[order], np.cumsum(np.r_[True, suffix[order][1:] != suffix[order][:-1]])))]
     own = suffix[order]
     head = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-    doc, start, at = doc[order], start[order], at[order]
-    least = np.repeat(doc[head], np.diff(np.r_[head, len(doc)]))
-    late = doc != least
-    out = _ranges(doc[late], start[late], start[late], groups)
-    p = prefix_sums(data)
-    w = substring_hash(p, at[~late], at[~late] + length)
-    w2 = mix64(substring_hash(p, at[~late] + 1, at[~late] + length - 1) + np.uint64(7))
-    out += [(k, RUN, b) for k, b in deal(((w >> np.uint64(48)) % np.uint64(groups)).astype(np.int64), [w, w2, doc[~late], start[~late]], _RUN)]
-    return out
+    least = np.repeat(doc[order][head], np.diff(np.r_[head, len(order)]))
+    return order, doc[order] != least
 
 
 def _strings(text: np.ndarray, pos: np.ndarray, span: np.ndarray, length: int):
@@ -149,21 +164,38 @@ def _parse(groups: int, length: int, gram: int, crowd: int):
 
 
 def _keyed(batches, kinds: tuple[int, ...]):
-    """(key, payloads of ``kinds``) in sorted key order; rows of other kinds come as (None, batch)."""
-    key, held = None, []
+    """((key, kind), payloads) in sorted order; rows of other kinds come as (None, batch)."""
+    last, held = None, []
     for b in batches:
         kind = b.column(1).to_numpy(zero_copy_only=False)
         own = np.isin(kind, kinds)
         if not own.all():
             yield None, b.filter(pa.array(~own))
-        for k, payload in zip(b.column(0).to_numpy(zero_copy_only=False)[own].tolist(), b.column(2).filter(pa.array(own)).to_pylist()):
-            if k != key and held:
-                yield key, held
+        keys = b.column(0).to_numpy(zero_copy_only=False)[own].tolist()
+        for k, payload in zip(zip(keys, kind[own].tolist()), b.column(2).filter(pa.array(own)).to_pylist()):
+            if k != last and held:
+                yield last, held
                 held = []
-            key = k
+            last = k
             held.append(payload)
     if held:
-        yield key, held
+        yield last, held
+
+
+class _Held:
+    """Records of several buckets, dealt together so that few blobs leave a task."""
+
+    def __init__(self):
+        self.lists: dict[str, list] = {}
+        self.size = 0
+
+    def add(self, name: str, *arrays: np.ndarray) -> None:
+        self.lists.setdefault(name, []).append(arrays)
+        self.size += len(arrays[0])
+
+    def take(self, name: str) -> list[np.ndarray] | None:
+        got = self.lists.pop(name, None)
+        return [np.concatenate(x) for x in zip(*got)] if got else None
 
 
 def _records(payloads: list[bytes], widths: list[int]) -> list[np.ndarray]:
@@ -171,9 +203,17 @@ def _records(payloads: list[bytes], widths: list[int]) -> list[np.ndarray]:
     return [np.concatenate(x) for x in zip(*parts)] if parts else [np.empty(0, np.int64) for _ in widths]
 
 
-def _settle_phrases(groups: int):
+def _settle_phrases(groups: int, crowd_all: int):
     """Step 2: buckets of parse records; other rows pass."""
+    def send(held: _Held) -> pa.RecordBatch:
+        out = _ranges(*r, groups) if (r := held.take("range")) else []
+        for name, kind, widths in (("ask", ASK, _ASK), ("more", MORE, _MORE)):
+            if r := held.take(name):
+                out += [(k, kind, p) for k, p in deal(_group(r[1], groups), r, widths)]
+        return _rows(out)
+
     def run(batches):
+        held = _Held()
         for key, own in _keyed(batches, (PARSE,)):
             if key is None:
                 yield own
@@ -185,33 +225,67 @@ def _settle_phrases(groups: int):
             size = np.diff(np.r_[head, len(trig)])
             late = doc != np.repeat(doc[head], size)
             of = runs(trig[head])
-            many = np.diff(np.r_[of, len(head)])
-            ask = ~late & np.repeat(np.repeat(many > 1, many), size)
-            out = _ranges(doc[late], a[late], a[late] + span[late], groups)
-            out += [(k, ASK, p) for k, p in deal(_group(doc[ask], groups), [phr[ask], doc[ask], a[ask], span[ask]], _ASK)]
-            if out:
-                yield _rows(out)
+            phrases_of = np.diff(np.r_[of, len(head)])
+            many = np.repeat(phrases_of > 1, phrases_of)
+            held.add("range", doc[late], a[late], a[late] + span[late])
+            first = head[many]
+            to = np.where(np.repeat(phrases_of > crowd_all, phrases_of)[many], _AS_RUNS, key[0])
+            held.add("ask", to, doc[first], a[first], span[first])
+            copies = np.add.reduceat((~late).astype(np.int64), head)
+            more = ~late & np.repeat(many & (copies > 1), size)
+            held.add("more", phr[more], doc[more], a[more], span[more])
+            if held.size > HELD:
+                yield send(held)
+                held = _Held()
+        yield send(held)
     return run
 
 
-def _settle_strings(groups: int):
-    """Buckets of run records: all but the smallest document of a run are repeated."""
+def _settle_strings(groups: int, length: int):
+    """Step 3, second half: the suffix array of the phrases of a bucket, and the
+    bucket's run heads of crowded phrases. All but the smallest document of a run
+    are repeated."""
     def run(batches):
-        for key, own in _keyed(batches, (RUN,)):
+        held = _Held()
+        for key, own in _keyed(batches, (PHRASE, RUN)):
             if key is None:
                 yield own
                 continue
-            w, w2, doc, start = _records(own, _RUN)
-            order = np.lexsort((doc, w2, w))
-            w, w2, doc, start = (x[order] for x in (w, w2, doc, start))
-            head = runs(w, w2)
-            late = doc != np.repeat(doc[head], np.diff(np.r_[head, len(doc)]))
-            out = _ranges(doc[late], start[late], start[late], groups)
-            if out:
-                yield _rows(out)
+            if key[1] == PHRASE:
+                doc, a, span, data = _unpack_phrases(own)
+                _, at, rec, n = _strings(data, np.cumsum(span + length) - (span + length), span, length)
+                doc, start = doc[rec], a[rec] + n
+                order, late = _suffix_runs(data, at, doc, length)
+                doc, start = doc[order], start[order]
+            else:
+                w, w2, doc, start = _records(own, _RUN)
+                order = np.lexsort((doc, w2, w))
+                w, w2, doc, start = (x[order] for x in (w, w2, doc, start))
+                head = runs(w, w2)
+                late = doc != np.repeat(doc[head], np.diff(np.r_[head, len(doc)]))
+            held.add("range", doc[late], start[late], start[late])
+            if held.size > HELD:
+                yield _rows(_ranges(*held.take("range"), groups))
+                held = _Held()
+        if r := held.take("range"):
+            yield _rows(_ranges(*r, groups))
     return run
 
 
+def _pack_phrases(doc, a, span, data: np.ndarray) -> bytes:
+    head = pack([doc, a, span], _PHRASE)
+    return len(head).to_bytes(4, "little") + head + zstandard.ZstdCompressor(level=3).compress(data.tobytes())
+
+
+def _unpack_phrases(payloads: list[bytes]):
+    heads, data = [], []
+    for p in payloads:
+        n = int.from_bytes(p[:4], "little")
+        heads.append(unpack(p[4:4 + n], _PHRASE))
+        data.append(np.frombuffer(zstandard.ZstdDecompressor().decompress(p[4 + n:]), np.uint8))
+    return *(np.concatenate(x) for x in zip(*heads)), np.concatenate(data)
+
+
 def _texts(table: pa.Table):
     """(doc_id, base, bytes) of each text row of a group."""
     unzip = zstandard.ZstdDecompressor()
@@ -219,75 +293,89 @@ def _texts(table: pa.Table):
         yield d, base, np.frombuffer(unzip.decompress(z), np.uint8)
 
 
-class _Asked:
-    """The asked phrases of a group, by document and place."""
-
-    def __init__(self, payloads: list[bytes]):
-        phr, doc, a, span = _records(payloads, _ASK)
-        order = np.lexsort((a, doc))
-        self.phr, self.doc, self.a, self.span = phr[order], doc[order], a[order], span[order]
-
-    def of(self, doc: int, base: int, n: int):
-        """(first place of each distinct phrase for every asked place, place, starts - 1) within one text."""
-        lo, hi = np.searchsorted(self.doc, doc, "left"), np.searchsorted(self.doc, doc, "right")
-        lo, hi = lo + np.searchsorted(self.a[lo:hi], base), lo + np.searchsorted(self.a[lo:hi], base + n)
-        a, phr = self.a[lo:hi] - base, self.phr[lo:hi]
-        _, first, back = np.unique(phr, return_index=True, return_inverse=True)
-        return a[first][back], a, self.span[lo:hi]
+def _of(doc: np.ndarray, a: np.ndarray, key: int, base: int, n: int) -> slice:
+    """Records (sorted by document and place) that lie in one text."""
+    lo, hi = np.searchsorted(doc, key, "left"), np.searchsorted(doc, key, "right")
+    return slice(lo + int(np.searchsorted(a[lo:hi], base)), lo + int(np.searchsorted(a[lo:hi], base + n)))
 
 
 def _key_or_last(doc_id) -> int:
     return int(_LAST) if doc_id is None else doc_id
 
 
-def _suffixes(groups: int, length: int):
-    """Step 3: a group's texts and what was asked of them."""
+def _phrases(groups: int, length: int):
+    """Step 3, first half: a group's texts and what was asked of them. The bytes of
+    asked phrases go to the bucket of their trigger, crowded ones become runs here."""
     def run(texts: pa.Table, asked: pa.Table) -> pa.Table:
-        ask = _Asked(asked["payload"].to_pylist())
-        data, at, doc, start, size = [], [], [], [], 0
-        for d, base, buf in _texts(texts) if len(ask.doc) else ():
-            first, a, span = ask.of(_key_or_last(d), base, len(buf))
-            one = first == a
-            if one.any():
-                own, places, rec, n = _strings(buf, a[one], span[one], length)
-                data.append(own)
-                at.append(places + size)
-                doc.append(np.full(len(places), _key_or_last(d)))
-                start.append(base + a[one][rec] + n)
-                size += len(own)
-        out = _settle_runs(*(np.concatenate(x) for x in (data, at, doc, start)), length, groups) if data else []
+        to, doc, a, span = _records(asked["payload"].to_pylist(), _ASK)
+        order = np.lexsort((a, doc))
+        to, doc, a, span = (x[order] for x in (to, doc, a, span))
+        found = []
+        for d, base, buf in _texts(texts) if len(doc) else ():
+            own = _of(doc, a, _key_or_last(d), base, len(buf))
+            if own.stop > own.start:
+                data, *_ = _strings(buf, a[own] - base, span[own], length)
+                found.append((to[own], doc[own], a[own], span[own], data))
+        if not found:
+            return pa.Table.from_batches([_rows([])])
+        to, doc, a, span, data = (np.concatenate(x) for x in zip(*found))
+        begin = np.cumsum(span + length) - (span + length)
+        out = []
+        order = np.argsort(to, kind="stable")
+        first = runs(to[order])
+        for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(order)]):
+            own = order[lo:hi]
+            part, at, rec, n = _strings(data, begin[own], span[own], length)
+            if to[own[0]] == _AS_RUNS:
+                out += _settle_runs(part, at, doc[own][rec], a[own][rec] + n, length, groups)
+            else:
+                out.append((int(to[own[0]]), PHRASE, _pack_phrases(doc[own], a[own], span[own], part)))
         return pa.Table.from_batches([_rows(out)])
     return run
 
 
 def _cut(length: int):
-    """Step 4: a group's texts, the settled ranges and the asked phrases (whose later places follow the first)."""
+    """Step 4: a group's texts, the settled ranges, and the places of phrases that
+    one document holds more than once (they follow the first place)."""
     def run(texts: pa.Table, settled: pa.Table) -> pa.Table:
         kind, payload = settled["kind"].to_numpy(), settled["payload"].to_pylist()
         doc, a, b = _records([p for p, k in zip(payload, kind) if k == RANGE], _RANGE)
         order = np.lexsort((a, doc))
         doc, a, b = doc[order], a[order], b[order]
-        ask = _Asked([p for p, k in zip(payload, kind) if k == ASK])
+        phr, mdoc, place, span = _records([p for p, k in zip(payload, kind) if k == MORE], _MORE)
+        order = np.lexsort((place, phr, mdoc))
+        phr, mdoc, place, span = phr[order], mdoc[order], place[order], span[order]
+        head = runs(mdoc, phr)
+        first = np.repeat(place[head], np.diff(np.r_[head, len(phr)]))
+
+        def repeated(lo: int, hi: int, f: int, n: int) -> np.ndarray:
+            """Which of the starts f..f + n the ranges lo..hi of a document hold."""
+            own = slice(lo, lo + int(np.searchsorted(a[lo:hi], f + n, "right")))
+            edge = np.zeros(n + 2, np.int32)
+            live = b[own] >= f
+            np.add.at(edge, np.maximum(a[own][live] - f, 0), 1)
+            np.add.at(edge, np.minimum(b[own][live] - f, n) + 1, -1)
+            return np.cumsum(edge[:n + 1]) > 0
+
         rows = []
         for d, base, buf in _texts(texts):
             key, n = _key_or_last(d), len(buf)
-            lo, hi = np.searchsorted(doc, key, "left"), np.searchsorted(doc, key, "right")
-            lo, hi = lo + np.searchsorted(a[lo:hi], base), lo + np.searchsorted(a[lo:hi], base + n)
+            lo, hi = int(np.searchsorted(doc, key, "left")), int(np.searchsorted(doc, key, "right"))
             if lo == hi:
                 rows.append((d, n, 0, 0, hashlib.sha256(buf).hexdigest()))
                 continue
-            edge = np.zeros(n + 1, np.int32)
-            np.add.at(edge, a[lo:hi] - base, 1)
-            np.add.at(edge, b[lo:hi] - base + 1, -1)
-            starts = np.cumsum(edge[:n]) > 0
-            first, place, span = ask.of(key, base, n)
-            for f, p, s in zip(first.tolist(), place.tolist(), span.tolist()):
-                if p != f:
-                    starts[p:p + s + 1] |= starts[f:f + s + 1]
+            starts = repeated(lo, hi, base, n)[:n]
+            mlo, mhi = np.searchsorted(mdoc, key, "left"), np.searchsorted(mdoc, key, "right")
+            known: dict[int, np.ndarray] = {}
+            for f, p, s in zip(first[mlo:mhi].tolist(), place[mlo:mhi].tolist(), span[mlo:mhi].tolist()):
+                if p != f and base <= p < base + n:
+                    if f not in known:
+                        known[f] = repeated(lo, hi, f, s)
+                    starts[p - base:p - base + s + 1] |= known[f]
             count = np.cumsum(np.r_[0, starts])
             i = np.arange(1, n + 1)
             gone = count[i] > count[np.maximum(i - length, 0)]
-            spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+            spans = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
             rows.append((d, n, int(gone.sum()), spans, hashlib.sha256(buf[~gone].tobytes()).hexdigest()))
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
         types = [pa.int64()] * 4 + [pa.string()]
@@ -310,8 +398,8 @@ def _with_base(docs: DataFrame) -> DataFrame:
         .select("doc_id", F.coalesce("base", F.lit(0)).cast("bigint").alias("base"), "text")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, crowd_all: int = CROWD_ALL,
+                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans (maximal removed
     runs), kept_sha256 (of the remaining UTF-8 bytes).
 
@@ -327,7 +415,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     base = _with_base(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
 
     def settle(rows, step):
-        return rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(step, ROW)
+        return rows.repartition(parts, "key").sortWithinPartitions("key", "kind").mapInArrow(step, ROW)
 
     def zipped(batches):
         z = zstandard.ZstdCompressor(level=3)
@@ -338,10 +426,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
                  pa.array([z.compress(t or b"") for t in b.column(2).to_pylist()], pa.binary())], names=["key", "doc_id", "base", "payload"])
 
     parsed = base.mapInArrow(_parse(groups, length, gram, crowd), ROW)
-    first = materialise(settle(parsed, _settle_phrases(groups)))
+    first = materialise(settle(parsed, _settle_phrases(groups, crowd_all)))
     texts = base.select("doc_id", "base", F.col("text").cast("binary")).mapInArrow(zipped, "key int, doc_id bigint, base bigint, payload binary")
     asked = first.where(F.col("kind") == ASK)
-    strings = texts.groupBy("key").cogroup(asked.groupBy("key")).applyInArrow(_suffixes(groups, length), ROW)
-    second = settle(strings.unionAll(first.where(F.col("kind") == RUN)), _settle_strings(groups))
-    settled = first.where(F.col("kind").isin(RANGE, ASK)).unionAll(second)
+    strings = texts.groupBy("key").cogroup(asked.groupBy("key")).applyInArrow(_phrases(groups, length), ROW)
+    second = settle(strings.unionAll(first.where(F.col("kind") == RUN)), _settle_strings(groups, length))
+    settled = first.where(F.col("kind").isin(RANGE, MORE)).unionAll(second)
     return texts.groupBy("key").cogroup(settled.groupBy("key")).applyInArrow(_cut(length), SCHEMA)
