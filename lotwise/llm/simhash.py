@@ -216,7 +216,8 @@ def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, k: int = SHINGLE
     judged = materialise(_components(own, radius).groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n")))
     key = F.col(id_col).cast("bigint")
     drop = judged.where(~F.col("stays")).select(F.col("doc_id").alias("__drop"))
-    kept = docs.join(drop, key == F.col("__drop"), "left_anti")
+    # a merge join at every size: the dropped ids grow with the corpus, so they are no broadcast
+    kept = docs.join(drop.hint("merge"), key == F.col("__drop"), "left_anti")
     repeated = judged.where("stays AND n > 1").select(F.col("doc_id").alias("__again"))
     if repeated.isEmpty():
         return kept
