@@ -13,7 +13,7 @@ from lotwise.llm.mixing import mix, rake
 from lotwise.llm.pii import redact_pii
 from lotwise.llm.quality import keep_quality
 from lotwise.llm.simhash import drop_near_duplicates
-from lotwise.llm.tables import materialise
+from lotwise.llm.tables import materialise, small_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,27 +22,32 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble, fitted on ``labels``, accepts."""
+    small_batches(spark)
     return keep_quality(docs, _table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each SimHash component."""
+    small_batches(spark)
     return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of ``benchmark``."""
+    small_batches(spark)
     return drop_leaks(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind; n_chars follows the new text."""
+    small_batches(spark)
     return redact_pii(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sampled documents, with topic, n_tokens, weight and probability. Empty
     documents have no tokens and so no part in the mix."""
+    small_batches(spark)
     return mix(docs, rake(docs)).where("__sampled").drop("__sampled") \
         .withColumnsRenamed({"__topic": "topic", "__n": "n_tokens", "__w": "weight", "__p": "probability"}) \
         .withColumns({"weight": F.round("weight", 9), "probability": F.round("probability", 9)})

@@ -53,15 +53,14 @@ def densify(sketch: np.ndarray) -> np.ndarray:
 def fingerprints(col: pa.Array, bins: int = BINS, bits: int = BITS, k: int = SHINGLE) -> np.ndarray:
     """(rows, bins) low-order bits of the densified sketches of texts without
     NULLs; a text without words has the value 2^bits in every bin."""
-    out = np.empty((len(col), bins), np.uint8)
+    sketch = np.empty((len(col), bins), np.uint64)
     for lo, part in pieces(col):
         h, row, _ = word_shingles(part, k, WORD)
-        full = minhash_bins(h, row, len(part), bins)
-        dense = densify(full)
-        low = (mix64(dense) & np.uint64((1 << bits) - 1)).astype(np.uint8)
-        low[(dense == _EMPTY).all(axis=1)] = 1 << bits
-        out[lo:lo + len(part)] = low
-    return out
+        sketch[lo:lo + len(part)] = minhash_bins(h, row, len(part), bins)
+    dense = densify(sketch)
+    low = (mix64(dense) & np.uint64((1 << bits) - 1)).astype(np.uint8)
+    low[(dense == _EMPTY).all(axis=1)] = 1 << bits
+    return low
 
 
 def pack(low: np.ndarray, bits: int = BITS) -> list[str]:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .tables import materialise
 
-ROUNDS = 10
+ROUNDS = 8
 #: Share of all tokens to keep, and the powers of the observed shares that give the target marginals.
 KEEP = 0.5
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
@@ -68,7 +68,7 @@ def rake(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = No
     The cells are the product of three short lists and are pre-aggregated before
     any shuffle, so a source with a third of all rows is a few rows here. In each
     round every dimension is scaled to its target in turn and the cells are
-    checkpointed. ``p`` is min(1, c * w / n) with c chosen so that the expected
+    written and reread, which keeps each plan at one aggregate and one join. ``p`` is min(1, c * w / n) with c chosen so that the expected
     tokens are ``keep`` of all; cells that cannot supply their weight are taken whole
     and the rest is scaled up.
     """
@@ -79,9 +79,8 @@ def rake(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = No
     for _ in range(rounds):
         for dim, key in _DIMS.items():
             now = cells.groupBy(key).agg(F.sum("w").alias("now")).join(want[dim], key)
-            cells = cells.join(now, key).withColumn("w", F.when(F.col("now") > 0, F.col("w") * F.col("share") / F.col("now")).otherwise(0.0)) \
-                .select(*keys, "n", "docs", "w")
-        cells = materialise(cells)
+            cells = materialise(cells.join(now, key).withColumn("w", F.when(F.col("now") > 0, F.col("w") * F.col("share") / F.col("now")).otherwise(0.0))
+                                .select(*keys, "n", "docs", "w"))
     c = _scale(cells, keep)
     p = F.when((F.col("n") > 0) & (F.col("w") > 0), F.least(F.lit(1.0), F.lit(c) * F.col("w") / F.col("n"))).otherwise(0.0)
     return materialise(cells.withColumn("p", p))

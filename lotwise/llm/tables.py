@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
@@ -16,3 +16,10 @@ def materialise(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/llm-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
+    """Keep Arrow batches of whole texts small: the default of 10,000 rows of long
+    documents costs each task several buffers of tens of megabytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return spark

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
 _COMBINE = np.uint64(0xD6E8FEB86659FD93)
 _tables: dict[str, np.ndarray] = {}
