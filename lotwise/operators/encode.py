@@ -3,6 +3,9 @@ mode imputation and one-hot columns.
 
 Whole-frame statistics (medians, means, modes) are one aggregate row joined
 back on a constant key: a one-row broadcast, never a driver round trip.
+Category values are counted for all columns in one pass; their codes are joined
+on the value (a broadcast only where adaptive execution measures a small table;
+otherwise a merge join whose hot values it splits).
 """
 from __future__ import annotations
 
@@ -10,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .quantiles import exact_quantiles, quantile_columns
 
 
 def _c(n: str) -> Column:
@@ -21,37 +25,35 @@ def _with_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
     return df.withColumn("__k", F.lit(1)).join(F.broadcast(stats.withColumn("__k", F.lit(1))), "__k").drop("__k")
 
 
-def dense_index(df: DataFrame, col: str, out: str = "code") -> DataFrame:
-    """(value, code): codes 0..m-1 in ascending value order (NULL excluded).
+def category_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, value, n) for every value of every column, NULL included, in one pass."""
+    pair = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _c(c).cast("string").alias("value")) for c in cols]))
+    return df.select(pair.alias("p")).groupBy("p.column", "p.value").agg(F.count(F.lit(1)).alias("n"))
 
-    Distributed dense rank: distinct values are range-partitioned, ranked
-    inside each partition, and shifted by the running count of the earlier
-    partitions (a table with one row per partition). The partition-tagged set
-    is checkpointed so the ranks and offsets see the same partitioning."""
-    vals = df.select(_c(col).alias("value")).filter(F.col("value").isNotNull()).distinct()
-    n_parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    tagged = cut_lineage(vals.repartitionByRange(n_parts, "value").withColumn("__pid", F.spark_partition_id()))
-    local = tagged.withColumn("__r", F.row_number().over(Window.partitionBy("__pid").orderBy("value")))
-    sizes = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = sizes.withColumn("__off", F.sum("__n").over(
-        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["__off"])
-    return (local.join(F.broadcast(offsets.select("__pid", "__off")), "__pid")
-                 .select("value", (F.col("__off") + F.col("__r") - 1).cast("int").alias(out)))
 
+def category_codes(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, value, code): codes 0..m-1 of each column in ascending value
+    order; NULL, where it occurs, has the last code of its own. The counted
+    values are few rows, materialised once for all columns."""
+    order = Window.partitionBy("column").orderBy(F.col("value").asc_nulls_last())
+    return cut_lineage(category_counts(df, cols).withColumn("code", (F.row_number().over(order) - 1).cast("int")).select("column", "value", "code"))
 
-def label_encode(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
-    """Replace each column by its code in sorted value order (NULL stays NULL)."""
+
+def label_encode(df: DataFrame, cols: list[str], suffix: str = "", codes: DataFrame | None = None) -> DataFrame:
+    """Replace each column by its code. ``codes`` (default: fitted on ``df``)
+    may come from another frame; a value it does not hold gets NULL."""
+    codes = codes if codes is not None else category_codes(df, cols)
     out = df
     for c in cols:
-        idx = dense_index(df, c, "__code").withColumnRenamed("value", "__v")
-        out = (out.join(idx, _c(c) == F.col("__v"), "left")
-                  .withColumn(c + suffix, F.col("__code")).drop("__v", "__code"))
+        idx = codes.where(F.col("column") == c).select(F.col("value").alias("__v"), F.col("code").alias("__code"))
+        out = out.join(idx, _c(c).cast("string").eqNullSafe(F.col("__v")), "left").withColumn(c + suffix, F.col("__code")).drop("__v", "__code")
     return out
 
 
 def fill_median(df: DataFrame, cols: list[str]) -> DataFrame:
-    """NULLs -> the column's exact median (computed in one aggregate)."""
-    stats = df.agg(*[F.median(_c(c)).alias(f"__med{i}") for i, c in enumerate(cols)])
+    """NULLs -> the column's exact median (see ``exact_quantiles``)."""
+    df = cut_lineage(df)
+    stats = quantile_columns(exact_quantiles(df, cols, [0.5]), {(c, 0.5): f"__med{i}" for i, c in enumerate(cols)})
     j = _with_stats(df, stats)
     return j.withColumns({c: F.coalesce(_c(c), F.col(f"__med{i}")) for i, c in enumerate(cols)}) \
             .drop(*[f"__med{i}" for i in range(len(cols))])
@@ -68,32 +70,28 @@ def scale_numeric(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame
     return j.withColumns(scaled).drop(*[f"__{p}{i}" for i in range(len(cols)) for p in ("mu", "sd")])
 
 
-def mode_values(df: DataFrame, col: str) -> DataFrame:
-    """One row: the most frequent non-NULL value (ties: smallest value)."""
-    counts = df.filter(_c(col).isNotNull()).groupBy(_c(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.orderBy(F.desc("n"), F.asc("value")).limit(1).select(F.col("value").alias("__mode"))
-
-
 def impute_mode(df: DataFrame, cols: list[str]) -> DataFrame:
-    """NULLs -> the column's most frequent value."""
-    out = df
-    for c in cols:
-        out = _with_stats(out, mode_values(df, c)).withColumn(c, F.coalesce(_c(c), F.col("__mode"))).drop("__mode")
-    return out
-
+    """NULLs -> the column's most frequent value (ties: the smallest), all columns from one count."""
+    best = category_counts(df, cols).where("value IS NOT NULL").groupBy("column").agg(F.min(F.struct(-F.col("n"), F.col("value"))).alias("best"))
+    modes = best.agg(*[F.max(F.when(F.col("column") == c, F.col("best")["value"])).alias(f"__mode{i}") for i, c in enumerate(cols)])
+    return _with_stats(df, modes).withColumns({c: F.coalesce(_c(c), F.col(f"__mode{i}").cast(df.schema[c].dataType)) for i, c in enumerate(cols)}) \
+        .drop(*[f"__mode{i}" for i in range(len(cols))])
 
-def one_hot(df: DataFrame, col: str, prefix: str | None = None) -> tuple[DataFrame, list[str]]:
-    """Indicator columns for the (bounded) category codes of ``col``; an
-    unknown value is all zeros. Returns the frame and the new column names.
-    Category counts are read once (the encoder's fit), which is what a
-    one-hot layout needs: its width is the number of categories."""
-    prefix = prefix or f"{col}="
-    cats = [r[0] for r in df.select(_c(col)).filter(_c(col).isNotNull()).distinct().orderBy(_c(col)).collect()]
-    names = [f"{prefix}{v}" for v in cats]
-    return df.withColumns({n: (_c(col) == F.lit(v)).cast("double") for n, v in zip(names, cats)}) \
-             .fillna(0.0, names), names
 
-
-def assemble(cols: list[str]) -> Column:
-    """Feature columns -> array<double> (NULL -> 0)."""
-    return F.array(*[F.coalesce(_c(c).cast("double"), F.lit(0.0)) for c in cols])
+def one_hot_offsets(codes: DataFrame, cols: list[str]) -> tuple[dict[str, int], int]:
+    """First indicator position of each column and the number of indicators; one row a column reaches the driver."""
+    width = {r["column"]: r["n"] for r in codes.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    offsets, at = {}, 0
+    for c in cols:
+        offsets[c] = at
+        at += width.get(c, 0)
+    return offsets, at
+
+
+def one_hot(df: DataFrame, cols: list[str], codes: DataFrame, out: str = "hot") -> tuple[DataFrame, int]:
+    """The positions of the indicators that are 1, in column order (the sparse form
+    of a one-hot row; a value without a code has none), and the number of indicators."""
+    offsets, width = one_hot_offsets(codes, cols)
+    coded = label_encode(df, cols, "__code", codes)
+    hot = F.filter(F.array(*[_c(c + "__code") + offsets[c] for c in cols]), lambda x: x.isNotNull())
+    return coded.withColumn(out, hot).drop(*[c + "__code" for c in cols]), width

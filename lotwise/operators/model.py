@@ -1,23 +1,28 @@
-"""The listing model: encoded features, truncated SVD + k-means clusters,
-exact neighbours and Weibull time-to-sell scores, all as Spark plans."""
+"""The listing model: fitted encoding, truncated SVD + k-means clusters, exact
+neighbours and Weibull time-to-sell scores, all as Spark plans."""
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.mllib.linalg.distributed import RowMatrix
+import pyarrow as pa
+from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from .encode import assemble, fill_median, impute_mode, label_encode, one_hot, scale_numeric
-from .knn import knn_join, pca_directions
+from .encode import category_codes, label_encode, one_hot_offsets
+from .knn import knn_join
+from .quantiles import exact_quantiles, quantile_columns
 from .selltime import score_frame
 
 NUMERIC = ["Year of Manufacture", "Cash Price (USD)", "Mileage", "City MPG", "Highway MPG"]
 CATEGORICAL = ["Car Make", "Exterior", "Interior", "Fuel Type", "Transmission", "Drivetrain", "Engine",
                "Financing Support", "State"]
-KNN_DIRECTIONS = 3  # principal directions used to prune kNN candidates (exactness does not depend on it)
+TIME = "Listed Days"
+SVD_COMPONENTS, CLUSTERS, NEIGHBOURS, SEED = 15, 8, 20, 42
 PREDICTION_FIELDS = ["cluster", "current_listing_days", "expected_days_to_sell", "total_expected_days",
                      "probability_sold_30days", "days_to_sell_25p", "days_to_sell_median", "days_to_sell_75p",
                      "similar_cars_count", "similar_cars_median_days", "cluster_median_days", "weibull_shape",
@@ -28,58 +33,154 @@ def _c(n: str) -> Column:
     return F.col(f"`{n}`")
 
 
-def model_frame(analysis: DataFrame) -> DataFrame:
-    """VIN + numeric columns + label codes of the categoricals + Listed Days,
-    with the three medians filled (rows without a VIN cannot be scored)."""
-    df = cut_lineage(analysis.filter(_c("VIN").isNotNull()).select(
-        "VIN", *[_c(c) for c in NUMERIC + CATEGORICAL], _c("Listed Days")))
-    df = label_encode(df, CATEGORICAL)
-    return fill_median(df, ["City MPG", "Highway MPG", "Listed Days"])
-
-
-def feature_vectors(df: DataFrame, with_time: bool, categorical: bool = True) -> tuple[DataFrame, int]:
-    """median impute + z-score numerics, mode impute + one-hot categoricals,
-    assembled into ``vec`` (array<double>). ``categorical=False`` keeps the
-    scaled numerics only."""
-    nums = NUMERIC + (["Listed Days"] if with_time else [])
-    df = scale_numeric(fill_median(df, nums), nums, suffix="__z")
-    df = impute_mode(df, CATEGORICAL)
-    names = []
-    for c in (CATEGORICAL if categorical else []):
-        df, n = one_hot(df, c, prefix=f"{c}#")
-        names += n
-    cols = [f"{n}__z" for n in nums] + names
-    return df.withColumn("vec", assemble(cols)).select("VIN", "vec", *[_c(c) for c in NUMERIC + CATEGORICAL],
-                                                       _c("Listed Days")), len(cols)
-
-
-def truncated_svd(df: DataFrame, vec: str, k: int = 15, out: str = "svd") -> DataFrame:
-    """Project on the top-k right singular vectors (no centring). The d x d
-    Gramian is one distributed pass (MLlib); its eigenvectors (d is the
-    feature width, small) give V, and the projection runs as array
-    expressions with V as literals."""
-    rows = df.select(vec).rdd.map(lambda r: r[0])
-    gram = RowMatrix(rows).computeGramianMatrix().toArray()
-    vals, vecs = np.linalg.eigh(gram)
-    v = vecs[:, np.argsort(vals)[::-1][:k]]
-    comps = [F.aggregate(F.zip_with(F.col(vec), F.array(*[F.lit(float(x)) for x in v[:, j]]), lambda a, b: a * b),
-                         F.lit(0.0), lambda acc, x: acc + x) for j in range(v.shape[1])]
-    return df.withColumn(out, F.array(*comps))
-
-
-def kmeans_cluster(df: DataFrame, col: str = "svd", k: int = 8, seed: int = 42) -> DataFrame:
-    """k-means (k=8, seed 42) on an array column; adds ``cluster`` (int)."""
-    feats = df.withColumn("__f", array_to_vector(F.col(col)))
-    model = KMeans(k=k, seed=seed, featuresCol="__f", predictionCol="cluster").fit(feats)
-    return model.transform(feats).drop("__f").withColumn("cluster", F.col("cluster").cast("int"))
-
-
-def cluster_stats(df: DataFrame, cluster: str = "cluster", value: str = "Listed Days") -> DataFrame:
+@dataclass
+class Encoding:
+    """What the catalogue fixes for itself and for new listings: medians, means and
+    standard deviations of the numbers, the category codes and their indicator positions."""
+    median: dict[str, float]
+    mean: dict[str, float]
+    std: dict[str, float]
+    codes: DataFrame
+    offsets: dict[str, int]
+    width: int
+
+
+def _z(enc: Encoding, name: str) -> Column:
+    x = F.coalesce(_c(name).cast("double"), F.lit(enc.median[name]))
+    return (x - F.lit(enc.mean[name])) / F.lit(enc.std[name]) if enc.std[name] else F.lit(0.0)
+
+
+def fit_encoding(catalogue: DataFrame) -> Encoding:
+    """Fitted on a catalogue of listings (rows with a VIN). Six medians, means and
+    deviations and nine widths reach the driver."""
+    names = NUMERIC + [TIME]
+    q = quantile_columns(exact_quantiles(catalogue, names, [0.5]), {(c, 0.5): c for c in names}).first()
+    median = {c: float(q[c]) if q is not None and q[c] is not None else 0.0 for c in names}
+    filled = [F.coalesce(_c(c).cast("double"), F.lit(median[c])) for c in names]
+    row = catalogue.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(filled)], *[F.stddev_pop(x).alias(f"s{i}") for i, x in enumerate(filled)]).first()
+    codes = category_codes(catalogue, CATEGORICAL)
+    offsets, width = one_hot_offsets(codes, CATEGORICAL)
+    return Encoding(median, {c: float(row[f"m{i}"] or 0.0) for i, c in enumerate(names)}, {c: float(row[f"s{i}"] or 0.0) for i, c in enumerate(names)}, codes, offsets, width)
+
+
+def encode(df: DataFrame, enc: Encoding) -> DataFrame:
+    """(VIN, Listed Days, z of the five numbers, z of Listed Days, codes): codes
+    holds one category code a column, -1 for a value the catalogue does not have."""
+    coded = label_encode(df, CATEGORICAL, "__code", enc.codes)
+    return coded.select("VIN", F.coalesce(_c(TIME).cast("double"), F.lit(enc.median[TIME])).alias(TIME),
+                        F.array(*[_z(enc, c) for c in NUMERIC]).alias("z"), _z(enc, TIME).alias("z_time"),
+                        F.array(*[F.coalesce(_c(c + "__code"), F.lit(-1)) for c in CATEGORICAL]).alias("codes"))
+
+
+def _dense_and_hot(b: pa.RecordBatch, offsets: np.ndarray):
+    """Per batch: the dense features (five numbers, Listed Days) and the feature index of each category (-1: none)."""
+    z = b.column("z").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+    codes = b.column("codes").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+    dense = np.c_[z, b.column("z_time").to_numpy(zero_copy_only=False)]
+    return dense, np.where(codes < 0, -1, codes + offsets[None, :] + dense.shape[1])
+
+
+def _times(dense: np.ndarray, hot: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Rows of the sparse feature matrix times ``v``."""
+    out = dense @ v[:dense.shape[1]]
+    for j in range(hot.shape[1]):
+        has = hot[:, j] >= 0
+        out[has] += v[hot[has, j]]
+    return out
+
+
+def truncated_svd(encoded: DataFrame, enc: Encoding, k: int = SVD_COMPONENTS, rounds: int = 8, extra: int = 10) -> np.ndarray:
+    """The top-k right singular vectors (no centring) of the features of
+    ``encode``'s rows, as a (features, k) matrix, by subspace iteration.
+
+    Each round is one pass: tasks multiply their sparse rows and add up what each
+    feature gets, Spark adds the tasks' rows by feature. Only features x (k +
+    extra) numbers meet on the driver, never features squared. Signs: the
+    largest entry of a vector is positive."""
+    d = len(NUMERIC) + 1 + enc.width
+    m = min(d, k + extra)
+    offsets = np.array([enc.offsets[c] for c in CATEGORICAL])
+    q, _ = np.linalg.qr(np.random.default_rng(SEED).normal(size=(d, m)))
+
+    def gram_times(v: np.ndarray) -> np.ndarray:
+        shared = encoded.sparkSession.sparkContext.broadcast(v)
+
+        def run(batches):
+            total = np.zeros((d, m))
+            for b in batches:
+                dense, hot = _dense_and_hot(b, offsets)
+                y = _times(dense, hot, shared.value)
+                total[:dense.shape[1]] += dense.T @ y
+                for j in range(hot.shape[1]):
+                    has = hot[:, j] >= 0
+                    np.add.at(total, hot[has, j], y[has])
+            own = np.flatnonzero(np.abs(total).sum(axis=1))
+            yield pa.RecordBatch.from_pydict({"feature": pa.array(own.astype(np.int32)), "part": pa.array(list(total[own]), pa.list_(pa.float64()))})
+
+        rows = encoded.mapInArrow(run, "feature int, part array<double>").groupBy("feature").agg(*[F.sum(F.col("part")[i]).alias(f"p{i}") for i in range(m)]).collect()
+        out = np.zeros((d, m))
+        for r in rows:
+            out[r[0]] = r[1:]
+        return out
+
+    for _ in range(rounds):
+        q, _ = np.linalg.qr(gram_times(q))
+    small = q.T @ gram_times(q)
+    values, vectors = np.linalg.eigh((small + small.T) / 2)
+    v = q @ vectors[:, np.argsort(values)[::-1][:k]]
+    return v * np.sign(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])])
+
+
+def project(encoded: DataFrame, enc: Encoding, v: np.ndarray, out: str = "svd") -> DataFrame:
+    """``encoded`` plus the features times ``v`` (array<double>)."""
+    offsets = np.array([enc.offsets[c] for c in CATEGORICAL])
+    shared = encoded.sparkSession.sparkContext.broadcast(v)
+
+    def run(batches):
+        for b in batches:
+            y = _times(*_dense_and_hot(b, offsets), shared.value)
+            yield b.append_column(out, pa.array(list(y), pa.list_(pa.float64())))
+
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType()))]))
+
+
+def kmeans_fit(df: DataFrame, col: str = "svd", k: int = CLUSTERS, seed: int = SEED) -> KMeansModel:
+    return KMeans(k=k, seed=seed, featuresCol="__f", predictionCol="cluster").fit(df.select(array_to_vector(F.col(col)).alias("__f")))
+
+
+def kmeans_cluster(df: DataFrame, model: KMeansModel, col: str = "svd") -> DataFrame:
+    """``df`` plus the nearest centre of the fitted k-means."""
+    return model.transform(df.withColumn("__f", array_to_vector(F.col(col)))).drop("__f").withColumn("cluster", F.col("cluster").cast("int"))
+
+
+@dataclass
+class ListingModel:
+    """Everything that scoring takes from the catalogue."""
+    encoding: Encoding
+    components: np.ndarray
+    kmeans: KMeansModel
+    catalogue: DataFrame  # encoded rows with their cluster
+    stats: DataFrame      # per cluster
+
+
+def fit_model(analysis: DataFrame) -> ListingModel:
+    base = cut_lineage(analysis.filter(_c("VIN").isNotNull()).select("VIN", *[_c(c) for c in NUMERIC + CATEGORICAL + [TIME]]))
+    enc = fit_encoding(base)
+    encoded = cut_lineage(encode(base, enc))
+    v = truncated_svd(encoded, enc)
+    placed = cut_lineage(project(encoded, enc, v))
+    km = kmeans_fit(placed)
+    catalogue = cut_lineage(kmeans_cluster(placed, km))
+    return ListingModel(enc, v, km, catalogue, cut_lineage(cluster_stats(catalogue)))
+
+
+def cluster_stats(df: DataFrame, cluster: str = "cluster", value: str = TIME) -> DataFrame:
     """count, min, max, mean, median, sample std of ``value`` per cluster."""
     v = _c(value)
-    return df.groupBy(cluster).agg(F.count(v).alias("count"), F.min(v).alias("min"), F.max(v).alias("max"),
-                                   F.avg(v).alias("mean"), F.median(v).alias("median"),
-                                   F.stddev_samp(v).alias("std"))
+    plain = df.groupBy(cluster).agg(F.count(v).alias("count"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"),
+                                    F.stddev_samp(v).alias("std"))
+    median = quantile_columns(exact_quantiles(df, [value], [0.5], cluster), {(value, 0.5): "median"}, cluster)
+    return plain.join(median, cluster, "left").select(cluster, "count", "min", "max", "mean", "median", "std")
 
 
 def cluster_stats_lookup(df: DataFrame, stats: DataFrame, cluster: str = "cluster") -> DataFrame:
@@ -97,65 +198,43 @@ def neighbour_days(neigh: DataFrame, catalogue: DataFrame) -> DataFrame:
         "qid", F.transform("__l", lambda s: s["nd"]).alias("days"))
 
 
-def clusters(base: DataFrame) -> DataFrame:
-    """(VIN, cluster, Listed Days): SVD(15) + k-means(8) on the with-time features."""
-    with_time, _ = feature_vectors(base, with_time=True)
-    return kmeans_cluster(truncated_svd(cut_lineage(with_time), "vec", 15)).select("VIN", "cluster",
-                                                                                   _c("Listed Days"))
-
-
-def score_all(analysis: DataFrame, k: int = 20, exclude_self: bool = False, knn_features: str = "full") -> DataFrame:
-    """Prediction fields for every listing (in-sample: a listing is its own
-    nearest neighbour unless ``exclude_self``). ``knn_features='full'`` finds
-    neighbours on scaled numerics + one-hot categoricals (the defined
-    model); ``'numeric'`` on the scaled numerics only, where projection
-    pruning keeps the exact search near-linear."""
-    base = cut_lineage(model_frame(analysis))
-    cl = cut_lineage(clusters(base))
-    stats = cluster_stats(cl)
-    nn_in, dim = feature_vectors(base, with_time=False, categorical=knn_features == "full")
-    nn_in = cut_lineage(nn_in.select("VIN", "vec"))
-    dirs = pca_directions(nn_in, "vec", KNN_DIRECTIONS)
-    neigh = knn_join(nn_in.select(F.col("VIN").alias("qid"), "vec"), nn_in.select(F.col("VIN").alias("nid"), "vec"),
-                     k, dim, exclude_self=exclude_self, directions=dirs)
-    nd = neighbour_days(neigh, base)
-    scored = cluster_stats_lookup(cl, stats).join(nd.withColumnRenamed("qid", "VIN"), "VIN")
-    out = score_frame(scored, "days", "cluster_median", "cluster_mean", "Listed Days")
-    return out.select("VIN", *PREDICTION_FIELDS)
-
-
-def score_new(new_cars: DataFrame, analysis: DataFrame, k: int = 20, knn_features: str = "full") -> DataFrame:
-    """Score listings that are not in the catalogue: Listed Days = 0,
-    unconditional probabilities; neighbours come from the catalogue."""
-    base = cut_lineage(model_frame(analysis))
-    cl = cut_lineage(clusters(base))
-    stats = cluster_stats(cl)
-    both = base.unionByName(model_frame(new_cars.withColumn("Listed Days", F.lit(0.0))).withColumn(
-        "VIN", F.concat(F.lit("new:"), F.col("VIN"))))
-    vecs, dim = feature_vectors(both, with_time=False, categorical=knn_features == "full")
-    vecs = cut_lineage(vecs.select("VIN", "vec"))
-    queries = vecs.filter(F.col("VIN").startswith("new:")).select(F.col("VIN").alias("qid"), "vec")
-    catalogue = vecs.filter(~F.col("VIN").startswith("new:")).select(F.col("VIN").alias("nid"), "vec")
-    neigh = knn_join(queries, catalogue, k, dim, directions=pca_directions(catalogue, "vec", KNN_DIRECTIONS))
-    nd = neighbour_days(neigh, base)
-    # nearest cluster of a new listing: the cluster of its nearest catalogue neighbour
-    first = neigh.filter(F.col("rank") == 1).join(cl.select(F.col("VIN").alias("nid"), "cluster"), "nid")
-    scored = (first.select("qid", "cluster").join(nd, "qid").transform(lambda d: cluster_stats_lookup(d, stats))
-              .withColumn("Listed Days", F.lit(0.0)))
-    out = score_frame(scored, "days", "cluster_median", "cluster_mean", "Listed Days", include_listed_days=False)
-    return out.select(F.regexp_replace("qid", "^new:", "").alias("VIN"), *PREDICTION_FIELDS)
+def _score(model: ListingModel, rows: DataFrame, k: int, exclude_self: bool, include_listed_days: bool) -> DataFrame:
+    """Prediction fields of rows that carry z, codes, cluster and Listed Days."""
+    neigh = knn_join(rows.select(F.col("VIN").alias("qid"), F.col("z").alias("vec"), "codes"),
+                     model.catalogue.select(F.col("VIN").alias("nid"), F.col("z").alias("vec"), "codes"), k, codes="codes", exclude_self=exclude_self)
+    days = neighbour_days(neigh, model.catalogue).withColumnRenamed("qid", "VIN")
+    scored = cluster_stats_lookup(rows.select("VIN", "cluster", _c(TIME)), model.stats).join(days, "VIN")
+    return score_frame(scored, "days", "cluster_median", "cluster_mean", TIME, include_listed_days).select("VIN", *PREDICTION_FIELDS)
+
+
+def score_all(analysis: DataFrame, k: int = NEIGHBOURS, exclude_self: bool = False, model: ListingModel | None = None) -> DataFrame:
+    """Prediction fields for every listing of the catalogue (in-sample: a listing
+    is its own nearest neighbour unless ``exclude_self``)."""
+    model = model or fit_model(analysis)
+    return _score(model, model.catalogue, k, exclude_self, True)
+
+
+def score_new(new_cars: DataFrame, model: ListingModel, k: int = NEIGHBOURS) -> DataFrame:
+    """Score listings outside the catalogue with the catalogue's fitted state: its
+    codes (an unknown value has no indicator), medians, scaling, components and
+    centres; Listed Days = 0 and unconditional probabilities. Neighbours come
+    from the catalogue."""
+    rows = cut_lineage(encode(new_cars.where(_c("VIN").isNotNull()).withColumn(TIME, F.lit(0.0)), model.encoding))
+    placed = kmeans_cluster(project(rows, model.encoding, model.components), model.kmeans)
+    return _score(model, cut_lineage(placed), k, False, False)
 
 
 def cluster_outcome_stats(pred: DataFrame, days: DataFrame) -> DataFrame:
     """Per cluster: mean/median of expected days and 30-day probability,
     count/mean/median of listed days (flat column names)."""
-    j = pred.join(days.select("VIN", _c("Listed Days")), "VIN")
-    return j.groupBy("cluster").agg(
-        F.avg("expected_days_to_sell").alias("expected_days_mean"),
-        F.median("expected_days_to_sell").alias("expected_days_median"),
-        F.avg("probability_sold_30days").alias("p30_mean"), F.median("probability_sold_30days").alias("p30_median"),
-        F.count(_c("Listed Days")).alias("listed_days_count"), F.avg(_c("Listed Days")).alias("listed_days_mean"),
-        F.median(_c("Listed Days")).alias("listed_days_median"))
+    j = cut_lineage(pred.join(days.select("VIN", _c(TIME)), "VIN"))
+    plain = j.groupBy("cluster").agg(
+        F.avg("expected_days_to_sell").alias("expected_days_mean"), F.avg("probability_sold_30days").alias("p30_mean"),
+        F.count(_c(TIME)).alias("listed_days_count"), F.avg(_c(TIME)).alias("listed_days_mean"))
+    names = {"expected_days_to_sell": "expected_days_median", "probability_sold_30days": "p30_median", TIME: "listed_days_median"}
+    median = quantile_columns(exact_quantiles(j, list(names), [0.5], "cluster"), {(c, 0.5): out for c, out in names.items()}, "cluster")
+    return plain.join(median, "cluster", "left").select("cluster", "expected_days_mean", "expected_days_median", "p30_mean", "p30_median",
+                                                        "listed_days_count", "listed_days_mean", "listed_days_median")
 
 
 def combine_predictions(clean: DataFrame, pred: DataFrame) -> DataFrame:
@@ -166,5 +245,3 @@ def combine_predictions(clean: DataFrame, pred: DataFrame) -> DataFrame:
                         F.col("total_expected_days").alias("Total_Expected_Days"), F.col("cluster").alias("Cluster"))
     return clean.join(last4, "VIN", "left")
 
-
-__all__ = ["vector_to_array"]

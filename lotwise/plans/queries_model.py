@@ -1,30 +1,16 @@
 """Keys for the model block."""
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from ..operators import encode as E
 from ..operators import model as M
-from ..operators.knn import knn_join, pca_directions
-from ..operators.selltime import remaining_quantile, sell_probability, weibull_scale, weibull_shape
+from ..operators.knn import knn_join
 from ..session import cut_lineage
 from .catalog import analysis, clean, register
 from .oracle import q, with_ctes
 
-KNN_K = 10
-
-# The scoring keys run the exact 20-NN over the listing feature space. On the
-# bridge data (independent categoricals) the neighbour radius covers most
-# points, so the search is near-quadratic and does not finish at sf0.01 on one
-# machine; they are registered only on request until the candidate generator
-# improves. Their operators are covered by tests/test_model.py.
-REGISTER_SCORING = os.environ.get("LOTWISE_REGISTER_SCORING") == "1"
-
-
-def _heavy(key: str, sql: str | None = None):
-    return register(key, sql) if REGISTER_SCORING else (lambda fn: fn)
+KNN_K = M.NEIGHBOURS
 
 KNN_SQL = f"""
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
@@ -35,12 +21,8 @@ SELECT qid, nid, dist, rank FROM (
 
 @register("knn_join", KNN_SQL)
 def _knn_join(s, d):
-    emb = s.read.parquet(f"{d}/embeddings.parquet")
-    dim = len(emb.select("embedding").first()[0])  # one row: the vector width
-    v = cut_lineage(emb.select("vec_id", F.col("embedding").cast("array<double>").alias("vec")))
-    dirs = pca_directions(v, "vec", 3)
-    return knn_join(v.withColumnRenamed("vec_id", "qid"), v.withColumnRenamed("vec_id", "nid"), KNN_K, dim,
-                    directions=dirs)
+    v = s.read.parquet(f"{d}/embeddings.parquet").select("vec_id", F.col("embedding").cast("array<double>").alias("vec"))
+    return knn_join(v.withColumnRenamed("vec_id", "qid"), v.withColumnRenamed("vec_id", "nid"), KNN_K)
 
 
 def _model_src():
@@ -48,8 +30,7 @@ def _model_src():
 
 
 def _codes_sql() -> str:
-    cols = ", ".join(f"CASE WHEN {q(c)} IS NULL THEN NULL ELSE dense_rank() OVER (PARTITION BY {q(c)} IS NULL "
-                     f"ORDER BY {q(c)}) - 1 END AS {q(c)}" for c in M.CATEGORICAL)
+    cols = ", ".join(f"dense_rank() OVER (ORDER BY {q(c)} ASC NULLS LAST) - 1 AS {q(c)}" for c in M.CATEGORICAL)
     return with_ctes(["analysis"], f'SELECT "VIN", {cols} FROM src', [("src", _model_src())])
 
 
@@ -87,90 +68,109 @@ def _impute_mode(s, d):
     return E.impute_mode(a, M.CATEGORICAL)
 
 
-@register("one_hot")
+def _hot_sql() -> str:
+    """Indicator positions: the code plus the widths of the columns before."""
+    width = [f"(SELECT count(DISTINCT {q(c)}) + max(CASE WHEN {q(c)} IS NULL THEN 1 ELSE 0 END) FROM src)" for c in M.CATEGORICAL]
+    cols = ", ".join(f"dense_rank() OVER (ORDER BY {q(c)} ASC NULLS LAST) - 1 + {' + '.join(width[:i]) or '0'} AS {q('hot ' + c)}"
+                     for i, c in enumerate(M.CATEGORICAL))
+    return with_ctes(["analysis"], f'SELECT "VIN", {cols} FROM src', [("src", _model_src())])
+
+
+@register("one_hot", _hot_sql())
 def _one_hot(s, d):
-    base = M.model_frame(analysis(s, d))
-    out, names = E.one_hot(base, "Fuel Type", prefix="fuel#")
-    return out.select("VIN", F.aggregate(F.array(*[F.col(f"`{n}`") for n in names]), F.lit(0.0),
-                                         lambda a, b: a + b).alias("hot_count"))
+    a = cut_lineage(analysis(s, d).filter(F.col("VIN").isNotNull()).select("VIN", *[F.col(f"`{c}`") for c in M.CATEGORICAL]))
+    hot, _ = E.one_hot(a, M.CATEGORICAL, E.category_codes(a, M.CATEGORICAL))
+    return hot.select("VIN", *[F.col("hot")[i].alias(f"hot {c}") for i, c in enumerate(M.CATEGORICAL)])
+
+
+# The fitted model and the scored catalogue are materialised once per application
+# and input; the keys below read them.
+_FITTED: dict[tuple[str, str], M.ListingModel] = {}
+_SCORED: dict[tuple[str, str], object] = {}
+
+
+def _model(s, d) -> M.ListingModel:
+    key = (s.sparkContext.applicationId, d)
+    if key not in _FITTED:
+        _FITTED[key] = M.fit_model(analysis(s, d))
+    return _FITTED[key]
+
+
+def _scores(s, d):
+    key = (s.sparkContext.applicationId, d)
+    if key not in _SCORED:
+        model = _model(s, d)
+        _SCORED[key] = cut_lineage(M.score_all(model.catalogue, model=model))
+    return _SCORED[key]
 
 
 @register("truncated_svd")
 def _truncated_svd(s, d):
-    base = M.model_frame(analysis(s, d))
-    vecs, _ = M.feature_vectors(base, with_time=True)
-    return M.truncated_svd(vecs, "vec", 15).select("VIN", "svd")
+    return _model(s, d).catalogue.select("VIN", "svd")
 
 
 @register("kmeans_cluster")
 def _kmeans(s, d):
-    return M.clusters(M.model_frame(analysis(s, d)))
+    return _model(s, d).catalogue.select("VIN", "cluster", "Listed Days")
 
 
 @register("cluster_stats")
 def _cluster_stats(s, d):
-    return M.cluster_stats(M.clusters(M.model_frame(analysis(s, d))))
+    return _model(s, d).stats
 
 
 @register("cluster_stats_lookup")
 def _cluster_stats_lookup(s, d):
-    cl = M.clusters(M.model_frame(analysis(s, d)))
-    return M.cluster_stats_lookup(cl, M.cluster_stats(cl))
+    m = _model(s, d)
+    return M.cluster_stats_lookup(m.catalogue.select("VIN", "cluster", "Listed Days"), m.stats)
 
 
-@_heavy("score_all")
+@register("score_all")
 def _score_all(s, d):
-    return M.score_all(analysis(s, d))
+    return _scores(s, d)
 
 
-def _scores(s, d):
-    """The scoring pipeline with neighbours on the scaled numerics (exact kNN,
-    pruned by projection); ``score_all`` runs the full feature set."""
-    return M.score_all(analysis(s, d), knn_features="numeric")
-
-
-@_heavy("weibull_fit")
+@register("weibull_fit")
 def _weibull_fit(s, d):
     return _scores(s, d).select("VIN", "weibull_shape", "weibull_scale")
 
 
-@_heavy("sell_probability")
+@register("sell_probability")
 def _sell_probability(s, d):
     return _scores(s, d).select("VIN", "current_listing_days", "probability_sold_30days")
 
 
-@_heavy("sell_quantiles")
+@register("sell_quantiles")
 def _sell_quantiles(s, d):
     return _scores(s, d).select("VIN", "days_to_sell_25p", "days_to_sell_median", "days_to_sell_75p")
 
 
-@_heavy("sell_fallback")
+@register("sell_fallback")
 def _sell_fallback(s, d):
     return _scores(s, d).filter(F.col("weibull_shape").isNull()).select(
         "VIN", "probability_sold_30days", "days_to_sell_median", "similar_cars_median_days")
 
 
-@_heavy("expected_days")
+@register("expected_days")
 def _expected_days(s, d):
     return _scores(s, d).select("VIN", "expected_days_to_sell", "total_expected_days")
 
 
-@_heavy("cluster_outcome_stats")
+@register("cluster_outcome_stats")
 def _cluster_outcome_stats(s, d):
-    a = analysis(s, d)
-    return M.cluster_outcome_stats(M.score_all(a, knn_features="numeric"), M.model_frame(a))
+    return M.cluster_outcome_stats(_scores(s, d), _model(s, d).catalogue)
 
 
-@_heavy("combine_predictions")
+@register("combine_predictions")
 def _combine_predictions(s, d):
-    return M.combine_predictions(clean(s, d), M.score_all(analysis(s, d), knn_features="numeric"))
+    return M.combine_predictions(clean(s, d), _scores(s, d))
 
 
-@_heavy("score_new")
+@register("score_new")
 def _score_new(s, d):
-    """Score the analysis listings as if new (Listed Days 0) against the catalogue."""
-    a = analysis(s, d)
-    return M.score_new(a, a, knn_features="numeric")
-
-
-__all__ = ["remaining_quantile", "sell_probability", "weibull_scale", "weibull_shape"]
+    """A second frame of listings against the catalogue: other VINs, cheaper and
+    further driven, the electric ones of a make the catalogue does not have."""
+    new = analysis(s, d).withColumns({
+        "VIN": F.concat(F.lit("N-"), F.col("VIN")), "Cash Price (USD)": F.col("`Cash Price (USD)`") * 0.9,
+        "Mileage": F.col("Mileage") + 5000, "Car Make": F.when(F.col("`Fuel Type`") == "Electric", "Unseen").otherwise(F.col("`Car Make`"))})
+    return M.score_new(new, _model(s, d))

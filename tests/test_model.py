@@ -2,9 +2,13 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from lotwise.operators.knn import knn_join
+from lotwise.operators import encode as E
+from lotwise.operators import knn
+from lotwise.operators import model as M
+from lotwise.operators.quantiles import exact_quantiles
 from lotwise.operators.selltime import weibull_scale, weibull_shape
 
 
@@ -38,17 +42,115 @@ def test_weibull_matches_bisection(spark):
         assert math.isclose(r["k"], k, rel_tol=1e-6) and math.isclose(r["lam"], lam, rel_tol=1e-6)
 
 
-def test_knn_matches_brute_force(spark):
+def brute(qv, qc, cv, cc, k):
+    d = np.sqrt(((qv[:, None, :] - cv[None, :, :]) ** 2).sum(-1) + np.where(qc[:, None, :] == cc[None, :, :], 0, 2 - (qc[:, None, :] < 0) - (cc[None, :, :] < 0)).sum(-1))
+    return [sorted(range(len(cv)), key=lambda j: (round(d[i, j], 9), j))[:k] for i in range(len(qv))]
+
+
+@pytest.mark.parametrize("cell,block", [(2000, 4096), (20, 16)])
+def test_knn_matches_brute_force(spark, monkeypatch, cell, block):
+    monkeypatch.setattr(knn, "CELL", cell)
+    monkeypatch.setattr(knn, "BLOCK", block)
     rnd = np.random.default_rng(3)
-    pts = rnd.normal(size=(300, 6))
-    pts[:100] = pts[0]  # a third of the points share one vector (hot key)
-    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(pts)], "id long, vec array<double>")
-    k = 5
-    got = knn_join(df.withColumnRenamed("id", "qid"), df.withColumnRenamed("id", "nid"), k, 6).collect()
-    mine = {}
-    for r in got:
-        mine.setdefault(r["qid"], []).append((r["rank"], r["nid"]))
-    d = np.sqrt(((pts[:, None, :] - pts[None, :, :]) ** 2).sum(-1))
-    for q in range(len(pts)):
-        order = sorted(range(len(pts)), key=lambda j: (round(d[q, j], 9), j))[:k]
-        assert [n for _, n in sorted(mine[q])] == order
+    v = rnd.normal(size=(300, 4))
+    c = rnd.integers(-1, 3, size=(300, 3))
+    v[:100], c[:100] = v[0], c[0]  # a third of the points are one point
+    rows = [(i, [float(x) for x in a], [int(x) for x in b]) for i, (a, b) in enumerate(zip(v, c))]
+    df = spark.createDataFrame(rows + [(999, None, [0, 0, 0])], "id long, vec array<double>, codes array<int>")
+    q, n = df.withColumnRenamed("id", "qid"), df.withColumnRenamed("id", "nid")
+    for self_too in (True, False):
+        mine = {}
+        for r in knn.knn_join(q, n, 5, codes="codes", exclude_self=not self_too).collect():
+            mine.setdefault(r["qid"], []).append((r["rank"], r["nid"]))
+        want = brute(v, c, v, c, 6)
+        for i in range(300):
+            order = want[i][:5] if self_too else [j for j in want[i] if j != i][:5]
+            assert [x for _, x in sorted(mine[i])] == order
+        assert 999 not in mine
+    few = knn.knn_join(q.where("qid < 3"), n.where("nid >= 298 AND nid < 300"), 5, codes="codes").collect()
+    assert sorted((r["qid"], r["rank"]) for r in few) == [(i, r) for i in range(3) for r in (1, 2)]
+    assert knn.knn_join(q, n.where("nid < 0"), 5, codes="codes").count() == 0
+
+
+def listings(spark, n=200, seed=1, makes=("Aa", "Bb", "Cc", None)):
+    rnd = random.Random(seed)
+    rows = [(f"V{seed}-{i}", *[rnd.choice([None, 2000.0 + i % 20, float(i)]) for _ in M.NUMERIC], *[rnd.choice(makes) for _ in M.CATEGORICAL],
+             rnd.choice([None, 0.0, 3.0, 40.0, 90.0])) for i in range(n)]
+    return spark.createDataFrame(rows, ", ".join(["VIN string"] + [f"`{c}` double" for c in M.NUMERIC] + [f"`{c}` string" for c in M.CATEGORICAL] + ["`Listed Days` double"]))
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    return listings(spark), M.fit_model(listings(spark))
+
+
+def test_codes_nulls_and_one_hot(spark, fitted):
+    df, model = fitted
+    codes = {(r["column"], r["value"]): r["code"] for r in model.encoding.codes.collect()}
+    assert {v: codes[("State", v)] for v in ("Aa", "Bb", "Cc", None)} == {"Aa": 0, "Bb": 1, "Cc": 2, None: 3}
+    hot, width = E.one_hot(df, M.CATEGORICAL, model.encoding.codes)
+    assert width == 36 and all(len(r.hot) == 9 and r.hot == sorted(r.hot) for r in hot.collect())
+
+
+def test_svd_equals_dense_and_clusters_are_nearest(spark, fitted):
+    _, model = fitted
+    rows = model.catalogue.collect()
+    x = np.zeros((len(rows), 6 + model.encoding.width))
+    for i, r in enumerate(rows):
+        x[i, :6] = [*r.z, r.z_time]
+        for j, c in enumerate(r.codes):
+            x[i, 6 + model.encoding.offsets[M.CATEGORICAL[j]] + c] = 1
+    v = model.components
+    assert np.allclose(v.T @ v, np.eye(15), atol=1e-9)
+    assert np.allclose(np.linalg.norm(x @ v, axis=0)[:10], np.linalg.svd(x, compute_uv=False)[:10], rtol=1e-2)
+    svd = np.array([r.svd for r in rows])
+    assert np.allclose(svd, x @ v)
+    centres = np.array(model.kmeans.clusterCenters())
+    assert [r.cluster for r in rows] == ((svd[:, None] - centres[None]) ** 2).sum(-1).argmin(1).tolist()
+    days = {}
+    for r in rows:
+        days.setdefault(r.cluster, []).append(r["Listed Days"])
+    for r in model.stats.collect():
+        assert r["count"] == len(days[r.cluster]) and r["median"] == np.median(days[r.cluster])
+
+
+def test_new_listings_use_the_fitted_state(spark, fitted):
+    df, model = fitted
+    new = listings(spark, 30, seed=2, makes=("Bb", "Zz"))
+    rows = {r.VIN: r for r in M.encode(new, model.encoding).collect()}
+    raw = {r.VIN: r for r in new.collect()}
+    for vin, r in rows.items():
+        assert r.codes == [1 if raw[vin][c] == "Bb" else -1 for c in M.CATEGORICAL]
+    scored = {r.VIN: r for r in M.score_new(new, model).collect()}
+    assert len(scored) == 30 and all(r.current_listing_days == 0 and r.similar_cars_count == 20 for r in scored.values())
+    again = {r.VIN: r.asDict() for r in M.score_new(new.limit(7), model).collect()}
+    assert all(again[v] == scored[v].asDict() for v in again)  # nothing depends on the other new rows
+    same = {r.VIN: r for r in M.score_new(df.where("`Listed Days` = 0"), model).collect()}
+    inside = {r.VIN: r for r in M.score_all(df, model=model).collect()}
+    assert same and all(same[v].cluster == inside[v].cluster and same[v].days_to_sell_median == inside[v].days_to_sell_median for v in same)
+
+
+def test_score_fields_follow_the_closed_forms(spark, fitted):
+    df, model = fitted
+    for r in M.score_all(df, model=model).collect():
+        t, k, lam = r.current_listing_days, r.weibull_shape, r.weibull_scale
+        if k is None:
+            assert r.probability_sold_30days == 0.5 and math.isclose(r.days_to_sell_25p, 0.7 * r.days_to_sell_median)
+        else:
+            sf = lambda x, k=k, lam=lam: math.exp(-((x / lam) ** k))
+            assert math.isclose(r.probability_sold_30days, 1 - sf(t + 30) / sf(t), abs_tol=1e-9)
+            q = lam * math.log(2) ** (1 / k)
+            assert math.isclose(r.days_to_sell_median, max(0.0, q - t), abs_tol=1e-6)
+        assert math.isclose(r.expected_days_to_sell, 0.7 * r.days_to_sell_median + 0.3 * r.similar_cars_median_days, abs_tol=1e-9)
+
+
+def test_exact_quantiles(spark):
+    rnd = np.random.default_rng(2)
+    x = np.round(rnd.normal(size=500), 1)
+    g = rnd.integers(0, 3, 500)
+    df = spark.createDataFrame([(int(a), float(b), None) for a, b in zip(g, x)] + [(None, 1.0, None), (7, None, None)], "g int, x double, none double")
+    got = {(r.grp, r.q): r.value for r in exact_quantiles(df, ["x", "none"], [0, 0.25, 0.5, 0.9, 1], "g").collect()}
+    assert len(got) == 20 and got[(None, 0.5)] == 1.0
+    for h in range(3):
+        for q in (0, 0.25, 0.5, 0.9, 1):
+            assert math.isclose(got[(h, q)], np.quantile(x[g == h], q), abs_tol=1e-12)
