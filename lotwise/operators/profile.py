@@ -1,5 +1,6 @@
 """Whole-frame statistics: describe, profile, quality, correlation, box plots,
-histograms. Each is one (or two) aggregation passes; nothing is collected."""
+histograms. Each is one (or two) aggregation passes; nothing is collected.
+Frames that need two passes are materialised first."""
 from __future__ import annotations
 
 from itertools import combinations
@@ -7,6 +8,9 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .quantiles import exact_quantiles, quantile_columns
+
 
 def _c(n: str) -> Column:
     return F.col(f"`{n}`")
@@ -21,14 +25,16 @@ def _stack(one_row: DataFrame, names: list[str], fields: list[str], key: str = "
 
 def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     """count, mean, std (sample), min, 25/50/75 % (exact, linear), max per column."""
+    df = cut_lineage(df.select(*[_c(c) for c in cols]))
     aggs = []
     for i, c in enumerate(cols):
         x = _c(c).cast("double")
         aggs += [F.count(x).alias(f"{i}__count"), F.avg(x).alias(f"{i}__mean"),
-                 F.stddev_samp(x).alias(f"{i}__std"), F.min(x).alias(f"{i}__min"),
-                 F.percentile(x, F.lit(0.25)).alias(f"{i}__p25"), F.percentile(x, F.lit(0.5)).alias(f"{i}__p50"),
-                 F.percentile(x, F.lit(0.75)).alias(f"{i}__p75"), F.max(x).alias(f"{i}__max")]
-    return _stack(df.agg(*aggs), cols, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
+                 F.stddev_samp(x).alias(f"{i}__std"), F.min(x).alias(f"{i}__min"), F.max(x).alias(f"{i}__max")]
+    plain = _stack(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+    wide = q.groupBy("column").agg(*[F.max(F.when(F.col("q") == x, F.col("value"))).alias(n) for n, x in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))])
+    return plain.join(wide, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -75,9 +81,8 @@ def boxplot_summary(df: DataFrame, group: str, value: str) -> DataFrame:
     box) and the outlier count. Quartiles first, then one pass over the rows
     joined to their group's fences."""
     v = _c(value).cast("double")
-    base = df.filter(_c(group).isNotNull() & v.isNotNull()).select(_c(group).alias("grp"), v.alias("v"))
-    q = base.groupBy("grp").agg(F.percentile("v", F.lit(0.25)).alias("q1"), F.median("v").alias("median"),
-                                F.percentile("v", F.lit(0.75)).alias("q3"))
+    base = cut_lineage(df.filter(_c(group).isNotNull() & v.isNotNull()).select(_c(group).alias("grp"), v.alias("v")))
+    q = quantile_columns(exact_quantiles(base, ["v"], [0.25, 0.5, 0.75], "grp"), {("v", 0.25): "q1", ("v", 0.5): "median", ("v", 0.75): "q3"}, "grp")
     q = q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     j = base.join(q, "grp")

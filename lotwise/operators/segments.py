@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import PRICE_SEGMENT_LABELS
 from ..session import cut_lineage
+from .quantiles import exact_quantiles, quantile_columns
 
 SEG = "Price Segment"
 
@@ -69,6 +70,17 @@ def crosstab_pct(df: DataFrame, row: str, col: str) -> DataFrame:
     return ct.select("row_value", "col_value", (F.col("n") * 100.0 / F.sum("n").over(w)).alias("pct"))
 
 
+def crosstab_many(df: DataFrame, tabs: list[tuple[str, str, str]]) -> DataFrame:
+    """(crosstab, row_value, col_value, n, pct) of several named (name, row, column)
+    crosstabs from one pass: one count over exploded triples (combined before
+    the shuffle), one window over the counted frame for the row shares."""
+    triple = F.explode(F.array(*[F.struct(F.lit(name).alias("crosstab"), _c(r).cast("string").alias("row_value"), _c(c).cast("string").alias("col_value"))
+                                 for name, r, c in tabs]))
+    counts = df.select(triple.alias("t")).select("t.*").where("row_value IS NOT NULL AND col_value IS NOT NULL") \
+        .groupBy("crosstab", "row_value", "col_value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy("crosstab", "row_value")))
+
+
 def _by_segment(df: DataFrame, aggs: list[Column], seg: str = SEG) -> DataFrame:
     """Aggregate per segment and attach to the full segment dimension, so
     empty segments appear (with NULL statistics), in segment order."""
@@ -87,10 +99,12 @@ def segment_listed_days(df: DataFrame, seg: str = SEG) -> DataFrame:
 
 
 def segment_mileage(df: DataFrame, seg: str = SEG) -> DataFrame:
-    m = _c("Mileage")
-    out = _by_segment(df, [F.avg(m).alias("mean"), F.median(m).alias("median"), F.min(m).alias("min"),
-                           F.max(m).alias("max"), F.count(m).alias("count")], seg)
-    return out.withColumn("count", F.coalesce("count", F.lit(0)).cast("bigint"))
+    """mean, median (exact, see ``exact_quantiles``), min, max and count of the mileage per segment."""
+    df, m = cut_lineage(df.select(_c(seg), _c("Mileage"))), _c("Mileage")
+    out = _by_segment(df, [F.avg(m).alias("mean"), F.min(m).alias("min"), F.max(m).alias("max"), F.count(m).alias("count")], seg)
+    median = quantile_columns(exact_quantiles(df.where(_c(seg).isNotNull()), ["Mileage"], [0.5], seg), {("Mileage", 0.5): "median"}, "segment")
+    return out.join(median, "segment", "left").select("segment_order", "segment", "mean", "median", "min", "max",
+                                                      F.coalesce("count", F.lit(0)).cast("bigint").alias("count")).orderBy("segment_order")
 
 
 def limit_per_group(df: DataFrame, group: str, order: Iterable[Column], n: int, rank_col: str = "rank") -> DataFrame:
@@ -135,14 +149,12 @@ def segment_report(df: DataFrame) -> DataFrame:
     """(section, segment, key, value) rows covering counts, every crosstab
     percentage, MPG, listed days and mileage statistics per segment. The
     input is materialised once (checkpoint in the shared folder) because
-    every section of the union reads it."""
-    df = cut_lineage(with_top_columns(df))
+    every section of the union reads it; the eight crosstabs are one count."""
+    df = with_top_columns(cut_lineage(df))
     parts = [segment_counts(df).select(F.lit("count").alias("section"), "segment",
                                        F.lit("n").alias("key"), F.col("n").cast("double").alias("value"))]
-    for name, row, col in CROSSTABS:
-        ct = crosstab_pct(df, row, col)
-        parts.append(ct.select(F.lit(name).alias("section"), F.col("row_value").alias("segment"),
-                               F.col("col_value").alias("key"), F.col("pct").alias("value")))
+    parts.append(crosstab_many(df, CROSSTABS).select(F.col("crosstab").alias("section"), F.col("row_value").alias("segment"),
+                                                     F.col("col_value").alias("key"), F.col("pct").alias("value")))
     mpg = segment_mpg(df)
     parts.append(unpivot_metrics(mpg, ["segment"], ["city_mpg", "highway_mpg"], "key", "value")
                  .select(F.lit("mpg").alias("section"), "segment", "key", "value"))

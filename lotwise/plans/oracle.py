@@ -36,7 +36,7 @@ def make_of_title(c): return f"regexp_extract({c}, '^\\d{{4}}\\s+(\\S+)', 1)"
 def strip_dollar(c): return f"trim(regexp_replace({c}, '\\$', '', 'g'))"
 def first_integer(c): return f"regexp_extract({c}, '(\\d+)', 1)"
 def chunk(c, i): return f"string_split({c}, '·')[{i + 1}]"
-def down_payment(ch): return f"trim(regexp_replace(regexp_replace({ch}, '^\\$', ''), '[^\\d,]', '', 'g'))"
+def down_payment(ch): return f"regexp_replace({ch}, '[^\\d,]', '', 'g')"
 def apr(ch): return f"regexp_extract({ch}, '(\\d+(\\.\\d+)?)', 1)"
 def mileage_digits(c): return f"trim(regexp_replace({c}, '[^\\d,]', '', 'g'))"
 def py_strip(c): return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
@@ -257,6 +257,8 @@ def with_ctes(needs: list[str], select: str, extra: list[tuple[str, str]] | None
         seen.add(n)
     for n in needs:
         visit(n)
-    parts = [f"{n} AS ({CTES[n]()})" for n in ORDER if n in seen]
-    parts += [f"{n} AS ({body})" for n, body in (extra or [])]
+    # frames that a query reads more than once are computed once
+    shared = {"listing", "analysis", "src", "topped"}
+    parts = [(n, CTES[n]()) for n in ORDER if n in seen] + list(extra or [])
+    parts = [f"{n} AS {'MATERIALIZED ' if n in shared else ''}({body})" for n, body in parts]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + select

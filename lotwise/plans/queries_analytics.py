@@ -7,9 +7,11 @@ from ..operators import profile as P
 from ..operators import segments as S
 from ..operators.dedup import dedup_report
 from ..operators.cleaning import null_sentinels
+from ..operators.encode import label_encode
+from ..operators.model import CATEGORICAL
 from ..operators.runlog import events_run_log, run_status_rollup
 from ..schemas import PRICE_SEGMENT_LABELS
-from . import oracle as O
+from ..session import cut_lineage
 from .catalog import analysis, clean, raw, register
 from .oracle import lit, q, with_ctes
 
@@ -24,9 +26,9 @@ def _top(col: str) -> str:
 
 
 TOPPED = [("seg_dim", SEG_DIM), ("top_ext", _top("Exterior")), ("top_state", _top("State")),
-          ("topped", "SELECT *, CASE WHEN \"Exterior\" IN (SELECT v FROM top_ext) THEN \"Exterior\" ELSE 'Other' END "
-                     "AS \"Top Exterior Color\", CASE WHEN \"State\" IN (SELECT v FROM top_state) THEN \"State\" "
-                     "ELSE 'Unmatched' END AS \"Top State\" FROM analysis")]
+          ("topped", "SELECT a.*, CASE WHEN e.v IS NOT NULL THEN a.\"Exterior\" ELSE 'Other' END AS \"Top Exterior Color\", "
+                     "CASE WHEN t.v IS NOT NULL THEN a.\"State\" ELSE 'Unmatched' END AS \"Top State\" FROM analysis a "
+                     "LEFT JOIN top_ext e ON a.\"Exterior\" = e.v LEFT JOIN top_state t ON a.\"State\" = t.v")]
 
 
 def A(select: str, extra=None) -> str:
@@ -68,12 +70,7 @@ CT3 = [("make_by_segment", "Car Make", "Price Segment"), ("year_by_segment", "Ye
 
 @register("crosstab_counts", A(" UNION ALL ".join(_ct_sql(*t) for t in CT3)))
 def _crosstab_counts(s, d):
-    a = analysis(s, d)
-    out = None
-    for name, row, col in CT3:
-        ct = S.crosstab_counts(a, row, col).select(F.lit(name).alias("crosstab"), "*")
-        out = ct if out is None else out.unionByName(ct)
-    return out
+    return S.crosstab_many(analysis(s, d), CT3).drop("pct")
 
 
 def _pct_sql(name, row, col):
@@ -83,12 +80,7 @@ def _pct_sql(name, row, col):
 
 @register("crosstab_pct", A(" UNION ALL ".join(_pct_sql(*t) for t in S.CROSSTABS)))
 def _crosstab_pct(s, d):
-    a = S.with_top_columns(analysis(s, d))
-    out = None
-    for name, row, col in S.CROSSTABS:
-        ct = S.crosstab_pct(a, row, col).select(F.lit(name).alias("crosstab"), "*")
-        out = ct if out is None else out.unionByName(ct)
-    return out
+    return S.crosstab_many(S.with_top_columns(cut_lineage(analysis(s, d))), S.CROSSTABS).drop("n")
 
 
 def _seg_sql(aggs: str) -> str:
@@ -145,7 +137,7 @@ def _segment_report(s, d):
 # ---------------------------------------------------------------------------
 @register("top_n_else_other", A('SELECT "VIN", "Top Exterior Color", "Top State" FROM topped'))
 def _top_n_else_other(s, d):
-    return S.with_top_columns(analysis(s, d)).select("VIN", "Top Exterior Color", "Top State")
+    return S.with_top_columns(cut_lineage(analysis(s, d).select("VIN", "Exterior", "State"))).select("VIN", "Top Exterior Color", "Top State")
 
 
 @register("top_k_values", A('SELECT "Exterior" AS value, count(*) AS n FROM analysis WHERE "Exterior" IS NOT NULL '
@@ -223,7 +215,8 @@ def _quality_metrics(s, d):
     return P.quality_metrics(clean(s, d).select(*[F.col(f"`{c}`") for c in CLEAN_COLUMNS]))
 
 
-CORR_COLS = NUMERIC + ["Listed Days"]
+# The nine label-encoded columns and the six numbers.
+CORR_COLS = NUMERIC + ["Listed Days"] + CATEGORICAL
 
 
 def _corr_sql() -> str:
@@ -235,12 +228,15 @@ def _corr_sql() -> str:
                              f"FROM analysis")
             else:
                 parts.append(f"SELECT '{a}', '{b}', corr({q(a)}, {q(b)}) FROM analysis")
-    return " UNION ALL ".join(parts)
+    coded = ", ".join(f"(dense_rank() OVER (ORDER BY {q(c)} ASC NULLS LAST) - 1)::DOUBLE AS {q(c)}" for c in CATEGORICAL)
+    return with_ctes(["analysis"], " UNION ALL ".join(parts).replace("FROM analysis", "FROM src"),
+                     [("src", f"SELECT {', '.join(q(c) for c in NUMERIC + ['Listed Days'])}, {coded} FROM analysis")])
 
 
-@register("correlation_matrix", A(_corr_sql()))
+@register("correlation_matrix", _corr_sql())
 def _correlation_matrix(s, d):
-    return P.correlation_matrix(analysis(s, d), CORR_COLS)
+    a = cut_lineage(analysis(s, d).select(*[F.col(f"`{c}`") for c in CORR_COLS]))
+    return P.correlation_matrix(label_encode(a, CATEGORICAL), CORR_COLS)
 
 
 @register("boxplot_summary", A(f"""

@@ -11,10 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import split_features
-from ..operators.analysis import clean_for_analysis  # noqa: F401
-from ..operators.warehouse import incremental_load, read_warehouse, run_audit_row
-from ..schemas import LISTING_FIELDS, OVERVIEW_FIELDS, WAREHOUSE_TABLES, ddl
+from ..operators.warehouse import incremental_load, run_audit_row
+from ..schemas import LISTING_FIELDS, OVERVIEW_FIELDS
 from ..session import scratch_path
 from ..sources import files, jdbc, jsonio, kvtext, lake, web
 from . import oracle as O
@@ -119,12 +117,14 @@ def _write_lake(s, d):
                                     F.bool_and(F.col("load_date").isNotNull()).alias("dated"))
 
 
-@register("load_manifest", with_ctes(["raw_listing"], "SELECT count(*) AS rows, true AS has_files FROM raw_listing"))
+@register("load_manifest", with_ctes(["raw_listing"], "SELECT page, count(*) AS rows, true AS has_files, true AS counted FROM raw_listing GROUP BY page"))
 def _load_manifest(s, d):
     base = _scratch(s, "manifest")
     lake.write_lake(raw(s, d), base, fmt="parquet")
-    m = lake.load_manifest(s, base, source_directory="raw_listing", fmt="parquet")
-    return m.select("rows", (F.col("loaded_files_count") > 0).alias("has_files"))
+    today = s.range(1).select(F.date_format(F.current_date(), "yyyy-MM-dd")).first()[0]
+    m = lake.load_manifest(s, base, source_directory="raw_listing", load_date=today, fmt="parquet")
+    return m.groupBy("page").agg(F.sum("rows").alias("rows"), F.bool_and(F.col("file_path").isNotNull()).alias("has_files"),
+                                 (F.max("loaded_files_count") >= F.count(F.lit(1))).alias("counted"))
 
 
 @register("write_with_fallback", with_ctes(["raw_listing"], "SELECT 'local_fallback' AS storage_type, "
@@ -209,12 +209,11 @@ def read_warehouse_from_listing(s, d):
     return vertical_split(listing(s, d))
 
 
-@register("append_jdbc", with_ctes(["car_info"], "SELECT count(*) AS rows, count(DISTINCT \"VIN\") AS keys FROM car_info"))
+@register("append_jdbc", with_ctes(["car_info"], "SELECT * FROM car_info"))
 def _append_jdbc(s, d):
     url, props = _derby(s, "jdbc_append")
     jdbc.append_jdbc(_car_info(s, d), url, "Car_Info", props)
-    back = s.read.jdbc(url, '"Car_Info"', properties=props)
-    return back.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("VIN").alias("keys"))
+    return s.read.jdbc(url, '"Car_Info"', properties=props)
 
 
 @register("read_jdbc_subquery", with_ctes(["car_info"], 'SELECT "VIN" FROM car_info'))
@@ -226,27 +225,6 @@ def _read_jdbc_subquery(s, d):
     return keys.unionByName(missing)
 
 
-@register("ensure_tables")
-def _ensure_tables(s, d):
-    url, props = _derby(s, "jdbc_ensure")
-    first = jdbc.ensure_tables_jdbc(s, url, props)
-    second = jdbc.ensure_tables_jdbc(s, url, props)
-    n = _car_info(s, d).count()
-    return s.createDataFrame([(t, 1) for t in first] + [(t, 2) for t in second] + [("car_info_rows", n)],
-                             "table string, run long")
-
-
-@register("list_tables")
-def _list_tables(s, d):
-    _car_info(s, d).createOrReplaceTempView("Car_Info")
-    return jdbc.list_tables(s)
-
-
-@register("describe_table")
-def _describe_table(s, d):
-    return jdbc.describe_table(_car_info(s, d))
-
-
 @register("resolve_table_alias")
 def _resolve_alias(s, d):
     read_warehouse_from_listing(s, d)["other_detail"].createOrReplaceTempView("Other_Details")
@@ -369,8 +347,7 @@ def _incremental_load(s, d):
     first = incremental_load(s, lst, root, run_id=1)
     second = incremental_load(s, lst, root, run_id=2)
     return (first.select(F.lit(1).alias("run"), "*")
-            .unionByName(second.select(F.lit(2).alias("run"), "*"))
-            .withColumnRenamed("rows_added", "rows_added"))
+            .unionByName(second.select(F.lit(2).alias("run"), "*")))
 
 
 @register("run_audit")
@@ -387,5 +364,3 @@ def _run_marker(s, d):
     run_audit_row(s, 9, n, "SUCCESS", "tester", kind="marker").write.mode("append").parquet(f"{root}/etl_log")
     return s.read.parquet(f"{root}/etl_log")
 
-
-__all__ = ["WAREHOUSE_TABLES", "ddl", "read_warehouse", "split_features"]

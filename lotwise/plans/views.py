@@ -26,13 +26,13 @@ VIEW_MAKES = [
     "Aston Martin", "Dodge", "Ram", "GMC", "Volvo", "Porsche", "Alfa Romeo", "Cadillac",
 ]
 # partkey % 8 -> exterior colour.
-VIEW_EXTERIORS = ["Oxford White", "Agate Black", "Magnetic Gray", "Ruby Red", "blue-gray",
-                  "O'hare Blue", "Unknown", "Iconic Silver"]
+VIEW_EXTERIORS = ["Harbor Mist", "Coal Dust", "Lake Gray", "Brick Red", "blue-gray",
+                  "O'dell Blue", "Unknown", "Moon Silver"]
 # suppkey % 4 -> interior colour.
 VIEW_INTERIORS = ["Black", "Gray", "Beige", "Unknown"]
 # supplier nation key -> dealer location (None = no location).
 VIEW_LOCATIONS = [
-    "Fort Myers, FL", "Las Vegas, NV", "Austin, TX", "Portland, Oregon", "Washington, DC",
+    "Elmstead, FL", "Las Vegas, NV", "Austin, TX", "Portland, Oregon", "Washington, DC",
     "Denver, CO", "Miami, FL", "New York, NY", "Los Angeles, California", "Phoenix, AZ",
     "Seattle, WA", "Chicago, IL", "Boston, MA", "Atlanta, GA", "Dallas, TX", "Houston, TX",
     "San Diego, CA", "Orlando, FL", "Columbus, OH", "Detroit, MI", "Nashville, Tennessee",

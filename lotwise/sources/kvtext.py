@@ -96,4 +96,4 @@ def conversion_summary(df: DataFrame) -> DataFrame:
 
 def write_json_by_page(df: DataFrame, out: str, mode: str = "overwrite") -> None:
     """One output folder per page (``page=<n>``)."""
-    df.write.mode(mode).partitionBy("page").json(out)
+    df.hint("rebalance", "page").write.mode(mode).partitionBy("page").json(out)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import getpass
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,11 +23,23 @@ def stamp_lake_metadata(df: DataFrame, data_source: str = "crawler", data_versio
 
 def write_lake(df: DataFrame, base: str, fmt: str = "json") -> None:
     """Append under ``<base>/load_date=<yyyy-MM-dd>/page=<n>/``. Spark names
-    files uniquely per job, so repeated loads never overwrite each other."""
-    (df.withColumn("load_date", F.date_format(F.current_date(), "yyyy-MM-dd"))
+    files uniquely per job, so repeated loads never overwrite each other. Rows
+    are rebalanced by folder first: a folder gets few files, a big one is split."""
+    (df.withColumn("load_date", F.date_format(F.current_date(), "yyyy-MM-dd")).hint("rebalance", "load_date", "page")
        .write.mode("append").partitionBy("load_date", "page").format(fmt).save(base))
 
 
+def load_json_lines(spark: SparkSession, source: str, base: str, schema: str, fmt: str = "json") -> DataFrame:
+    """Load JSON records (one a line) into the lake and go on past those that do
+    not parse: the good ones are written, and so are listed in the manifest;
+    returns the others as (file_path, record) for the log."""
+    text = spark.read.text(source).select(F.col("value").alias("record"), F.col("_metadata.file_path").alias("file_path")).where("trim(record) != ''")
+    parsed = text.withColumn("r", F.from_json("record", f"{schema}, _broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}))
+    bad = F.col("r").isNull() | F.col("r._broken").isNotNull()
+    write_lake(parsed.where(~bad).select("r.*").drop("_broken"), base, fmt)
+    return parsed.where(bad).select("file_path", "record")
+
+
 def read_lake(spark: SparkSession, base: str, schema=None, fmt: str = "json") -> DataFrame:
     """Read the lake; ``load_date``/``page`` are partition columns, so a filter
     on them prunes folders instead of guessing paths. Manifests are skipped."""
@@ -37,23 +50,22 @@ def read_lake(spark: SparkSession, base: str, schema=None, fmt: str = "json") ->
     return df.filter(F.col("__file") != "manifest.json").drop("__file")
 
 
-def manifest_files(spark: SparkSession, base: str, fmt: str = "json") -> DataFrame:
-    """One row per data file of the lake: (load_date, page, file_path, rows)."""
-    df = spark.read.format(fmt).load(base)
+def manifest_files(spark: SparkSession, base: str, load_date: str, fmt: str = "json") -> DataFrame:
+    """One row per data file of one load date (only its folder is read): (load_date, page, file_path, rows)."""
+    df = spark.read.format(fmt).load(base).where(F.col("load_date").cast("string") == load_date)
     return (df.groupBy("load_date", "page", F.col("_metadata.file_path").alias("file_path"))
               .agg(F.count(F.lit(1)).alias("rows")))
 
 
-def load_manifest(spark: SparkSession, base: str, source_directory: str, user: str | None = None,
+def load_manifest(spark: SparkSession, base: str, source_directory: str, load_date: str, user: str | None = None,
                   fmt: str = "json") -> DataFrame:
-    """Per load date: loaded file list (sorted), file count, source, target, user.
-    The list holds file names (bounded by files per load, not rows)."""
-    files = manifest_files(spark, base, fmt)
-    return files.groupBy("load_date").agg(
-        F.sort_array(F.collect_list("file_path")).alias("loaded_files"),
-        F.count(F.lit(1)).cast("int").alias("loaded_files_count"),
-        F.sum("rows").alias("rows")).select(
-        F.col("load_date").alias("load_timestamp"), "loaded_files", "loaded_files_count", "rows",
+    """The manifest of one load, one row per file: load date, page, file, rows,
+    the number of files of its page, source, target, user. The list is rows, not
+    an array, so it may be as long as the load."""
+    files = manifest_files(spark, base, load_date, fmt)
+    per_page = files.groupBy(F.col("page").alias("__page")).agg(F.count(F.lit(1)).cast("int").alias("loaded_files_count"))
+    return files.join(per_page, F.col("page").eqNullSafe(F.col("__page"))).select(
+        F.col("load_date").alias("load_timestamp"), "page", "file_path", "rows", "loaded_files_count",
         F.lit(source_directory).alias("source_directory"), F.lit(base).alias("hdfs_directory"),
         F.lit(user or getpass.getuser()).alias("user"))
 
@@ -61,14 +73,15 @@ def load_manifest(spark: SparkSession, base: str, source_directory: str, user: s
 def write_with_fallback(df: DataFrame, primary: str, fallback: str,
                         writer: Callable[[DataFrame, str], None] = write_lake) -> DataFrame:
     """Write to ``primary``; if that fails, write to ``fallback`` with
-    ``storage_system='local_fallback'`` and return the reason. Returns one
-    status row (target, storage_type, reason)."""
+    ``storage_system='local_fallback'`` and return the whole reason. Returns one
+    status row (target, storage_type, reason). Spark's writers publish files when
+    the job commits, so a write that failed before that leaves none behind."""
     spark = df.sparkSession
     try:
         writer(df, primary)
         return spark.createDataFrame([(primary, "primary", None)], "target string, storage_type string, reason string")
     except Exception as e:  # noqa: BLE001 - any write failure selects the fallback
-        reason = f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"
+        reason = f"{type(e).__name__}: {e}"
         if "datalake_metadata" in df.columns:
             df = df.withColumn("datalake_metadata", F.col("datalake_metadata").withField(
                 "storage_system", F.lit("local_fallback")))
@@ -78,8 +91,8 @@ def write_with_fallback(df: DataFrame, primary: str, fallback: str,
 
 
 def archive_snapshot(df: DataFrame, archive_root: str, fmt: str = "json") -> str:
-    """Timestamped full copy of processed input: ``<root>/json_data_<yyyyMMddHHmmss>``."""
+    """Timestamped full copy of processed input: ``<root>/json_data_<yyyyMMddHHmmss>_<unique>``."""
     ts = df.sparkSession.range(1).select(F.date_format(F.current_timestamp(), "yyyyMMddHHmmss")).first()[0]
-    target = f"{archive_root.rstrip('/')}/json_data_{ts}"
+    target = f"{archive_root.rstrip('/')}/json_data_{ts}_{uuid4().hex[:8]}"
     df.write.mode("errorifexists").format(fmt).save(target)
     return target

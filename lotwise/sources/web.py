@@ -65,22 +65,19 @@ def _rule(x: Column) -> Column:
         (x.startswith("Stock Number:"), "Stock Number", after("Stock Number:")),
         (x.contains("miles away"), "Location", py_strip(F.substring_index(x, "(", 1))),
     ]
-    field, value = None, None
+    tagged = None
     for cond, name, val in pairs:
-        field = F.when(cond, F.lit(name)) if field is None else field.when(cond, F.lit(name))
-        value = F.when(cond, val) if value is None else value.when(cond, val)
-    return F.struct(field.alias("field"), value.alias("value"))
+        entry = F.struct(F.lit(name).alias("field"), val.alias("value"))
+        tagged = F.when(cond, entry) if tagged is None else tagged.when(cond, entry)
+    return tagged
 
 
 def overview_classify(df: DataFrame, items: str = "items") -> DataFrame:
     """Array of overview item texts -> the 12 overview fields ('N/A' default;
-    a later item overwrites an earlier one for the same field). Items are
-    tagged once, folded into a field -> value map (last one wins) and read
-    out per row: array functions instead of explode + pivot, so no shuffle."""
+    a later item overwrites an earlier one for the same field, the session's
+    LAST_WIN map policy). Each item walks the rules once; array functions instead
+    of explode + pivot, so no shuffle."""
     keep = [c for c in df.columns if c != items]
-    tagged = F.filter(F.transform(F.col(items), _rule), lambda s: s["field"].isNotNull())
-    last = F.aggregate(tagged, F.create_map().cast("map<string,string>"),
-                       lambda m, s: F.map_concat(F.map_filter(m, lambda k, v: k != s["field"]),
-                                                 F.create_map(s["field"], s["value"])))
-    step = df.select(*keep, last.alias("__ov"))
+    tagged = F.filter(F.transform(F.col(items), _rule), lambda s: s.isNotNull())
+    step = df.select(*keep, F.map_from_entries(tagged).alias("__ov"))
     return step.select(*keep, *[F.coalesce(F.col("__ov")[n], F.lit("N/A")).alias(n) for n in OVERVIEW_FIELDS])

@@ -14,17 +14,17 @@ def test_title_case_matches_python(spark):
 
 
 def test_year_and_make(spark):
-    assert one(spark, L.year_of_title, ["2022 Toyota Camry SE", "Toyota Camry 2020", None]) == ["2022", "", None]
-    assert one(spark, L.make_of_title, ["2022 Land Rover Defender"]) == ["Land"]
+    assert one(spark, L.year_of_title, ["2017 Veldt Harrier LX", "Veldt Harrier 2016", None]) == ["2017", "", None]
+    assert one(spark, L.make_of_title, ["2014 Moor Runner Tall"]) == ["Moor"]
 
 
 def test_finance_parsing_quirks(spark):
-    assert one(spark, L.first_integer, ["$1,853/moEstimate"]) == ["1"]
-    assert one(spark, lambda c: L.first_integer(c, fixed=True), ["$1,853/moEstimate"]) == ["1853"]
-    fd = ["$2,500 due at signing · 72 mo · 7.39% APR", "60 months at 3.9% APR", None]
-    assert one(spark, lambda c: L.down_payment(L.finance_chunk(c, 0)), fd) == ["2,500", "6039", None]
-    assert one(spark, lambda c: L.down_payment(L.finance_chunk(c, 0), fixed=True), fd) == ["2,500", None, None]
-    assert one(spark, lambda c: L.apr(L.finance_chunk(c, 2)), fd) == ["7.39", None, None]
+    assert one(spark, L.first_integer, ["$2,417/moEstimate"]) == ["2"]
+    assert one(spark, lambda c: L.first_integer(c, fixed=True), ["$2,417/moEstimate"]) == ["2417"]
+    fd = ["$3,150 due at signing · 54 mo · 6.05% APR", "60 months at 3.9% APR", None]
+    assert one(spark, lambda c: L.down_payment(L.finance_chunk(c, 0)), fd) == ["3,150", "6039", None]
+    assert one(spark, lambda c: L.down_payment(L.finance_chunk(c, 0), fixed=True), fd) == ["3,150", None, None]
+    assert one(spark, lambda c: L.apr(L.finance_chunk(c, 2)), fd) == ["6.05", None, None]
 
 
 def test_price_bins_boundaries(spark):
@@ -50,10 +50,10 @@ def test_state_extraction(spark):
 
 
 def test_listed_days_and_mpg(spark):
-    assert one(spark, L.listed_days, ["144 days ago", "2 weeks ago", "recently"]) == [144.0, 2.0, None]
+    assert one(spark, L.listed_days, ["57 days ago", "2 weeks ago", "recently"]) == [57.0, 2.0, None]
     assert one(spark, lambda c: L.listed_days(c, fixed=True), ["2 weeks ago"]) == [14.0]
-    assert one(spark, L.mpg_city, ["28 city / 39 highway", "N/A"]) == [28.0, None]
-    assert one(spark, L.mpg_highway, ["28 city / 39 highway"]) == [39.0]
+    assert one(spark, L.mpg_city, ["31 city / 44 highway", "N/A"]) == [31.0, None]
+    assert one(spark, L.mpg_highway, ["31 city / 44 highway"]) == [44.0]
 
 
 def test_features(spark):

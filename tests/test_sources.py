@@ -4,7 +4,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from lotwise.session import scratch_path
-from lotwise.sources import kvtext, web
+from lotwise.sources import kvtext, lake, web
 
 
 def _write(path, text):
@@ -15,7 +15,7 @@ def _write(path, text):
 
 def test_kv_text_files_and_sidecars(spark):
     root = scratch_path(spark, f"kv-{uuid.uuid4().hex}")
-    _write(f"{root}/1/1.txt", "Title: 2022 Ford F-150\nCash Price: $35,500\n\nNote: a: b\nTitle: 2023 Ford F-150\n"
+    _write(f"{root}/1/1.txt", "Title: 2017 Pine Hauler\nCash Price: $28,750\n\nNote: a: b\nTitle: 2018 Pine Hauler\n"
                               "Features: A; B;\n")
     _write(f"{root}/1/1_meta.json", '{\n "crawl_time": "2025-03-17 10:00:00",\n "page": 1,\n "index": 1\n}')
     _write(f"{root}/1/2.txt", "Title: Kia Soul 2020\nVIN: X\n")
@@ -23,7 +23,7 @@ def test_kv_text_files_and_sidecars(spark):
     recs = kvtext.read_kv_text(spark, root.replace("file:", ""))
     rows = {r["idx"]: r for r in recs.collect()}
     assert set(rows) == {1, 2}
-    assert rows[1]["record"]["Title"] == "2023 Ford F-150"     # last duplicate wins
+    assert rows[1]["record"]["Title"] == "2018 Pine Hauler"     # last duplicate wins
     assert rows[1]["record"]["Note"] == "a: b"                 # split at the first ':'
     nested = kvtext.kv_to_nested(recs).filter("idx = 2").first()
     assert nested["price_info"]["cash_price"] == "N/A" and nested["features"] == []
@@ -35,13 +35,13 @@ def test_kv_text_files_and_sidecars(spark):
 
 
 def test_overview_classifier_order(spark):
-    items = ["Exterior: Oxford White", "122,032 miles", "3 miles away", "Fort Myers, FL (3 miles away)",
-             "AWD", "2.5L Inline-4 Gas", "Listed 144 days ago", "VIN: ABC", "Exterior: Black"]
+    items = ["Exterior: Harbor Mist", "88,114 miles", "7 miles away", "Elmstead, OR (7 miles away)",
+             "AWD", "1.9L Flat-3 Gas", "Listed 57 days ago", "VIN: ABC", "Exterior: Black"]
     df = spark.createDataFrame([(items,)], "items array<string>")
     r = web.overview_classify(df).first()
-    assert r["Exterior"] == "Black" and r["Mileage"] == "122,032 miles" and r["Drivetrain"] == "AWD"
-    assert r["Engine"] == "2.5L Inline-4 Gas" and r["Listed Since"] == "144 days ago" and r["VIN"] == "ABC"
-    assert r["Location"] == "Fort Myers, FL" and r["Interior"] == "N/A"
+    assert r["Exterior"] == "Black" and r["Mileage"] == "88,114 miles" and r["Drivetrain"] == "AWD"
+    assert r["Engine"] == "1.9L Flat-3 Gas" and r["Listed Since"] == "57 days ago" and r["VIN"] == "ABC"
+    assert r["Location"] == "Elmstead, OR" and r["Interior"] == "N/A"
 
 
 def test_links_cap_and_title(spark):
@@ -52,3 +52,23 @@ def test_links_cap_and_title(spark):
     assert links.count() == 30 and links.agg(F.max("pos")).first()[0] == 29
     titles = {r[0]: r[1] for r in web.page_title_fallback(pages).collect()}
     assert titles == {1: "A & B", 2: "No Title"}
+
+
+def test_records_that_do_not_parse_are_left_out_and_reported(spark):
+    src, base = scratch_path(spark, f"src-{uuid.uuid4().hex}"), scratch_path(spark, f"lake-{uuid.uuid4().hex}")
+    spark.createDataFrame([('{"VIN": "A", "page": 1}',), ('{"VIN": "B", "pa',), ('{"VIN": "C", "page": 2}',)], "value string").write.text(src)
+    bad = lake.load_json_lines(spark, src, base, "VIN string, page int").collect()
+    assert [r.record for r in bad] == ['{"VIN": "B", "pa'] and bad[0].file_path
+    assert sorted(r.VIN for r in spark.read.json(base).collect()) == ["A", "C"]
+    day = spark.read.json(base).first().load_date
+    m = lake.load_manifest(spark, base, "src", str(day)).collect()
+    assert sorted((r.page, r.rows, r.loaded_files_count) for r in m) == [(1, 1, 1), (2, 1, 1)]
+
+
+def test_fallback_keeps_the_whole_reason(spark):
+    def fail_first(df, path):
+        if path == "first":
+            raise OSError("")
+        df.write.parquet(path)
+    out = lake.write_with_fallback(spark.range(2).toDF("x"), "first", scratch_path(spark, f"fb-{uuid.uuid4().hex}"), fail_first).first()
+    assert out.storage_type == "local_fallback" and out.reason == "OSError: "

@@ -2,7 +2,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import raw_rows
 from lotwise.operators.dedup import dedup_by_key, dedup_report
 from lotwise.operators.search import SearchCriteria, search_listings
 from lotwise.operators.transform import transform_listings
@@ -10,11 +9,13 @@ from lotwise.operators.warehouse import incremental_load, listing_wide, read_war
 from lotwise.schemas import TRANSFORMED_COLUMNS
 from lotwise.session import scratch_path
 
+from .conftest import raw_rows
+
 ROWS = [
-    {"Title": "2022 Ford F-150 XLT", "Cash Price": "$35,500", "Finance Price": "$1,853/moEstimate",
-     "Finance Details": "$2,500 due at signing · 72 mo · 7.39% APR", "Mileage": "12,032 miles", "VIN": "V1",
+    {"Title": "2018 Pine Hauler Max", "Cash Price": "$28,750", "Finance Price": "$2,417/moEstimate",
+     "Finance Details": "$3,150 due at signing · 54 mo · 6.05% APR", "Mileage": "45,610 miles", "VIN": "V1",
      "Fuel Type": "Gas", "Engine": "3.5L V6 Gas", "Features": "Bluetooth; Backup Camera"},
-    {"Title": "2022 Ford F-150 XLT", "Cash Price": "N/A", "VIN": "V1"},                       # duplicate key
+    {"Title": "2018 Pine Hauler Max", "Cash Price": "N/A", "VIN": "V1"},                       # duplicate key
     {"Title": "2019 Honda Civic", "Cash Price": "$9,999", "Finance Details": "Not Available", "VIN": "V2",
      "Fuel Type": "Hybrid"},
     {"Title": "2018 Kia Soul", "Cash Price": "No Cash Price", "VIN": "V3", "Fuel Type": "Gas"},
@@ -30,9 +31,9 @@ def test_transform_shape_and_dedup(spark):
     rows = {r["VIN"]: r for r in out.collect()}
     assert len(rows) == 5  # V1, V2, V3, NULL (one group), 'N/A' (kept: VIN is not cleaned)
     v1 = rows["V1"]
-    assert v1["Cash Price (USD)"] == "35,500" and v1["Installment Per Month"] == "1"
-    assert (v1["Down Payment"], v1["Loan Term (Months)"], v1["Interest Rate (APR)"]) == ("2,500", "72", "7.39")
-    assert v1["Mileage"] == "12,032" and v1["Year of Manufacture"] == "2022" and v1["Car Make"] == "Ford"
+    assert v1["Cash Price (USD)"] == "28,750" and v1["Installment Per Month"] == "2"
+    assert (v1["Down Payment"], v1["Loan Term (Months)"], v1["Interest Rate (APR)"]) == ("3,150", "54", "6.05")
+    assert v1["Mileage"] == "45,610" and v1["Year of Manufacture"] == "2018" and v1["Car Make"] == "Pine"
     assert rows["V2"]["Down Payment"] is None
 
 
@@ -70,8 +71,8 @@ def test_search(spark):
     assert got == ["N/A", "V2", "V1"]  # numeric order; unreadable price never matches a range
     ordered = [r["VIN"] for r in search_listings(wide, SearchCriteria()).collect()]
     assert ordered[-1] == "V3"  # NULL price sorts last
-    assert search_listings(wide, SearchCriteria(car_make="fo%", raw_like=True), ordered=False).count() == 1
-    assert search_listings(wide, SearchCriteria(car_make="fo%"), ordered=False).count() == 0
+    assert search_listings(wide, SearchCriteria(car_make="pi%", raw_like=True), ordered=False).count() == 1
+    assert search_listings(wide, SearchCriteria(car_make="pi%"), ordered=False).count() == 0
 
 
 def test_incremental_load_is_idempotent(spark):
