@@ -45,9 +45,11 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sampled documents, with topic, n_tokens, weight and probability. Empty
-    documents have no tokens and so no part in the mix."""
+    """The sampled documents, with topic, n_tokens, weight and probability (which
+    replace columns of these names). Empty documents have no tokens and so no part
+    in the mix."""
     small_batches(spark)
+    docs = docs.drop("topic", "n_tokens", "weight", "probability")
     return mix(docs, rake(docs)).where("__sampled").drop("__sampled") \
         .withColumnsRenamed({"__topic": "topic", "__n": "n_tokens", "__w": "weight", "__p": "probability"}) \
         .withColumns({"weight": F.round("weight", 9), "probability": F.round("probability", 9)})

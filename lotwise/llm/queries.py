@@ -40,7 +40,21 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
-@register("op4_decontamination")
+_WORDS = r"regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+')"
+
+
+def _shingle_sql(table_name: str, key: str) -> str:
+    """(key, shingle): distinct runs of five words, fewer words as one."""
+    return (f"SELECT DISTINCT {key}, unnest(list_transform(range(1, greatest(len(ws) - 4, 1) + 1), lambda i: array_to_string(ws[i:i + 4], ' '))) AS shingle "
+            f"FROM (SELECT {key}, {_WORDS} AS ws FROM {table_name}) WHERE len(ws) > 0")
+
+
+@register("op4_decontamination", f"""
+WITH d AS ({_shingle_sql("documents", "doc_id")}), i AS MATERIALIZED ({_shingle_sql("benchmark", "item_id")}),
+size AS (SELECT item_id, count(*)::INTEGER AS n_shingles FROM i GROUP BY item_id),
+hit AS (SELECT doc_id, item_id, count(*)::INTEGER AS n_matched FROM d JOIN i USING (shingle) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_matched::DOUBLE / n_shingles AS containment, n_matched, n_shingles FROM hit JOIN size USING (item_id)
+WHERE n_matched >= 0.8 * n_shingles - 1e-9""")
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import find_leaks
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
