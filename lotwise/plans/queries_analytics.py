@@ -9,7 +9,7 @@ from ..operators.dedup import dedup_report
 from ..operators.cleaning import null_sentinels
 from ..operators.encode import label_encode
 from ..operators.model import CATEGORICAL
-from ..operators.runlog import events_run_log, run_status_rollup
+from ..operators.runlog import events_run_log, run_status_rollup, task_durations
 from ..schemas import PRICE_SEGMENT_LABELS
 from ..session import cut_lineage
 from .catalog import analysis, clean, raw, register
@@ -289,3 +289,12 @@ FROM log GROUP BY run_id"""
 @register("run_status_rollup", RUNLOG_SQL)
 def _run_status_rollup(s, d):
     return run_status_rollup(events_run_log(s.read.parquet(f"{d}/events.parquet")))
+
+
+_TOOK = "CASE WHEN event_type <> 'view' THEN floor(value * 1000000.0) / 1000000.0 END"
+
+
+@register("duration_seconds", f"SELECT event_type || '#' || CAST(event_id AS VARCHAR) AS task_id, {_TOOK} AS duration_s, "
+                              f"printf('%.2fs', {_TOOK}) AS duration FROM events")
+def _duration_seconds(s, d):
+    return task_durations(events_run_log(s.read.parquet(f"{d}/events.parquet"))).select("task_id", "duration_s", "duration")

@@ -11,6 +11,7 @@ from ..operators.search import SearchCriteria, ilike_contains, order_by_price, p
 from ..operators.warehouse import anti_join_existing, listing_wide
 from ..schemas import TRANSFORMED_COLUMNS
 from . import oracle as O
+from ..streaming.events import encode_events
 from .catalog import FLAGSHIP, analysis, clean, listing, raw, register, tables, wide
 from .oracle import q, with_ctes
 
@@ -140,11 +141,11 @@ def _feature_join(s, d):
 
 
 @register("features_lines", R(
-    "SELECT \"Features\", len(" + _SPLIT_FEAT.format("replace(" + q("Features") + ", '; ', chr(10))", "\n")
-    + ") AS n_lines FROM raw_listing"))
+    "SELECT \"Features\", array_to_string(" + _SPLIT_FEAT.format("replace(" + q("Features") + ", '; ', chr(10))", "\n")
+    + ", '|') AS lines FROM raw_listing"))
 def _features_lines(s, d):
     lines = F.regexp_replace(_c("Features"), "; ", "\n")
-    return raw(s, d).select("Features", F.size(L.features_lines(lines)).alias("n_lines"))
+    return raw(s, d).select("Features", F.array_join(L.features_lines(lines), "|").alias("lines"))
 
 
 @register("date_keys", "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day_key, "
@@ -161,11 +162,13 @@ def _event_json_decode(s, d):
 
 
 @register("event_json_encode",
-          "SELECT event_id, '{\"event_id\":' || CAST(event_id AS VARCHAR) || ',\"event_type\":\"' || event_type "
-          "|| '\",\"user_id\":' || CAST(user_id AS VARCHAR) || '}' AS message FROM events")
+          "SELECT event_id, '{\"status\":\"' || event_type || '\",\"timestamp\":\"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') "
+          "|| '\",\"source\":\"events\",\"data_info\":{\"user_id\":\"' || CAST(user_id AS VARCHAR) || '\"}}' AS message FROM events")
 def _event_json_encode(s, d):
-    ev = s.read.parquet(f"{d}/events.parquet")
-    return ev.select("event_id", L.event_json_encode("event_id", "event_type", "user_id").alias("message"))
+    """Every event as a message of the event contract."""
+    ev = s.read.parquet(f"{d}/events.parquet").withColumn("origin", F.lit("events"))
+    return encode_events(ev, "event_id", "event_type", "ts", "origin", ["user_id"]) \
+        .select(F.col("key").cast("bigint").alias("event_id"), F.col("value").alias("message"))
 
 
 # ---------------------------------------------------------------------------
@@ -235,13 +238,26 @@ for _name in ("car_info", "installment_info", "in_exterior", "evaluate", "engine
     register(_name, with_ctes([_name], f"SELECT * FROM {_name}"))(
         lambda s, d, _n=_name: tables(s, d)[_n])
 
-register("vertical_split", with_ctes(["car_info"], "SELECT * FROM car_info"))(lambda s, d: tables(s, d)["car_info"])
+_SPLIT = ["car_info", "installment_info", "in_exterior", "evaluate", "engine_info", "other_detail"]
+
+
+@register("vertical_split", with_ctes(_SPLIT, " UNION ALL ".join(f"SELECT '{t}' AS \"table\", \"VIN\" FROM {t}" for t in _SPLIT)))
+def _vertical_split(s, d):
+    """The keys of all six tables (their other columns have a key of their own each)."""
+    out = None
+    for name, df in tables(s, d).items():
+        part = df.select(F.lit(name).alias("table"), "VIN")
+        out = part if out is None else out.unionAll(part)
+    return out
 
 
 @register("register_view", with_ctes(["listing"], 'SELECT "VIN", "Car Make" FROM listing WHERE "VIN" IS NOT NULL'))
 def _register_view(s, d):
     listing(s, d).createOrReplaceTempView("transformed_cars")
-    return s.sql("SELECT VIN, `Car Make` FROM transformed_cars WHERE VIN IS NOT NULL")
+    try:
+        return s.sql("SELECT VIN, `Car Make` FROM transformed_cars WHERE VIN IS NOT NULL")
+    finally:  # the plan is resolved; no later key sees the view
+        s.catalog.dropTempView("transformed_cars")
 
 
 @register("any_non_null", with_ctes(["clean_listing"], 'SELECT "VIN", "Financing Support" FROM clean_listing'))

@@ -51,14 +51,14 @@ SELECT coalesce({O.py_strip('"Title"')}, 'No Title') AS title,
   coalesce({O.py_strip('"Cash Price"')}, 'N/A') AS cash_price,
   coalesce({O.py_strip('"Finance Price"')}, 'N/A') AS finance_price,
   coalesce({O.py_strip('"Finance Details"')}, 'N/A') AS finance_details,
-  ({' + '.join(f'CASE WHEN {q(c)} IS NULL THEN 0 ELSE 1 END' for c in OVERVIEW_FIELDS)}) AS n_overview,
+  array_to_string(list_sort(list_filter([{', '.join(f"'{c}=' || {O.py_strip(q(c))}" for c in OVERVIEW_FIELDS)}], lambda x: x IS NOT NULL)), '|') AS overview,
   coalesce(array_to_string({_FEATS.format(O.py_strip(q('Features')))}, '|'), '') AS features
 FROM raw_listing"""))
 def _kv_to_nested(s, d):
     recs = kvtext.read_kv_text(s, _written_records(s, d, "nested"), record_sep=kvtext.RECORD_SEP)
     n = kvtext.kv_to_nested(recs)
     return n.select("title", "price_info.cash_price", "price_info.finance_price", "price_info.finance_details",
-                    F.size(F.map_keys("overview")).alias("n_overview"),
+                    F.array_join(F.array_sort(F.transform(F.map_entries("overview"), lambda e: F.concat_ws("=", e["key"], e["value"]))), "|").alias("overview"),
                     F.array_join("features", "|").alias("features"))
 
 
@@ -90,9 +90,10 @@ def _write_json_by_page(s, d):
     return back.groupBy("page").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("conversion_summary", with_ctes(["raw_listing"], "SELECT count(*) AS converted_files_count FROM raw_listing"))
+@register("conversion_summary", with_ctes(["raw_listing"], "SELECT count(*) AS converted_files_count, true AS timed FROM raw_listing"))
 def _conversion_summary(s, d):
-    return kvtext.conversion_summary(raw(s, d)).select("converted_files_count")
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
+    return kvtext.conversion_summary(raw(s, d)).select("converted_files_count", (F.col("conversion_time") == now).alias("timed"))
 
 
 # ---------------------------------------------------------------------------
@@ -225,25 +226,29 @@ def _read_jdbc_subquery(s, d):
     return keys.unionByName(missing)
 
 
-@register("resolve_table_alias")
+@register("resolve_table_alias", with_ctes(["other_detail"], "SELECT *, 'Other_Details' AS resolved FROM other_detail"))
 def _resolve_alias(s, d):
     read_warehouse_from_listing(s, d)["other_detail"].createOrReplaceTempView("Other_Details")
-    name = jdbc.resolve_table_alias(s, ["Other_Detail", "Other_Details"])
-    return s.table(name).agg(F.count(F.lit(1)).alias("rows")).withColumn("resolved", F.lit(name))
+    try:
+        name = jdbc.resolve_table_alias(s, ["Other_Detail", "Other_Details"])
+        return s.table(name).withColumn("resolved", F.lit(name))
+    finally:  # the plan is resolved; no later key sees the view
+        s.catalog.dropTempView("Other_Details")
 
 
-@register("copy_tables", with_ctes(["car_info", "evaluate"], "SELECT 'Car_Info' AS \"table\", count(*) AS rows, 'ok' AS "
-                                   "status FROM car_info UNION ALL SELECT 'Evaluate', count(*), 'ok' FROM evaluate "
-                                   "UNION ALL SELECT 'Missing_Table', NULL, 'error: AnalysisException'"))
+_COPIED = ["car_info", "installment_info", "in_exterior", "evaluate", "engine_info", "other_detail"]
+
+
+@register("copy_tables", with_ctes(_COPIED, " UNION ALL ".join(
+    f"SELECT '{jdbc.TABLE_NAMES[t]}' AS \"table\", count(*) AS rows, 'ok' AS status FROM {t}" for t in _COPIED)
+    + " UNION ALL SELECT 'Missing_Table', NULL, 'error: AnalysisException'"))
 def _copy_tables(s, d):
     src_url, props = _derby(s, "copy_src")
     dst_url, _ = _derby(s, "copy_dst")
     t = read_warehouse_from_listing(s, d)
-    jdbc.append_jdbc(t["car_info"], src_url, "Car_Info", props)
-    jdbc.append_jdbc(t["evaluate"], src_url, "Evaluate", props)
-    reader = jdbc.jdbc_reader(s, src_url, props)
-    writer = jdbc.jdbc_writer(dst_url, props)
-    rep = jdbc.copy_tables(s, ["Car_Info", "Evaluate", "Missing_Table"], reader, writer)
+    for name in _COPIED:
+        jdbc.append_jdbc(t[name], src_url, jdbc.TABLE_NAMES[name], props)
+    rep = jdbc.copy_tables(s, [jdbc.TABLE_NAMES[name] for name in _COPIED] + ["Missing_Table"], jdbc.jdbc_reader(s, src_url, props), jdbc.jdbc_writer(dst_url, props))
     return rep.withColumn("status", F.when(F.col("status").startswith("error"),
                                            F.lit("error: AnalysisException")).otherwise(F.col("status")))
 

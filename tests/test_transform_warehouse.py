@@ -1,7 +1,9 @@
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
+from lotwise.operators.cleaning import require_columns
 from lotwise.operators.dedup import dedup_by_key, dedup_report
 from lotwise.operators.search import SearchCriteria, search_listings
 from lotwise.operators.transform import transform_listings
@@ -95,3 +97,9 @@ def test_plans_have_no_python_udf_and_use_anti_join(spark):
     s = search_listings(wide, SearchCriteria(fuel_type="gas"))
     assert "PythonUDF" not in s._jdf.queryExecution().executedPlan().toString()
     assert F is not None
+
+
+def test_missing_required_columns_raise(spark):
+    df = raw_rows(spark, ROWS)
+    with pytest.raises(Exception, match="No Such Column"):
+        require_columns(df, ["VIN", "No Such Column"]).count()
