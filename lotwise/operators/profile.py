@@ -3,8 +3,8 @@ histograms. Each is one (or two) aggregation passes; nothing is collected.
 Frames that need two passes are materialised first."""
 from __future__ import annotations
 
-from itertools import combinations
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,21 +59,34 @@ def quality_metrics(df: DataFrame, price: str = "Cash Price (USD)") -> DataFrame
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of every column pair (pairwise complete rows), one
-    pass; long form (col_a, col_b, corr), both orders plus the diagonal."""
-    pairs = list(combinations(range(len(cols)), 2))
-    aggs = [F.corr(_c(cols[a]).cast("double"), _c(cols[b]).cast("double")).alias(f"{a}_{b}") for a, b in pairs]
-    aggs += [F.count(_c(c)).alias(f"n{i}") for i, c in enumerate(cols)]
-    one = df.agg(*aggs)
-    structs = []
-    for a, b in pairs:
-        for x, y in ((a, b), (b, a)):
-            structs.append(F.struct(F.lit(cols[x]).alias("col_a"), F.lit(cols[y]).alias("col_b"),
-                                    F.col(f"{a}_{b}").alias("corr")))
-    for i, c in enumerate(cols):
-        structs.append(F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"),
-                                F.when(F.col(f"n{i}") > 1, F.lit(1.0)).alias("corr")))
-    return one.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+    """Pearson correlation of every column pair (pairwise complete rows); long
+    form (col_a, col_b, corr), both orders plus the diagonal; NULL below two rows
+    or without variance.
+
+    The means come first (one row); then each task adds up the centred moments of
+    all pairs as matrix products and sends one row a pair."""
+    base = cut_lineage(df.select(*[_c(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]))
+    k = len(cols)
+    mean = np.array([x or 0.0 for x in base.agg(*[F.avg(f"c{i}") for i in range(k)]).first()])
+
+    def moments(batches):
+        total = np.zeros((4, k, k))
+        for b in batches:
+            x = np.column_stack([b.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(k)])
+            there = ~np.isnan(x)
+            x, m = np.where(there, x - mean, 0.0), there.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        i, j = np.divmod(np.arange(k * k), k)
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), *[pa.array(t.ravel()) for t in total], pa.array(total[1].T.ravel()), pa.array(total[2].T.ravel())],
+                                         names=["i", "j", "n", "sx", "sxx", "sxy", "sy", "syy"])
+
+    rows = base.mapInArrow(moments, "i bigint, j bigint, n double, sx double, sxx double, sxy double, sy double, syy double")
+    t = rows.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sxx", "sxy", "sy", "syy")])
+    vx, vy = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n"), F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    corr = F.when((F.col("n") > 1) & (F.col("i") == F.col("j")), F.lit(1.0)).when((F.col("n") > 1) & (vx > 0) & (vy > 0),
+                                                                                  (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / F.sqrt(vx * vy))
+    name = F.array(*[F.lit(c) for c in cols])
+    return t.select(F.get(name, F.col("i").cast("int")).alias("col_a"), F.get(name, F.col("j").cast("int")).alias("col_b"), corr.alias("corr"))
 
 
 def boxplot_summary(df: DataFrame, group: str, value: str) -> DataFrame:

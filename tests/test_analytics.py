@@ -1,3 +1,5 @@
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from lotwise.operators import profile as P
@@ -34,3 +36,21 @@ def test_boxplot_and_histogram(spark):
     assert (b["q1"], b["median"], b["q3"], b["whisker_high"], b["n_outliers"]) == (2.0, 3.0, 4.0, 4.0, 1)
     h = P.histogram_by_group(df, "g", "v", bins=3).collect()
     assert sum(r["n"] for r in h) == 5 and max(r["bin"] for r in h) == 3
+
+
+def test_correlation_matrix_equals_pandas(spark):
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(300, 4)) * [1, 1e4, 3, 1] + [0, 5e4, 2000, 0]
+    x[:, 2] += 2 * x[:, 0]
+    x[rnd.random(x.shape) < 0.1] = np.nan
+    x[:, 3] = 7.0
+    pdf = pd.DataFrame(x, columns=list("abcd"))
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], "a double, b double, c double, d double").repartition(5)
+    want = pdf.corr()
+    got = {(r.col_a, r.col_b): r["corr"] for r in P.correlation_matrix(df, list("abcd")).collect()}
+    assert len(got) == 16
+    for (a, b), v in got.items():
+        if "d" in (a, b) and a != b:
+            assert v is None
+        else:
+            assert abs(v - (1.0 if a == b else want.loc[a, b])) < 1e-9
