@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ..operators import encode as E
 from ..operators import model as M
 from ..operators.knn import knn_join
+from ..operators.selltime import remaining_quantile, score_frame, sell_probability
 from ..session import cut_lineage
 from .catalog import analysis, clean, register
 from .oracle import q, with_ctes
@@ -114,17 +115,6 @@ def _kmeans(s, d):
     return _model(s, d).catalogue.select("VIN", "cluster", "Listed Days")
 
 
-@register("cluster_stats")
-def _cluster_stats(s, d):
-    return _model(s, d).stats
-
-
-@register("cluster_stats_lookup")
-def _cluster_stats_lookup(s, d):
-    m = _model(s, d)
-    return M.cluster_stats_lookup(m.catalogue.select("VIN", "cluster", "Listed Days"), m.stats)
-
-
 @register("score_all")
 def _score_all(s, d):
     return _scores(s, d)
@@ -135,35 +125,100 @@ def _weibull_fit(s, d):
     return _scores(s, d).select("VIN", "weibull_shape", "weibull_scale")
 
 
-@register("sell_probability")
+# The closed forms on given shapes: every listing's numbers stand in for a fitted
+# shape and scale, so that SQL can follow (``score_all`` runs them on the fits).
+_SHAPE, _SCALE, _T = '0.5 + ("Mileage" % 17) / 8.0', '5 + ("Cash Price (USD)" % 211)', 'coalesce("Listed Days", 0)'
+_GIVEN_SQL = f'SELECT "VIN", {_SHAPE} AS k, {_SCALE} AS l, {_T} AS t FROM analysis WHERE "VIN" IS NOT NULL'
+
+
+def _given(s, d):
+    return analysis(s, d).where("VIN IS NOT NULL").select("VIN", *[F.expr(x.replace('"', "`")).cast("double").alias(n)
+                                                                  for n, x in (("k", _SHAPE), ("l", _SCALE), ("t", _T))])
+
+
+@register("sell_probability", with_ctes(["analysis"], """SELECT "VIN", CASE WHEN t > 0 THEN 1 - exp(pow(t / l, k) - pow((t + 30) / l, k))
+  ELSE 1 - exp(-pow(30 / l, k)) END AS probability_sold_30days FROM given""", [("given", _GIVEN_SQL)]))
 def _sell_probability(s, d):
-    return _scores(s, d).select("VIN", "current_listing_days", "probability_sold_30days")
+    return _given(s, d).select("VIN", sell_probability(F.col("k"), F.col("l"), F.col("t")).alias("probability_sold_30days"))
+
 
+_QUANTILES = (("days_to_sell_25p", 0.25), ("days_to_sell_median", 0.5), ("days_to_sell_75p", 0.75))
 
-@register("sell_quantiles")
+
+@register("sell_quantiles", with_ctes(["analysis"], 'SELECT "VIN", ' + ", ".join(
+    f"greatest(0, l * pow(-ln(1 - {x}), 1 / k) - CASE WHEN t > 0 THEN t ELSE 0 END) AS {n}" for n, x in _QUANTILES) + " FROM given", [("given", _GIVEN_SQL)]))
 def _sell_quantiles(s, d):
-    return _scores(s, d).select("VIN", "days_to_sell_25p", "days_to_sell_median", "days_to_sell_75p")
+    return _given(s, d).select("VIN", *[remaining_quantile(x, F.col("k"), F.col("l"), F.col("t")).alias(n) for n, x in _QUANTILES])
+
+
+def _few_neighbours(s, d):
+    """Every listing with fewer than three positive values to fit: two neighbours
+    of its own listed days and one of 0, or a cluster median of 7 where that is 0."""
+    rows = _given(s, d).select("VIN", "t", F.array("t", "t", F.lit(0.0)).alias("days"), F.when(F.col("t") > 0, 0.0).otherwise(7.0).alias("cluster_median"),
+                               F.lit(0.0).alias("cluster_mean"))
+    return score_frame(rows, "days", "cluster_median", "cluster_mean", "t")
 
 
-@register("sell_fallback")
+_FEW_SQL = "SELECT \"VIN\", t, CASE WHEN t > 0 THEN t ELSE 7 END AS f FROM given"
+
+
+@register("sell_fallback", with_ctes(["analysis"], 'SELECT "VIN", 0.5 AS probability_sold_30days, f * 0.7 AS days_to_sell_25p, f::DOUBLE AS days_to_sell_median, '
+                                     'f * 1.3 AS days_to_sell_75p, t::DOUBLE AS similar_cars_median_days, true AS unfitted FROM few', [("given", _GIVEN_SQL), ("few", _FEW_SQL)]))
 def _sell_fallback(s, d):
-    return _scores(s, d).filter(F.col("weibull_shape").isNull()).select(
-        "VIN", "probability_sold_30days", "days_to_sell_median", "similar_cars_median_days")
+    return _few_neighbours(s, d).select("VIN", "probability_sold_30days", "days_to_sell_25p", "days_to_sell_median", "days_to_sell_75p",
+                                        "similar_cars_median_days", F.col("weibull_shape").isNull().alias("unfitted"))
 
 
-@register("expected_days")
+@register("expected_days", with_ctes(["analysis"], 'SELECT "VIN", 0.7 * f + 0.3 * t AS expected_days_to_sell, t + 0.7 * f + 0.3 * t AS total_expected_days FROM few',
+                                     [("given", _GIVEN_SQL), ("few", _FEW_SQL)]))
 def _expected_days(s, d):
-    return _scores(s, d).select("VIN", "expected_days_to_sell", "total_expected_days")
+    return _few_neighbours(s, d).select("VIN", "expected_days_to_sell", "total_expected_days")
+
+
+# Statistics and joins over given clusters and predictions, so that SQL can follow
+# (``fit_model`` and ``score_all`` run them on the fitted ones).
+_LABELLED_SQL = ('SELECT a."VIN", CAST(a."Mileage" % 8 AS INTEGER) AS cluster, a."Listed Days", g.l AS expected_days_to_sell, g.k AS probability_sold_30days, '
+                 'g.l + g.t AS total_expected_days FROM analysis a JOIN given g ON a."VIN" = g."VIN"')
+_LABELLED = [("given", _GIVEN_SQL), ("labelled", _LABELLED_SQL)]
+
+
+def _labelled(s, d):
+    return analysis(s, d).where("VIN IS NOT NULL").select(
+        "VIN", (F.col("Mileage") % 8).cast("int").alias("cluster"), "Listed Days", F.expr(_SCALE.replace('"', "`")).cast("double").alias("expected_days_to_sell"),
+        F.expr(_SHAPE.replace('"', "`")).alias("probability_sold_30days"),
+        (F.expr(_SCALE.replace('"', "`")) + F.expr(_T.replace('"', "`"))).cast("double").alias("total_expected_days"))
+
+
+_STATS_SQL = ('SELECT cluster, count("Listed Days") AS count, min("Listed Days") AS min, max("Listed Days") AS max, avg("Listed Days") AS mean, '
+              'quantile_cont("Listed Days", 0.5) AS median, stddev_samp("Listed Days") AS std FROM labelled GROUP BY cluster')
+
+
+@register("cluster_stats", with_ctes(["analysis"], _STATS_SQL, _LABELLED))
+def _cluster_stats(s, d):
+    return M.cluster_stats(cut_lineage(_labelled(s, d).select("cluster", "Listed Days")))
+
+
+@register("cluster_stats_lookup", with_ctes(["analysis"], 'SELECT "VIN", cluster, "Listed Days", median AS cluster_median, mean AS cluster_mean, std AS cluster_std '
+                                            'FROM labelled LEFT JOIN stats USING (cluster)', [*_LABELLED, ("stats", _STATS_SQL)]))
+def _cluster_stats_lookup(s, d):
+    rows = cut_lineage(_labelled(s, d).select("VIN", "cluster", "Listed Days"))
+    return M.cluster_stats_lookup(rows, M.cluster_stats(rows)).select("VIN", "cluster", "Listed Days", "cluster_median", "cluster_mean", "cluster_std")
 
 
-@register("cluster_outcome_stats")
+@register("cluster_outcome_stats", with_ctes(["analysis"], """SELECT cluster, avg(expected_days_to_sell) AS expected_days_mean,
+  quantile_cont(expected_days_to_sell, 0.5) AS expected_days_median, avg(probability_sold_30days) AS p30_mean, quantile_cont(probability_sold_30days, 0.5) AS p30_median,
+  count("Listed Days") AS listed_days_count, avg("Listed Days") AS listed_days_mean, quantile_cont("Listed Days", 0.5) AS listed_days_median
+  FROM labelled GROUP BY cluster""", _LABELLED))
 def _cluster_outcome_stats(s, d):
-    return M.cluster_outcome_stats(_scores(s, d), _model(s, d).catalogue)
+    rows = cut_lineage(_labelled(s, d))
+    return M.cluster_outcome_stats(rows.drop("Listed Days"), rows)
 
 
-@register("combine_predictions")
+@register("combine_predictions", with_ctes(["analysis"], 'SELECT c.*, p.expected_days_to_sell AS "Expected_Days_To_Sell", '
+    'p.probability_sold_30days AS "Probability_Sold_30Days", p.total_expected_days AS "Total_Expected_Days", p.cluster AS "Cluster" '
+    'FROM clean_listing c LEFT JOIN labelled p ON c."VIN" = p."VIN"', _LABELLED))
 def _combine_predictions(s, d):
-    return M.combine_predictions(clean(s, d), _scores(s, d))
+    return M.combine_predictions(clean(s, d), _labelled(s, d))
 
 
 @register("score_new")
