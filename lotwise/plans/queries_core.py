@@ -8,6 +8,7 @@ from .. import functions as L
 from ..operators import cleaning as C
 from ..operators.dedup import dedup_by_key
 from ..operators.search import SearchCriteria, ilike_contains, order_by_price, price_between, search_listings
+from ..operators.transform import transform_listings
 from ..operators.warehouse import anti_join_existing, listing_wide
 from ..schemas import TRANSFORMED_COLUMNS
 from . import oracle as O
@@ -231,7 +232,7 @@ def _typed_cast(s, d):
 
 @register("transform_listings", with_ctes(["listing"], "SELECT * FROM listing"))
 def _transform_listings(s, d):
-    return listing(s, d)
+    return transform_listings(raw(s, d))
 
 
 for _name in ("car_info", "installment_info", "in_exterior", "evaluate", "engine_info", "other_detail"):
