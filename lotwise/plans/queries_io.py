@@ -222,7 +222,9 @@ def _read_jdbc_subquery(s, d):
     url, props = _derby(s, "jdbc_read")
     jdbc.append_jdbc(_car_info(s, d), url, "Car_Info", props)
     missing = jdbc.read_jdbc_subquery(s, url, 'SELECT "VIN" FROM "No_Such_Table"', props, "VIN string")
-    keys = jdbc.read_jdbc_subquery(s, url, 'SELECT "VIN" FROM "Car_Info"', props, "VIN string")
+    vin = 'CAST("VIN" AS VARCHAR(64))'
+    parts = [f"{vin} < '5'", f"{vin} >= '5' AND {vin} < 'A'", f"{vin} >= 'A'"]  # one task each
+    keys = jdbc.read_jdbc_subquery(s, url, 'SELECT "VIN" FROM "Car_Info"', props, "VIN string", parts)
     return keys.unionByName(missing)
 
 
