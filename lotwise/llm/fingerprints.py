@@ -91,7 +91,7 @@ def _in_id_order(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n = parts * BUCKETS_PER_PARTITION
-    cuts = docs.agg(F.percentile_approx(F.col("doc_id").cast("double"), [i / n for i in range(1, n)], 10 * n)).first()[0] or []
+    cuts = docs.agg(F.percentile_approx(F.col("doc_id").cast("double"), [i / n for i in range(1, n)], max(10_000, 2 * n))).first()[0] or []
     cuts = sorted(set(cuts)) or [0.0]
     bucketed = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="__key", outputCol="__bucket", handleInvalid="keep") \
         .transform(docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("nan"))))) \
