@@ -11,7 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import zstandard
 
-#: Buckets for each shuffle partition, so that hashing buckets to partitions comes out even.
+#: Buckets for each shuffle partition. Buckets are dealt to partitions in turn (or by
+#: hash, where both sides of a group come together).
 BUCKETS_PER_PARTITION = 2
 
 

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from .text import WORD, filled, mix64, pieces, word_shingles
 
 BINS, BITS, SHINGLE = 512, 4, 5
-#: Range buckets a shuffle partition gets, so that hashing buckets to partitions comes out even.
-BUCKETS_PER_PARTITION = 8
+#: Range buckets a shuffle partition gets; buckets are dealt to partitions in turn.
+BUCKETS_PER_PARTITION = 4
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -105,7 +105,7 @@ def _in_id_order(docs: DataFrame) -> DataFrame:
     own = F.struct(F.col("bucket"), F.lit(0).alias("border"))
     copy = F.struct(F.col("to").alias("bucket"), F.lit(1).alias("border"))
     return rows.select(F.explode(F.when(F.col("to").isNull(), F.array(own)).otherwise(F.array(own, copy))).alias("at"), "doc_id", "text") \
-        .select("at.bucket", "at.border", "doc_id", "text").repartition(parts, "bucket") \
+        .select("at.bucket", "at.border", "doc_id", "text").repartitionById(parts, F.col("bucket")) \
         .sortWithinPartitions("bucket", "border", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
 
 

@@ -415,7 +415,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     base = _with_base(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
 
     def settle(rows, step):
-        return rows.repartition(parts, "key").sortWithinPartitions("key", "kind").mapInArrow(step, ROW)
+        return rows.repartitionById(parts, F.col("key")).sortWithinPartitions("key", "kind").mapInArrow(step, ROW)
 
     def zipped(batches):
         z = zstandard.ZstdCompressor(level=3)
