@@ -46,8 +46,10 @@ from .text import byte_view, filled, mix64, pieces, prefix_sums, substring_hash
 FLUSH_BYTES, CROWD, CROWD_ALL = 1 << 24, 64, 2048
 #: Records that a task holds before it sends them.
 HELD = 1 << 20
-ROW = "key int, kind int, payload binary"
-RANGE, ASK, MORE, PARSE, PHRASE, RUN = range(6)
+#: What a task knows about a group of texts is one row: its ranges (payload), what it
+#: asks for and the places of phrases that one document holds more than once.
+ROW = "key int, kind int, payload binary, ask binary, more binary"
+RANGE, PARSE, PHRASE, RUN = range(4)
 _RANGE = [8, 5, 5]          # document, first start, last start
 _ASK = [3, 8, 5, 1]         # bucket of the trigger (_AS_RUNS: crowded), document, first start, starts - 1
 _AS_RUNS = (1 << 24) - 1
@@ -59,9 +61,11 @@ SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_
 _LAST = np.iinfo(np.int64).max  # stands for a NULL id
 
 
-def _rows(found: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.int32()),
-                                       pa.array([f[2] for f in found], pa.binary())], names=["key", "kind", "payload"])
+def _rows(found: list[tuple]) -> pa.RecordBatch:
+    """Rows of (key, kind, payload[, ask, more])."""
+    columns = list(zip(*[f + (None,) * (5 - len(f)) for f in found])) or [()] * 5
+    types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["key", "kind", "payload", "ask", "more"])
 
 
 def _group(doc: np.ndarray, groups: int) -> np.ndarray:
@@ -206,11 +210,15 @@ def _records(payloads: list[bytes], widths: list[int]) -> list[np.ndarray]:
 def _settle_phrases(groups: int, crowd_all: int):
     """Step 2: buckets of parse records; other rows pass."""
     def send(held: _Held) -> pa.RecordBatch:
-        out = _ranges(*r, groups) if (r := held.take("range")) else []
-        for name, kind, widths in (("ask", ASK, _ASK), ("more", MORE, _MORE)):
+        told: dict[int, list] = {}
+        if r := held.take("range"):
+            for k, _, p in _ranges(*r, groups):
+                told.setdefault(k, [None] * 3)[0] = p
+        for i, (name, widths) in enumerate((("ask", _ASK), ("more", _MORE)), 1):
             if r := held.take(name):
-                out += [(k, kind, p) for k, p in deal(_group(r[1], groups), r, widths)]
-        return _rows(out)
+                for k, p in deal(_group(r[1], groups), r, widths):
+                    told.setdefault(k, [None] * 3)[i] = p
+        return _rows([(k, RANGE, *t) for k, t in told.items()])
 
     def run(batches):
         held = _Held()
@@ -307,7 +315,7 @@ def _phrases(groups: int, length: int):
     """Step 3, first half: a group's texts and what was asked of them. The bytes of
     asked phrases go to the bucket of their trigger, crowded ones become runs here."""
     def run(texts: pa.Table, asked: pa.Table) -> pa.Table:
-        to, doc, a, span = _records(asked["payload"].to_pylist(), _ASK)
+        to, doc, a, span = _records(asked["ask"].to_pylist(), _ASK)
         order = np.lexsort((a, doc))
         to, doc, a, span = (x[order] for x in (to, doc, a, span))
         found = []
@@ -338,11 +346,10 @@ def _cut(length: int):
     """Step 4: a group's texts, the settled ranges, and the places of phrases that
     one document holds more than once (they follow the first place)."""
     def run(texts: pa.Table, settled: pa.Table) -> pa.Table:
-        kind, payload = settled["kind"].to_numpy(), settled["payload"].to_pylist()
-        doc, a, b = _records([p for p, k in zip(payload, kind) if k == RANGE], _RANGE)
+        doc, a, b = _records([p for p in settled["payload"].to_pylist() if p], _RANGE)
         order = np.lexsort((a, doc))
         doc, a, b = doc[order], a[order], b[order]
-        phr, mdoc, place, span = _records([p for p, k in zip(payload, kind) if k == MORE], _MORE)
+        phr, mdoc, place, span = _records([p for p in settled["more"].to_pylist() if p], _MORE)
         order = np.lexsort((place, phr, mdoc))
         phr, mdoc, place, span = phr[order], mdoc[order], place[order], span[order]
         head = runs(mdoc, phr)
@@ -428,8 +435,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     parsed = base.mapInArrow(_parse(groups, length, gram, crowd), ROW)
     first = materialise(settle(parsed, _settle_phrases(groups, crowd_all)))
     texts = base.select("doc_id", "base", F.col("text").cast("binary")).mapInArrow(zipped, "key int, doc_id bigint, base bigint, payload binary")
-    asked = first.where(F.col("kind") == ASK)
+    asked = first.where("ask IS NOT NULL").select("key", "ask")
     strings = texts.groupBy("key").cogroup(asked.groupBy("key")).applyInArrow(_phrases(groups, length), ROW)
     second = settle(strings.unionAll(first.where(F.col("kind") == RUN)), _settle_strings(groups, length))
-    settled = first.where(F.col("kind").isin(RANGE, MORE)).unionAll(second)
+    settled = first.where((F.col("kind") == RANGE) & (F.col("payload").isNotNull() | F.col("more").isNotNull())).select("key", "payload", "more") \
+        .unionAll(second.select("key", "payload", "more"))
     return texts.groupBy("key").cogroup(settled.groupBy("key")).applyInArrow(_cut(length), SCHEMA)
