@@ -21,10 +21,12 @@ document with a smaller id. The steps:
 
 Records travel as packed blobs (``blobs``); texts are compressed and dealt once,
 for steps 3 and 4 alike. Phrases of a trigger that is crowded (more than
-``CROWD`` phrases in a task or ``CROWD_ALL`` in its bucket) are not gathered:
-their suffix runs are built where their texts are and only run heads travel, to
-the bucket of the string's hash, so a passage that a third of all documents
-share is no hot bucket.
+``CROWD`` phrases in a flush of a task or ``CROWD_ALL`` in its bucket) are not
+gathered: their suffix runs are built where their texts are and only run heads
+travel, to the bucket of the string's hash, so a passage that a third of all
+documents share is no hot bucket. A flush that finds a trigger crowded marks what
+it sends of it; the bucket then has the phrases of all other flushes turned into
+runs too, so that all strings of the trigger meet in one form.
 """
 from __future__ import annotations
 
@@ -55,7 +57,7 @@ _ASK = [3, 8, 5, 1]         # bucket of the trigger (_AS_RUNS: crowded), documen
 _AS_RUNS = (1 << 24) - 1
 _MORE = [6, 8, 5, 1]        # phrase, document, first start, starts - 1, for phrases that one document holds more than once
 _PHRASE = [8, 5, 1]         # document, first start, starts - 1; the bytes follow
-_PARSE = [5, 6, 8, 5, 1]    # trigger, phrase, document, first start, starts - 1
+_PARSE = [5, 6, 8, 5, 1, 1]  # trigger, phrase, document, first start, starts - 1, whether its strings went as runs
 _RUN = [6, 5, 8, 5]         # two hashes of LENGTH bytes, document, start
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 _LAST = np.iinfo(np.int64).max  # stands for a NULL id
@@ -144,7 +146,7 @@ def _parse(groups: int, length: int, gram: int, crowd: int):
             out += _settle_runs(data, at, doc[own][rec], a[own][rec] + n, length, groups)
         send = ~late & (~crowded | np.repeat(nth < 2, size))  # two phrases tell the bucket that the trigger is shared
         bucket = ((trig[send] >> np.uint64(40)) % np.uint64(groups)).astype(np.int64)
-        out += [(k, PARSE, p) for k, p in deal(bucket, [trig[send], phr[send], doc[send], a[send], span[send]], _PARSE)]
+        out += [(k, PARSE, p) for k, p in deal(bucket, [trig[send], phr[send], doc[send], a[send], span[send], crowded[send].astype(np.int64)], _PARSE)]
         return _rows(out)
 
     def run(batches):
@@ -226,9 +228,9 @@ def _settle_phrases(groups: int, crowd_all: int):
             if key is None:
                 yield own
                 continue
-            trig, phr, doc, a, span = _records(own, _PARSE)
+            trig, phr, doc, a, span, sent = _records(own, _PARSE)
             order = np.lexsort((a, doc, phr, trig))
-            trig, phr, doc, a, span = (x[order] for x in (trig, phr, doc, a, span))
+            trig, phr, doc, a, span, sent = (x[order] for x in (trig, phr, doc, a, span, sent))
             head = runs(trig, phr)
             size = np.diff(np.r_[head, len(trig)])
             late = doc != np.repeat(doc[head], size)
@@ -236,8 +238,10 @@ def _settle_phrases(groups: int, crowd_all: int):
             phrases_of = np.diff(np.r_[of, len(head)])
             many = np.repeat(phrases_of > 1, phrases_of)
             held.add("range", doc[late], a[late], a[late] + span[late])
-            first = head[many]
-            to = np.where(np.repeat(phrases_of > crowd_all, phrases_of)[many], _AS_RUNS, key[0])
+            marked = np.maximum.reduceat(sent, head[of]) > 0
+            ask = many & (sent[head] == 0)  # strings of a marked flush are runs already
+            first = head[ask]
+            to = np.where(np.repeat(marked | (phrases_of > crowd_all), phrases_of)[ask], _AS_RUNS, key[0])
             held.add("ask", to, doc[first], a[first], span[first])
             copies = np.add.reduceat((~late).astype(np.int64), head)
             more = ~late & np.repeat(many & (copies > 1), size)
