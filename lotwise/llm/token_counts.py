@@ -41,6 +41,11 @@ _BYTES = byte_alphabet()
 _BACK = {c: b for b, c in _BYTES.items()}
 
 
+def _form(plain: str) -> str:
+    """A pre-token as byte-level vocabularies write it."""
+    return "".join(_BYTES[b] for b in plain.encode())
+
+
 def prove_single_tokens(path: str) -> list[str]:
     """The pre-tokens, as plain text, that the tokenizer file's model encodes alone as one token."""
     tok = _tokenizer(path)
@@ -75,7 +80,7 @@ class _Counts(dict):
         self.proven, self.model, self.room, self.merged = proven, model, CACHE_WORDS, 0
 
     def __missing__(self, w: str) -> int:
-        n = len(self.model.tokenize("".join(_BYTES[b] for b in w.encode())))
+        n = len(self.model.tokenize(_form(w)))
         if len(w) <= CACHE_CHARS:
             if not self.room:
                 self.clear()
@@ -99,13 +104,14 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048, id_col
     pre-tokens. The tokenizer must be a BPE of this family: NFC, white space,
     lower case, then letters / single digits / other characters.
     """
-    proven = docs.sparkSession.sparkContext.broadcast(frozenset(prove_single_tokens(tokenizer_path)))
+    plain = prove_single_tokens(tokenizer_path)
+    proven = docs.sparkSession.sparkContext.broadcast((frozenset(plain), frozenset(map(_form, plain))))
 
     def run(batches):
         tok = _tokenizer(tokenizer_path)
         specials = [t.content for t in tok.get_added_tokens_decoder().values()]
         cut = re.compile("|".join(map(re.escape, specials))).split if specials else lambda t: [t]
-        known, normal, pre = proven.value, tok.normalizer.normalize_str, tok.pre_tokenizer.pre_tokenize_str
+        (known, forms), normal, pre = proven.value, tok.normalizer.normalize_str, tok.pre_tokenizer.pre_tokenize_str
         counts, merges = _Counts(known, tok.model), tok.model.tokenize
         for b in batches:
             col = filled(b.column(1))
@@ -121,7 +127,10 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048, id_col
                         short += sum(map(known.__contains__, own))
                     else:
                         for form, _ in pre(normal(part)):
-                            n += len(merges(form))
+                            if form in forms:
+                                n, short = n + 1, short + 1
+                            else:
+                                n += len(merges(form))
                 n_tokens.append(n + len(parts) - 1)
                 n_short.append(short)
             yield pa.RecordBatch.from_pydict({

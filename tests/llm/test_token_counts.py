@@ -35,6 +35,15 @@ def test_odd_texts_nulls_ties_and_empty(spark, library):
     assert t.count_tokens(df.limit(0), PATH).count() == 0
 
 
+def test_shortcut_is_taken_beside_characters_outside_latin_1(spark, library):
+    plain = "the house of the people, and the water " * 3
+    texts = [plain, plain + "\u201cquoted\u201d", "\u2014 " + plain, plain + "\U0001f600", plain + "<|endoftext|>\u2019s", "Ωδη qzxqzy the \u201c"]
+    got = sorted(t.count_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PATH).collect())
+    assert [r.n_tokens for r in got] == list(map(library, texts))
+    assert got[0].n_shortcut > 20 and all(got[0].n_shortcut <= r.n_shortcut <= r.n_tokens for r in got[1:5])
+    assert 1 <= got[5].n_shortcut < got[5].n_tokens
+
+
 def test_proven_strings_are_single_tokens_and_the_cache_is_bounded(library, monkeypatch):
     proven = t.prove_single_tokens(PATH)
     assert len(proven) > 30_000 and proven == sorted(set(proven))
