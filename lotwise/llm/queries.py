@@ -109,3 +109,27 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fuzzy_passages import find_passages
     return find_passages(table(spark, sf_dir, "documents"))
+
+
+@register("op11_language_id")
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import identify_languages
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
+def _register_importance():
+    from .importance import RESAMPLE_SQL, resample
+
+    @register("op12_importance", RESAMPLE_SQL)
+    def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
+            .select("doc_id", "n_features", "weight", "score", "rank")
+
+
+_register_importance()
+
+
+@register("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+    return whiten(table(spark, sf_dir, "embeddings"))
