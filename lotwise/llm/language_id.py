@@ -32,7 +32,7 @@ from .trees import sigmoid
 ORDER = 5
 #: Documents whose crc32 div 4 is divisible by this calibrate and are not counted.
 CALIBRATION_SHARE = 16
-#: Calibration documents, at most (the smallest hashes of the id when there are more).
+#: Different calibration documents, at most (the smallest hashes when there are more).
 CALIBRATION_ROWS = 20_000
 #: Share of wrong decisions among accepted ones on the calibration documents.
 WRONG_SHARE = 0.01
@@ -413,7 +413,11 @@ def identify_languages(docs: DataFrame, order: int = ORDER, calibration_rows: in
     if model.where("order = 0").isEmpty():
         return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"),
                            F.lit(None).cast("double").alias("cross_entropy"))
-    sample = learn.where(aside).orderBy(F.xxhash64("doc_id"), F.xxhash64("text"), "lang").limit(calibration_rows)
+    # The bound is found on hashes alone; the texts below it stay spread over all partitions.
+    hashed = learn.where(aside).withColumn("__hash", F.xxhash64("doc_id", "text", "lang"))
+    last = hashed.select("__hash").distinct().orderBy("__hash").limit(calibration_rows).agg(F.max("__hash")).first()[0]
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sample = hashed.where(F.col("__hash") <= F.lit(last)).repartition(parts, "__hash").dropDuplicates(["__hash"])
     seen, languages = cross_entropies(sample, model, order, block_entries)
     got = seen.where("__letters").select("lang", "__sums", "__size").collect()
     place = {x: i for i, x in enumerate(languages)}
