@@ -9,6 +9,7 @@ from lotwise.operators import encode as E
 from lotwise.operators import knn
 from lotwise.operators import model as M
 from lotwise.operators.quantiles import exact_quantiles
+from lotwise.operators.signature_index import SignatureIndex
 from lotwise.operators.selltime import weibull_scale, weibull_shape
 
 
@@ -47,10 +48,11 @@ def brute(qv, qc, cv, cc, k):
     return [sorted(range(len(cv)), key=lambda j: (round(d[i, j], 9), j))[:k] for i in range(len(qv))]
 
 
-@pytest.mark.parametrize("cell,block", [(2000, 4096), (20, 16)])
-def test_knn_matches_brute_force(spark, monkeypatch, cell, block):
+@pytest.mark.parametrize("cell,block,broadcast", [(2000, 4096, 10 ** 6), (2000, 4096, 0), (20, 16, 0)])
+def test_knn_matches_brute_force(spark, monkeypatch, cell, block, broadcast):
     monkeypatch.setattr(knn, "CELL", cell)
     monkeypatch.setattr(knn, "BLOCK", block)
+    monkeypatch.setattr(knn, "BROADCAST_NUMBERS", broadcast)
     rnd = np.random.default_rng(3)
     v = rnd.normal(size=(300, 4))
     c = rnd.integers(-1, 3, size=(300, 3))
@@ -72,6 +74,38 @@ def test_knn_matches_brute_force(spark, monkeypatch, cell, block):
     assert knn.knn_join(q, n.where("nid < 0"), 5, codes="codes").count() == 0
 
 
+@pytest.mark.parametrize("n,dims,columns,values", [(400, 3, 4, 3), (3000, 5, 9, 6), (500, 8, 0, 1), (200, 0, 5, 2), (1, 2, 2, 2), (600, 2, 130, 3)])
+def test_signature_index_finds_the_nearest_by_bounds(n, dims, columns, values):
+    rnd = np.random.default_rng(n)
+    v = np.round(rnd.normal(size=(n, dims)), 1)  # many equal distances
+    c = rnd.integers(-1, values, size=(n, columns)).astype(np.int32)
+    v[:n // 3], c[:n // 3] = v[0], c[0]
+    order = rnd.permutation(n)
+    index, pairs = SignatureIndex(v, c, order, leaf=8), 0
+    for i in range(0, n, max(1, n // 40)):
+        code = c[i].copy()
+        code[:1] = 99  # a code that no point has
+        d2 = ((v - v[i]) ** 2).sum(1) + np.where(c == code, 0, 2 - (c < 0) - (code < 0)).sum(1)
+        want = np.lexsort((order, np.round(np.sqrt(d2), 9)))[:7]
+        at, d, m = index.search(v[i], code, 7)
+        assert np.allclose(np.sort(d2[want]), np.sort(d ** 2), atol=1e-9)
+        assert set(at[d < d[-1] - 1e-9]) == set(want[np.sqrt(d2[want]) < d[-1] - 1e-9])
+        near = index.search(v[i], code, 7, limit=float(d[-1]))
+        assert list(near[0]) == list(at) and len(index.search(v[i], code, 7, limit=float(d[0]) / 2 - 1e-6)[0]) == 0
+        pairs += m
+    if n == 3000:
+        assert pairs < 0.2 * n * 41
+
+
+def test_knn_counts_the_pairs_it_evaluates(spark):
+    rnd = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rnd.normal(size=3)], [int(x) for x in rnd.integers(0, 9, size=6)]) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>, codes array<int>")
+    seen = spark.sparkContext.accumulator(0)
+    got = knn.knn_join(df.withColumnRenamed("id", "qid"), df.withColumnRenamed("id", "nid"), 5, codes="codes", evaluated=seen)
+    assert got.count() == 10_000 and 10_000 <= seen.value < 0.2 * 2000 ** 2
+
+
 def listings(spark, n=200, seed=1, makes=("Aa", "Bb", "Cc", None)):
     rnd = random.Random(seed)
     rows = [(f"V{seed}-{i}", *[rnd.choice([None, 2000.0 + i % 20, float(i)]) for _ in M.NUMERIC], *[rnd.choice(makes) for _ in M.CATEGORICAL],
