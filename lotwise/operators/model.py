@@ -198,12 +198,14 @@ def neighbour_days(neigh: DataFrame, catalogue: DataFrame) -> DataFrame:
         "qid", F.transform("__l", lambda s: s["nd"]).alias("days"))
 
 
-def _score(model: ListingModel, rows: DataFrame, k: int, exclude_self: bool, include_listed_days: bool) -> DataFrame:
-    """Prediction fields of rows that carry z, codes, cluster and Listed Days."""
+def score_rows(rows: DataFrame, catalogue: DataFrame, stats: DataFrame, k: int = NEIGHBOURS, exclude_self: bool = False,
+               include_listed_days: bool = True) -> DataFrame:
+    """Prediction fields of rows that carry z, codes, cluster and Listed Days, from their
+    neighbours in ``catalogue`` and the clusters' ``stats``."""
     neigh = knn_join(rows.select(F.col("VIN").alias("qid"), F.col("z").alias("vec"), "codes"),
-                     model.catalogue.select(F.col("VIN").alias("nid"), F.col("z").alias("vec"), "codes"), k, codes="codes", exclude_self=exclude_self)
-    days = neighbour_days(neigh, model.catalogue).withColumnRenamed("qid", "VIN")
-    scored = cluster_stats_lookup(rows.select("VIN", "cluster", _c(TIME)), model.stats).join(days, "VIN")
+                     catalogue.select(F.col("VIN").alias("nid"), F.col("z").alias("vec"), "codes"), k, codes="codes", exclude_self=exclude_self)
+    days = neighbour_days(neigh, catalogue).withColumnRenamed("qid", "VIN")
+    scored = cluster_stats_lookup(rows.select("VIN", "cluster", _c(TIME)), stats).join(days, "VIN")
     return score_frame(scored, "days", "cluster_median", "cluster_mean", TIME, include_listed_days).select("VIN", *PREDICTION_FIELDS)
 
 
@@ -211,7 +213,7 @@ def score_all(analysis: DataFrame, k: int = NEIGHBOURS, exclude_self: bool = Fal
     """Prediction fields for every listing of the catalogue (in-sample: a listing
     is its own nearest neighbour unless ``exclude_self``)."""
     model = model or fit_model(analysis)
-    return _score(model, model.catalogue, k, exclude_self, True)
+    return score_rows(model.catalogue, model.catalogue, model.stats, k, exclude_self)
 
 
 def score_new(new_cars: DataFrame, model: ListingModel, k: int = NEIGHBOURS) -> DataFrame:
@@ -221,7 +223,7 @@ def score_new(new_cars: DataFrame, model: ListingModel, k: int = NEIGHBOURS) ->
     from the catalogue."""
     rows = cut_lineage(encode(new_cars.where(_c("VIN").isNotNull()).withColumn(TIME, F.lit(0.0)), model.encoding))
     placed = kmeans_cluster(project(rows, model.encoding, model.components), model.kmeans)
-    return _score(model, cut_lineage(placed), k, False, False)
+    return score_rows(cut_lineage(placed), model.catalogue, model.stats, k, include_listed_days=False)
 
 
 def cluster_outcome_stats(pred: DataFrame, days: DataFrame) -> DataFrame:

@@ -258,7 +258,7 @@ def with_ctes(needs: list[str], select: str, extra: list[tuple[str, str]] | None
     for n in needs:
         visit(n)
     # frames that a query reads more than once are computed once
-    shared = {"listing", "analysis", "src", "topped"}
+    shared = {"listing", "analysis", "src", "topped", "filled", "features", "nearest", "sample"}
     parts = [(n, CTES[n]()) for n in ORDER if n in seen] + list(extra or [])
     parts = [f"{n} AS {'MATERIALIZED ' if n in shared else ''}({body})" for n, body in parts]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + select

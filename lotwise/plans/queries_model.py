@@ -30,6 +30,35 @@ def _model_src():
     return 'SELECT * FROM analysis WHERE "VIN" IS NOT NULL'
 
 
+# Listing features as the scores use them (five z-scores, nine categories) and their neighbours by
+# brute force over all pairs of listings.
+_FILLED_SQL = ('SELECT "VIN", ' + ", ".join(f"coalesce({q(c)}, (SELECT quantile_cont({q(c)}, 0.5) FROM src))::DOUBLE AS x{i}" for i, c in enumerate(M.NUMERIC))
+               + ", " + ", ".join(f"dense_rank() OVER (ORDER BY {q(c)} ASC NULLS LAST) AS c{i}" for i, c in enumerate(M.CATEGORICAL))
+               + f", coalesce({q(M.TIME)}, (SELECT quantile_cont({q(M.TIME)}, 0.5) FROM src))::DOUBLE AS days FROM src")
+_FEATURES_SQL = ('SELECT "VIN", days, ' + ", ".join(f"coalesce((x{i} - avg(x{i}) OVER ()) / nullif(stddev_pop(x{i}) OVER (), 0), 0) AS z{i}" for i in range(len(M.NUMERIC)))
+                 + ", " + ", ".join(f"c{i}" for i in range(len(M.CATEGORICAL))) + " FROM filled")
+_DISTANCE_SQL = "sqrt(" + " + ".join(f"(a.z{i} - b.z{i}) * (a.z{i} - b.z{i})" for i in range(len(M.NUMERIC))) \
+    + " + 2.0 * (" + " + ".join(f"(a.c{i} <> b.c{i})::UTINYINT" for i in range(len(M.CATEGORICAL))) + "))"
+_NEAREST_SQL = (f'SELECT a."VIN", min({{\'dist\': {_DISTANCE_SQL}, \'nid\': b."VIN", \'days\': b.days}}, {KNN_K}) AS best '
+                'FROM features a, features b GROUP BY a."VIN"')
+_NEIGHBOURS = [("src", _model_src()), ("filled", _FILLED_SQL), ("features", _FEATURES_SQL), ("nearest", _NEAREST_SQL)]
+
+
+def _encoded(s, d):
+    """The catalogue's listings as features, encoded without the clusters."""
+    base = cut_lineage(analysis(s, d).filter(F.col("VIN").isNotNull()).select("VIN", *[F.col(f"`{c}`") for c in M.NUMERIC + M.CATEGORICAL + [M.TIME]]))
+    return cut_lineage(M.encode(base, M.fit_encoding(base)))
+
+
+@register("knn_listings", with_ctes(["analysis"], """SELECT "VIN" AS qid, best[i].nid AS nid, best[i].dist AS dist, i AS rank
+FROM nearest, LATERAL (SELECT unnest(generate_series(1, len(best))) AS i)""", _NEIGHBOURS))
+def _knn_listings(s, d):
+    """The nearest listings of every listing over all features of the scores."""
+    e = _encoded(s, d)
+    return knn_join(e.select(F.col("VIN").alias("qid"), F.col("z").alias("vec"), "codes"), e.select(F.col("VIN").alias("nid"), F.col("z").alias("vec"), "codes"),
+                    KNN_K, codes="codes")
+
+
 def _codes_sql() -> str:
     cols = ", ".join(f"dense_rank() OVER (ORDER BY {q(c)} ASC NULLS LAST) - 1 AS {q(c)}" for c in M.CATEGORICAL)
     return with_ctes(["analysis"], f'SELECT "VIN", {cols} FROM src', [("src", _model_src())])
@@ -120,11 +149,6 @@ def _score_all(s, d):
     return _scores(s, d)
 
 
-@register("weibull_fit")
-def _weibull_fit(s, d):
-    return _scores(s, d).select("VIN", "weibull_shape", "weibull_scale")
-
-
 # The closed forms on given shapes: every listing's numbers stand in for a fitted
 # shape and scale, so that SQL can follow (``score_all`` runs them on the fits).
 _SHAPE, _SCALE, _T = '0.5 + ("Mileage" % 17) / 8.0', '5 + ("Cash Price (USD)" % 211)', 'coalesce("Listed Days", 0)'
@@ -229,3 +253,50 @@ def _score_new(s, d):
         "VIN": F.concat(F.lit("N-"), F.col("VIN")), "Cash Price (USD)": F.col("`Cash Price (USD)`") * 0.9,
         "Mileage": F.col("Mileage") + 5000, "Car Make": F.when(F.col("`Fuel Type`") == "Electric", "Unseen").otherwise(F.col("`Car Make`"))})
     return M.score_new(new, _model(s, d))
+
+
+# Scores from each listing's nearest neighbours and the statistics of given clusters: everything that
+# ``score_all`` does after clustering, with the Weibull shape found by bisection in SQL.
+_CURVE = "list_sum(list_transform(ys, lambda y: pow(y, {k}) * ln(y))) / list_sum(list_transform(ys, lambda y: pow(y, {k}))) - 1 / {k} - list_avg(list_transform(ys, lambda y: ln(y)))"
+_MIDDLE = "((lo + hi) / 2)"
+_SCORED_CTES = [*_NEIGHBOURS, ("given", _GIVEN_SQL), ("labelled", _LABELLED_SQL), ("stats", _STATS_SQL),
+    ("sample", """SELECT n."VIN", l.cluster, f.days AS t, list_transform(best, lambda b: b.days) AS near, s.median AS cm,
+       list_filter(list_transform(best, lambda b: b.days) || [s.median, s.mean], lambda x: x > 0) AS xs
+     FROM nearest n JOIN features f USING ("VIN") JOIN labelled l USING ("VIN") JOIN stats s ON s.cluster IS NOT DISTINCT FROM l.cluster"""),
+    ("scaled", 'SELECT "VIN", list_transform(xs, lambda x: x / list_max(xs)) AS ys FROM sample WHERE len(xs) >= 3'),
+    ("bisect", f"""SELECT "VIN", ys, 0.02::DOUBLE AS lo, 200::DOUBLE AS hi, 0 AS step FROM scaled
+     UNION ALL SELECT "VIN", ys, CASE WHEN {_CURVE.format(k=_MIDDLE)} > 0 THEN lo ELSE {_MIDDLE} END, CASE WHEN {_CURVE.format(k=_MIDDLE)} > 0 THEN {_MIDDLE} ELSE hi END, step + 1
+     FROM bisect WHERE step < 55"""),
+    ("fitted", f'SELECT "VIN", {_MIDDLE} AS k FROM bisect WHERE step = 55'),
+    ("shaped", """SELECT *, CASE WHEN k IS NOT NULL THEN list_max(xs) * pow(list_avg(list_transform(xs, lambda x: pow(x / list_max(xs), k))), 1 / k) END AS l,
+       list_median(near) AS sim FROM sample LEFT JOIN fitted USING ("VIN")"""),
+    ("priced", "SELECT *, CASE WHEN sim > 0 THEN sim ELSE cm END AS fallback FROM shaped"),
+    ("scores", """SELECT "VIN", cluster, t AS current_listing_days, k AS weibull_shape, l AS weibull_scale, len(near)::INTEGER AS similar_cars_count,
+       sim AS similar_cars_median_days, cm AS cluster_median_days,
+       CASE WHEN k IS NULL THEN 0.5 WHEN t > 0 THEN 1 - exp(pow(t / l, k) - pow((t + 30) / l, k)) ELSE 1 - exp(-pow(30 / l, k)) END AS probability_sold_30days, """
+     + ", ".join(f"CASE WHEN k IS NULL THEN fallback * {w} ELSE greatest(0, l * pow(-ln(1 - {x}), 1 / k) - greatest(t, 0)) END AS {n}"
+                 for (n, x), w in zip(_QUANTILES, (0.7, 1.0, 1.3))) + " FROM priced")]
+
+
+def _with_neighbours(ctes: list[str], select: str) -> str:
+    """The scores' WITH list; it holds a recursive step."""
+    return with_ctes(ctes, select, _SCORED_CTES).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _given_scores(s, d):
+    rows = cut_lineage(_labelled(s, d).select("VIN", "cluster", "Listed Days"))
+    stats = M.cluster_stats(rows)
+    e = cut_lineage(_encoded(s, d).join(rows.select("VIN", "cluster"), "VIN"))
+    return M.score_rows(e, e, cut_lineage(stats), KNN_K)
+
+
+@register("score_given", _with_neighbours(["analysis"], "SELECT *, 0.7 * days_to_sell_median + 0.3 * similar_cars_median_days AS expected_days_to_sell, "
+                                          "current_listing_days + 0.7 * days_to_sell_median + 0.3 * similar_cars_median_days AS total_expected_days FROM scores"))
+def _score_given(s, d):
+    """All prediction fields from real neighbours and fits, over given clusters."""
+    return _given_scores(s, d)
+
+
+@register("weibull_fit", _with_neighbours(["analysis"], 'SELECT "VIN", weibull_shape, weibull_scale FROM scores'))
+def _weibull_fit(s, d):
+    return _given_scores(s, d).select("VIN", "weibull_shape", "weibull_scale")
