@@ -12,6 +12,7 @@ from ..schemas import CHILD_TABLES, WAREHOUSE_TABLES, ddl
 from ..session import cut_lineage
 from .cleaning import installment_flag, not_null_key, typed_cast
 from .dedup import dedup_by_key
+from .snapshots import Folders, latest, update
 
 # Column order returned by the search join (parent first, then the children).
 WIDE_COLUMNS = [
@@ -68,27 +69,12 @@ def anti_join_existing(new: DataFrame, existing: DataFrame, key: str = "VIN") ->
 
 
 # ---------------------------------------------------------------------------
-# Physical warehouse on Parquet (tables are folders under ``root``)
+# Physical warehouse on Parquet: folders of loads under ``root``, listed by snapshots
 # ---------------------------------------------------------------------------
-def table_path(root: str, name: str) -> str:
-    return os.path.join(root, name)
-
-
 def empty_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], ddl(name))
 
 
-def ensure_tables(spark: SparkSession, root: str) -> list[str]:
-    """Create every missing warehouse table as an empty typed Parquet folder."""
-    created = []
-    for name in WAREHOUSE_TABLES:
-        p = table_path(root, name)
-        if not _exists(spark, p):
-            empty_table(spark, name).write.mode("ignore").parquet(p)
-            created.append(name)
-    return created
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hp = jvm.org.apache.hadoop.fs.Path(path)
@@ -96,84 +82,133 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hp)
 
 
+def _read(spark: SparkSession, root: str, name: str, folders: Folders) -> DataFrame:
+    paths = [os.path.join(root, p) for p in folders.get(name, [])]
+    return spark.read.schema(ddl(name)).parquet(*paths) if paths else empty_table(spark, name)
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Read a warehouse table; a table that does not exist is an empty frame
-    (and only that case: a corrupt table raises)."""
-    p = table_path(root, name)
-    if not _exists(spark, p):
-        return empty_table(spark, name)
-    return spark.read.schema(ddl(name)).parquet(p)
+    """A warehouse table as of the last snapshot; a table that holds nothing yet is an empty
+    frame (and only that case: a corrupt table raises). The run log is a plain folder."""
+    if name == "etl_log":
+        path = os.path.join(root, name)
+        return spark.read.schema(ddl(name)).parquet(path) if _exists(spark, path) else empty_table(spark, name)
+    return _read(spark, root, name, latest(spark, root)[1])
 
 
 def read_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {n: read_table(spark, root, n) for n in ["car_info"] + CHILD_TABLES}
+    """The six tables, all of the same snapshot."""
+    folders = latest(spark, root)[1]
+    return {n: _read(spark, root, n, folders) for n in ["car_info"] + CHILD_TABLES}
 
 
-# Children first, the wide table next, the parent last: a key in car_info has all its other rows.
-LOAD_ORDER = CHILD_TABLES + ["transformed_cars", "car_info"]
+LOAD_TABLES = CHILD_TABLES + ["transformed_cars", "car_info"]
 
 
-def _append_missing(spark: SparkSession, rows: DataFrame, root: str, name: str) -> int:
-    """Append the rows whose key the table does not hold yet; returns their
-    number, counted while they are written."""
+def _write_part(rows: DataFrame, path: str) -> int:
+    """Write a folder that no snapshot lists yet; returns its number of rows, counted while they are written."""
     seen = Observation()
-    fresh = anti_join_existing(rows, read_table(spark, root, name)).observe(seen, F.count(F.lit(1)).alias("n"))
-    fresh.write.mode("append").parquet(table_path(root, name))
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
     return int(seen.get["n"])
 
 
 def append_audit(spark: SparkSession, root: str, audit: DataFrame) -> None:
     """Append audit rows whose (id, kind) is not logged yet, so a replayed run logs once."""
     log = read_table(spark, root, "etl_log").select("id", "kind")
-    audit.join(log, ["id", "kind"], "left_anti").select(audit.columns).write.mode("append").parquet(table_path(root, "etl_log"))
+    audit.join(log, ["id", "kind"], "left_anti").select(audit.columns).write.mode("append").parquet(os.path.join(root, "etl_log"))
 
 
 def incremental_load(spark: SparkSession, listing: DataFrame, root: str, run_id: int | None = None,
                      user: str | None = None, fixed: bool = False) -> DataFrame:
     """transform output -> new keys only -> six tables + wide table + audit row.
 
-    * The input is staged once (checkpoint in the shared folder); every table
-      takes its own missing keys from it, so a run that stopped between any two
-      appends is completed by the next one. Loading the same input twice adds 0.
-    * ``car_info`` is written last of all seven, as the commit mark.
+    * The rows whose key ``car_info`` does not hold are staged once (checkpoint in the shared
+      folder) and written to new folders, one a table. One snapshot then shows all seven
+      tables' new rows at once; a reader during the load, or after a run that stopped
+      anywhere, sees the old warehouse. Loading the same input twice adds 0.
+    * If another load commits first, the missing keys are taken again from its result, so two
+      loads at once add no key twice.
     * A failure is logged as a FAILED audit row and raised again; a run id is
       logged once for each outcome.
     Returns (table, rows_added).
     """
     user = user or getpass.getuser()
     run_id = run_id if run_id is not None else int(uuid.uuid4().int % (1 << 62))
-    ensure_tables(spark, root)
     added: dict[str, int] = {}
+
+    def load(folders: Folders) -> Folders:
+        fresh = cut_lineage(anti_join_existing(staged, _read(spark, root, "car_info", folders)))
+        parts = vertical_split(fresh, fixed)
+        parts["transformed_cars"] = fresh.withColumn("load_date", F.current_timestamp()) \
+            .select(*[F.col(f"`{c}`") for c, _ in WAREHOUSE_TABLES["transformed_cars"]])
+        load_id = uuid.uuid4().hex
+        added.clear()
+        for name in LOAD_TABLES:
+            added[name] = 0 if added and not next(iter(added.values())) else _write_part(parts[name], os.path.join(root, name, load_id))
+            if added[name]:
+                folders.setdefault(name, []).append(f"{name}/{load_id}")
+        return folders
+
     try:
         staged = cut_lineage(not_null_key(listing, "VIN"))
-        parts = vertical_split(staged, fixed)
-        parts["transformed_cars"] = staged.withColumn("load_date", F.current_timestamp()) \
-            .select(*[F.col(f"`{c}`") for c, _ in WAREHOUSE_TABLES["transformed_cars"]])
-        for name in LOAD_ORDER:
-            added[name] = _append_missing(spark, parts[name], root, name)
+        update(spark, root, load)
     except Exception:
-        append_audit(spark, root, run_audit_row(spark, run_id, added.get("car_info", 0), "FAILED", user, kind="load-failed"))
+        append_audit(spark, root, run_audit_row(spark, run_id, 0, "FAILED", user, kind="load-failed"))
         raise
     append_audit(spark, root, run_audit_row(spark, run_id, added["car_info"], "SUCCESS", user, kind="load"))
     return spark.createDataFrame(sorted(added.items()), "table string, rows_added long")
 
 
-def merge_survivors(spark: SparkSession, batch: DataFrame, state: str, key: str = "VIN", buckets: int = 64) -> None:
-    """Merge raw rows into the survivor table ``state``: one row per key, chosen
-    by the same order as ``dedup_by_key``, whatever micro-batch a copy came in.
+# ---------------------------------------------------------------------------
+# Survivors of a stream: runs that are merged in tiers
+# ---------------------------------------------------------------------------
+#: Runs of one tier that are merged into one run of the next.
+FANOUT = 4
+
+
+def merge_survivors(spark: SparkSession, batch: DataFrame, state: str, key: str = "VIN", fanout: int = FANOUT) -> int:
+    """Add raw rows to the survivor state: one row per key, chosen by the same order as
+    ``dedup_by_key``, whatever micro-batch a copy came in.
 
-    The table is partitioned by a hash bucket of the key; a batch rewrites only
-    the buckets it touches (dynamic partition overwrite from a checkpointed
-    merge). The order's minimum is associative and a replayed batch changes
-    nothing, so stream and batch agree.
+    A batch writes only its own survivors, as a new run of tier 0 (as many rows as it has keys); nothing
+    that earlier batches wrote is read. ``fanout`` runs of a tier are merged into one of
+    the next, so a row is rewritten a logarithmic number of times over all batches. The order's minimum is
+    associative and a replayed batch changes nothing, so stream and batch agree. Returns the
+    number of rows written, merges included.
     """
-    bucketed = batch.withColumn("key_bucket", F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(buckets)).cast("int"))
-    merged = bucketed
-    if _exists(spark, state):
-        touched = [r[0] for r in bucketed.select("key_bucket").distinct().collect()]  # at most ``buckets``
-        merged = spark.read.schema(bucketed.schema).parquet(state).where(F.col("key_bucket").isin(touched)).unionByName(bucketed)
-    cut_lineage(dedup_by_key(merged, key)).repartition("key_bucket").write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy("key_bucket").parquet(state)
+    run = f"runs/{uuid.uuid4().hex}"
+    written = _write_part(dedup_by_key(batch, key), os.path.join(state, run))
+    if written:
+        update(spark, state, lambda tiers: {**tiers, "0": [*tiers.get("0", []), run]})
+    return written + compact_survivors(spark, state, key, fanout)
+
+
+def compact_survivors(spark: SparkSession, state: str, key: str = "VIN", fanout: int = FANOUT) -> int:
+    """Merge every tier that holds ``fanout`` runs; returns the number of rows written."""
+    written, tier = 0, 0
+    while True:
+        tiers = latest(spark, state)[1]
+        if tier > max(map(int, tiers), default=-1):
+            return written
+        old = tiers.get(str(tier), [])[:fanout]
+        if len(old) < fanout:
+            tier += 1
+            continue
+        merged = f"runs/{uuid.uuid4().hex}"
+        written += _write_part(dedup_by_key(spark.read.parquet(*[os.path.join(state, p) for p in old]), key), os.path.join(state, merged))
+
+        def swap(now: Folders, old=old, merged=merged, tier=tier) -> Folders:
+            if not set(old) <= set(now.get(str(tier), [])):  # another writer merged them
+                return now
+            up = str(tier + 1)
+            return {**now, str(tier): [p for p in now[str(tier)] if p not in old], up: [*now.get(up, []), merged]}
+        update(spark, state, swap)
+
+
+def read_survivors(spark: SparkSession, state: str, key: str = "VIN") -> DataFrame | None:
+    """The survivors over all runs of the last snapshot; None before the first batch."""
+    paths = [os.path.join(state, p) for tier in latest(spark, state)[1].values() for p in tier]
+    return dedup_by_key(spark.read.parquet(*paths), key) if paths else None
 
 
 def run_audit_row(spark: SparkSession, run_id: int, n: int, status: str, user: str,

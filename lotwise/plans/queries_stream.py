@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cleaning import null_sentinels
 from ..operators.transform import transform_listings
-from ..operators.warehouse import incremental_load, listing_wide, merge_survivors, read_warehouse, vertical_split
+from ..operators.warehouse import incremental_load, listing_wide, merge_survivors, read_survivors, read_warehouse, vertical_split
 from ..schemas import LISTING_FIELDS
 from ..session import scratch_path
 from ..streaming import events as EV
@@ -61,30 +61,22 @@ def _event_stream(s, d):
     return s.read.parquet(sink).groupBy("status", "valid").agg(F.count(F.lit(1)).alias("n"))
 
 
-_LOAD_TABLES = ["car_info", "engine_info", "evaluate", "in_exterior", "installment_info", "other_detail"]
-
-
-@register("etl_on_event", with_ctes(["listing"], " UNION ALL ".join(
-    f"SELECT '{t}' AS \"table\", count(DISTINCT \"VIN\") AS rows FROM listing" for t in _LOAD_TABLES)))
+@register("etl_on_event", with_ctes(["wide"], "SELECT * FROM wide"))
 def _etl_on_event(s, d):
-    """Every new_data_available batch runs the idempotent load; the warehouse
-    ends equal to one batch load however many messages arrive."""
+    """Every new_data_available batch runs the idempotent load; the warehouse ends equal to
+    one batch load, row by row, however many messages arrive."""
     src = _publish(s, d, "topic_etl")
     root, ck, quar = _scratch(s, "wh_stream"), _scratch(s, "etl_ck"), _scratch(s, "quarantine")
     lst = listing(s, d)
     q = EV.etl_on_event(EV.event_stream(s, src, max_files_per_trigger=2),
                         lambda bid: incremental_load(s, lst, root, run_id=bid), ck, quar, DRAIN)
     q.awaitTermination()
-    wh = read_warehouse(s, root)
-    out = None
-    for t in _LOAD_TABLES:
-        part = wh[t].agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table"), "rows")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return listing_wide(read_warehouse(s, root))
 
 
-@register("refresh_on_event", with_ctes(["wide"], "SELECT count(*) AS rows FROM wide"))
+@register("refresh_on_event", with_ctes(["wide"], "SELECT * FROM wide"))
 def _refresh_on_event(s, d):
+    """The serving table after a warehouse_updated message, row by row."""
     src = _publish(s, d, "topic_refresh")
     root, ck, serving = _scratch(s, "wh_refresh"), _scratch(s, "refresh_ck"), _scratch(s, "serving")
     incremental_load(s, listing(s, d), root, run_id=1)
@@ -92,7 +84,7 @@ def _refresh_on_event(s, d):
     def refresh(_bid):
         listing_wide(read_warehouse(s, root)).write.mode("overwrite").parquet(serving)
     EV.refresh_on_event(EV.event_stream(s, src), refresh, ck, trigger=DRAIN).awaitTermination()
-    return s.read.parquet(serving).agg(F.count(F.lit(1)).alias("rows"))
+    return s.read.parquet(serving)
 
 
 @register("ingest_listings_stream", with_ctes(["car_info"], 'SELECT "VIN", "Car_Make", "Car_Price_USD" FROM car_info'))
@@ -104,8 +96,7 @@ def _ingest_listings_stream(s, d):
     schema = ", ".join(f"`{c}` string" for c in LISTING_FIELDS) + ", page int, idx int"
     EV.ingest_listings_stream(s, lake, schema, lambda batch, _bid: merge_survivors(s, null_sentinels(batch, exclude=("VIN",)), state), ck,
                               max_files_per_trigger=2, trigger=DRAIN).awaitTermination()
-    survivors = s.read.parquet(state).drop("key_bucket")
-    return vertical_split(transform_listings(survivors))["car_info"].select("VIN", "Car_Make", "Car_Price_USD")
+    return vertical_split(transform_listings(read_survivors(s, state)))["car_info"].select("VIN", "Car_Make", "Car_Price_USD")
 
 
 @register("supervise_streams")

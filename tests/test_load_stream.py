@@ -3,6 +3,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from lotwise.operators import snapshots as S
 from lotwise.operators import warehouse as W
 from lotwise.operators.cleaning import null_sentinels
 from lotwise.operators.dedup import dedup_by_key
@@ -21,53 +22,96 @@ def scratch(spark, name):
 
 
 def contents(spark, root):
-    return {n: sorted(map(str, W.read_table(spark, root, n).drop("load_date").collect())) for n in W.LOAD_ORDER}
+    return {n: sorted(map(str, W.read_table(spark, root, n).drop("load_date").collect())) for n in W.LOAD_TABLES}
 
 
-def test_a_load_that_stops_after_any_append_is_completed(spark, monkeypatch):
+def test_a_load_that_stops_anywhere_shows_nothing_and_the_next_one_all(spark, monkeypatch):
     listing = transform_listings(raw_rows(spark, ROWS))
-    whole = scratch(spark, "whole")
+    whole, none = scratch(spark, "whole"), {n: [] for n in W.LOAD_TABLES}
     W.incremental_load(spark, listing, whole, run_id=1)
-    want, append = contents(spark, whole), W._append_missing
-    for stop in range(len(W.LOAD_ORDER)):
+    want, write = contents(spark, whole), W._write_part
+    for stop in range(len(W.LOAD_TABLES)):
         root, done = scratch(spark, "crash"), []
 
-        def crash(*args, done=done, stop=stop):
+        def crash(*args, done=done, stop=stop, root=root):
             if len(done) == stop:
                 raise RuntimeError("lost")
             done.append(1)
-            return append(*args)
-        monkeypatch.setattr(W, "_append_missing", crash)
+            n = write(*args)
+            assert contents(spark, root) == none  # a reader during the load
+            return n
+        monkeypatch.setattr(W, "_write_part", crash)
         with pytest.raises(RuntimeError, match="lost"):
             W.incremental_load(spark, listing, root, run_id=5)
-        monkeypatch.setattr(W, "_append_missing", append)
+        monkeypatch.setattr(W, "_write_part", write)
+        assert contents(spark, root) == none
         added = {r.table: r.rows_added for r in W.incremental_load(spark, listing, root, run_id=6).collect()}
-        assert added["car_info"] == 6 and contents(spark, root) == want
+        assert added == dict.fromkeys(W.LOAD_TABLES, 6) and contents(spark, root) == want
         log = {(r.id, r.status) for r in W.read_table(spark, root, "etl_log").collect()}
         assert log == {(5, "FAILED"), (6, "SUCCESS")}
 
 
-def test_a_table_emptied_behind_the_parent_is_filled_again_and_a_run_is_logged_once(spark):
-    listing, root = transform_listings(raw_rows(spark, ROWS)), scratch(spark, "hole")
-    W.incremental_load(spark, listing, root, run_id=1)
-    W.empty_table(spark, "transformed_cars").write.mode("overwrite").parquet(W.table_path(root, "transformed_cars"))
-    added = {r.table: r.rows_added for r in W.incremental_load(spark, listing, root, run_id=1).collect()}
-    assert added == {**dict.fromkeys(W.LOAD_ORDER, 0), "transformed_cars": 6}
-    assert W.read_table(spark, root, "etl_log").count() == 1
+def test_a_second_load_during_a_load_adds_no_key_twice_and_readers_see_whole_loads(spark, monkeypatch):
+    first, all_rows = transform_listings(raw_rows(spark, ROWS[:4])), transform_listings(raw_rows(spark, ROWS))
+    root, whole, write, seen = scratch(spark, "two"), scratch(spark, "whole"), W._write_part, []
+    W.incremental_load(spark, all_rows, whole, run_id=1)
+
+    def meet(rows, path):
+        n = write(rows, path)
+        if not seen:
+            seen.append(1)
+            W.incremental_load(spark, first, root, run_id=8)  # commits while the other load is writing
+        assert {len(x) for x in contents(spark, root).values()} in ({0}, {4})
+        return n
+    monkeypatch.setattr(W, "_write_part", meet)
+    added = {r.table: r.rows_added for r in W.incremental_load(spark, all_rows, root, run_id=9).collect()}
+    monkeypatch.setattr(W, "_write_part", write)
+    assert added == dict.fromkeys(W.LOAD_TABLES, 2) and contents(spark, root) == contents(spark, whole)
+    assert {r.table: r.rows_added for r in W.incremental_load(spark, all_rows, root, run_id=9).collect()} == dict.fromkeys(W.LOAD_TABLES, 0)
+    assert W.read_table(spark, root, "etl_log").count() == 2 and S.latest(spark, root)[0] == 2
+
+
+def test_snapshots_conflict_and_empty(spark):
+    root = scratch(spark, "snap")
+    assert S.latest(spark, root) == (0, {})
+    S.commit(spark, root, 1, {"a": ["x"]})
+    with pytest.raises(S.SnapshotConflict):
+        S.commit(spark, root, 1, {"a": ["y"]})
+    assert S.latest(spark, root) == (1, {"a": ["x"]})
+    assert S.update(spark, root, lambda f: f) == {"a": ["x"]} and S.latest(spark, root)[0] == 1
+    assert W.read_table(spark, root, "car_info").count() == 0
 
 
 def test_stream_equals_batch_with_copies_in_different_files(spark):
     copies = ROWS + [{**r, "Title": "1999 Aaa First", "Fuel Type": "Gas"} for r in ROWS[:3]] + [{**ROWS[4], "Mileage": None}, {"Title": "2001 No Vin"}]
     raw = null_sentinels(raw_rows(spark, copies), exclude=("VIN",))
     lake, state, ck = scratch(spark, "lake"), scratch(spark, "state"), scratch(spark, "ck")
+    assert W.read_survivors(spark, state) is None
     raw.repartition(len(copies)).write.option("maxRecordsPerFile", 1).json(lake)
     schema = ", ".join(f"`{c}` string" for c in LISTING_FIELDS)
     EV.ingest_listings_stream(spark, lake, schema, lambda b, _i: W.merge_survivors(spark, b, state), ck, trigger={"availableNow": True}).awaitTermination()
-    got = spark.read.parquet(state).drop("key_bucket")
+    got = W.read_survivors(spark, state)
     want = dedup_by_key(raw.select(got.columns))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 7
     W.merge_survivors(spark, raw.limit(3), state)  # a replayed batch changes nothing
-    assert sorted(map(str, spark.read.parquet(state).drop("key_bucket").collect())) == sorted(map(str, want.collect()))
+    assert sorted(map(str, W.read_survivors(spark, state).collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_batch_writes_its_own_keys_and_merges_stay_logarithmic(spark):
+    rows = spark.range(640).selectExpr("concat('K', id % 400) AS VIN", "CAST(id AS string) AS Title", "id % 16 AS b")
+    state, written = scratch(spark, "state"), []
+    for i in range(16):
+        batch = rows.where(F.col("b") == i).drop("b")
+        keys = batch.select("VIN").distinct().count()
+        n = W.merge_survivors(spark, batch, state, fanout=4)
+        written.append(n)
+        if (i + 1) % 4:
+            assert n == keys  # nothing else is rewritten
+    assert sum(written) <= 640 * 3  # once a tier
+    tiers = S.latest(spark, state)[1]
+    assert [len(tiers.get(str(t), [])) for t in range(3)] == [0, 0, 1]
+    want = dedup_by_key(rows.drop("b"))
+    assert sorted(map(str, W.read_survivors(spark, state).collect())) == sorted(map(str, want.collect()))
 
 
 def test_supervisor_restarts_as_often_as_it_takes(spark):
