@@ -51,15 +51,15 @@ def vertical_split(listing: DataFrame, fixed: bool = False) -> dict[str, DataFra
     }
 
 
-def listing_wide(tables: dict[str, DataFrame]) -> DataFrame:
+def listing_wide(tables: dict[str, DataFrame], extra: list[str] | None = None) -> DataFrame:
     """Car_Info LEFT JOIN the five children on VIN. Children are not unique,
     so a child with two rows fans the parent out; a parent without a child
-    keeps NULLs. All joins share one key: with tables bucketed (or already
-    hash-partitioned) on VIN none of them shuffles."""
+    keeps NULLs. All joins share one key: over the bucketed serving copy
+    (``storage``) none of them shuffles. ``extra`` names further columns to keep."""
     out = tables["car_info"]
     for name in ("in_exterior", "evaluate", "engine_info", "other_detail", "installment_info"):
         out = out.join(tables[name], on="VIN", how="left")
-    return out.select(*[_c(c) for c in WIDE_COLUMNS])
+    return out.select(*[_c(c) for c in [*WIDE_COLUMNS, *(extra or [])]])
 
 
 def anti_join_existing(new: DataFrame, existing: DataFrame, key: str = "VIN") -> DataFrame:

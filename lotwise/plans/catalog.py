@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.analysis import add_analysis_columns, clean_for_analysis
-from ..operators.search import SearchCriteria, search_listings
+from ..operators.search import SearchCriteria, search_serving
+from ..operators.storage import read_serving, write_serving
 from ..operators.transform import transform_listings
 from ..operators.warehouse import listing_wide, vertical_split
 from ..session import scratch_path
@@ -37,30 +38,57 @@ def raw(spark: SparkSession, d: str) -> DataFrame:
     return views.raw_listing(spark, d)
 
 
-# (schema, path) of the transformed listings, staged once per application and input.
-_STAGED: dict[tuple[str, str], tuple] = {}
+# Stored copies of an input: (application, folder, its files with times and sizes) -> what was written.
+_STAGED: dict[tuple, object] = {}
+
+
+def input_state(spark: SparkSession, d: str) -> tuple:
+    """Application, folder and the files in it, so replaced files count as another input."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(d)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted((f.getPath().getName(), f.getModificationTime(), f.getLen()) for f in fs.listStatus(path))
+    return spark.sparkContext.applicationId, d, tuple(files)
+
+
+def staged(spark: SparkSession, d: str, name: str, write: Callable[[], object]):
+    """What ``write`` returned for this input; it runs once per application and state of the input."""
+    key = (name, *input_state(spark, d))
+    if key not in _STAGED:
+        _STAGED[key] = write()
+    return _STAGED[key]
 
 
 def listing(spark: SparkSession, d: str) -> DataFrame:
     """The transformed listings as a stored table in the shared folder: the first
     user writes it, so searches and reports read columns and push their filters
     into a Parquet scan, as over a warehouse, instead of deriving every listing again."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _STAGED:
+    def write():
         df = transform_listings(raw(spark, d))
         path = scratch_path(spark, f"listing-{uuid.uuid4().hex}")
         df.write.parquet(path)
-        _STAGED[key] = (df.schema, path)
-    schema, path = _STAGED[key]
+        return df.schema, path
+
+    schema, path = staged(spark, d, "listing", write)
     return spark.read.schema(schema).parquet(path)
 
 
+def serving(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The bucketed serving copy of the six tables, written by its first user."""
+    def write():
+        root = scratch_path(spark, f"serving-{uuid.uuid4().hex}")
+        write_serving(spark, tables(spark, d), root)
+        return root
+
+    return read_serving(spark, staged(spark, d, "serving", write))
+
+
 def tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return vertical_split(listing(spark, d))
 
 
 def wide(spark: SparkSession, d: str) -> DataFrame:
-    return listing_wide(tables(spark, d))
+    return listing_wide(serving(spark, d))
 
 
 def clean(spark: SparkSession, d: str) -> DataFrame:
@@ -76,7 +104,7 @@ FLAGSHIP = SearchCriteria(car_make="to", price_min=0, price_max=100000, fuel_typ
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    return search_listings(wide(spark, d), FLAGSHIP)
+    return search_serving(serving(spark, d), FLAGSHIP)
 
 
 # Importing the modules below registers their keys.

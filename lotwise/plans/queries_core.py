@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from .. import functions as L
 from ..operators import cleaning as C
 from ..operators.dedup import dedup_by_key
-from ..operators.search import SearchCriteria, ilike_contains, order_by_price, price_between, search_listings
+from ..operators.search import SearchCriteria, ilike_contains, order_by_price, price_between, search_serving
 from ..operators.transform import transform_listings
 from ..operators.warehouse import anti_join_existing, listing_wide
 from ..schemas import TRANSFORMED_COLUMNS
 from . import oracle as O
 from ..streaming.events import encode_events
-from .catalog import FLAGSHIP, analysis, clean, listing, raw, register, tables, wide
+from .catalog import FLAGSHIP, analysis, clean, listing, raw, register, serving, tables, wide
 from .oracle import q, with_ctes
 
 
@@ -321,7 +321,7 @@ _P = O.price_numeric('"Car_Price_USD"')
     f"contains(lower(\"Car_Make\"), 'to') AND {_P} >= 0.0 AND {_P} <= 100000.0 "
     f"AND contains(lower(\"Fuel_Type\"), 'gas') ORDER BY {_P} ASC NULLS LAST, \"VIN\""))
 def _search_listings(s, d):
-    return search_listings(wide(s, d), FLAGSHIP)
+    return search_serving(serving(s, d), FLAGSHIP)
 
 
 ALL_SET = SearchCriteria(year=2018, car_make="o", price_min=1000, price_max=60000, installment_support=True,
@@ -333,12 +333,12 @@ ALL_SET = SearchCriteria(year=2018, car_make="o", price_min=1000, price_max=6000
     "AND \"Installment_Support\" = TRUE AND contains(lower(\"Engine\"), 'gas') "
     "AND contains(lower(\"Fuel_Type\"), 'gas') AND contains(lower(\"Features\"), 'bluetooth')"))
 def _dynamic_filter(s, d):
-    return search_listings(wide(s, d), ALL_SET, ordered=False)
+    return search_serving(serving(s, d), ALL_SET, ordered=False)
 
 
 @register("dynamic_filter_none", with_ctes(["wide"], "SELECT * FROM wide"))
 def _dynamic_filter_none(s, d):
-    return search_listings(wide(s, d), SearchCriteria(), ordered=False)
+    return search_serving(serving(s, d), SearchCriteria(), ordered=False)
 
 
 @register("ilike_contains", _search_sql("contains(lower(\"Car_Make\"), 'an') OR contains(lower(\"Features\"), '%')"))

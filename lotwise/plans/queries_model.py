@@ -8,7 +8,7 @@ from ..operators import model as M
 from ..operators.knn import knn_join
 from ..operators.selltime import remaining_quantile, score_frame, sell_probability
 from ..session import cut_lineage
-from .catalog import analysis, clean, register
+from .catalog import analysis, clean, register, staged
 from .oracle import q, with_ctes
 
 KNN_K = M.NEIGHBOURS
@@ -114,24 +114,14 @@ def _one_hot(s, d):
 
 
 # The fitted model and the scored catalogue are materialised once per application
-# and input; the keys below read them.
-_FITTED: dict[tuple[str, str], M.ListingModel] = {}
-_SCORED: dict[tuple[str, str], object] = {}
-
-
+# and state of the input; the keys below read them.
 def _model(s, d) -> M.ListingModel:
-    key = (s.sparkContext.applicationId, d)
-    if key not in _FITTED:
-        _FITTED[key] = M.fit_model(analysis(s, d))
-    return _FITTED[key]
+    return staged(s, d, "model", lambda: M.fit_model(analysis(s, d)))
 
 
 def _scores(s, d):
-    key = (s.sparkContext.applicationId, d)
-    if key not in _SCORED:
-        model = _model(s, d)
-        _SCORED[key] = cut_lineage(M.score_all(model.catalogue, model=model))
-    return _SCORED[key]
+    model = _model(s, d)
+    return staged(s, d, "scores", lambda: cut_lineage(M.score_all(model.catalogue, model=model)))
 
 
 @register("truncated_svd")

@@ -3,9 +3,10 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from lotwise.operators import storage as ST
 from lotwise.operators.cleaning import require_columns
 from lotwise.operators.dedup import dedup_by_key, dedup_report
-from lotwise.operators.search import SearchCriteria, search_listings
+from lotwise.operators.search import SearchCriteria, search_listings, search_serving
 from lotwise.operators.transform import transform_listings
 from lotwise.operators.warehouse import incremental_load, listing_wide, read_warehouse, vertical_split
 from lotwise.schemas import TRANSFORMED_COLUMNS
@@ -103,3 +104,42 @@ def test_missing_required_columns_raise(spark):
     df = raw_rows(spark, ROWS)
     with pytest.raises(Exception, match="No Such Column"):
         require_columns(df, ["VIN", "No Such Column"]).count()
+
+
+def _tables(spark, n=60):
+    rows = [{"Title": f"20{10 + i % 12} {['Toyota', 'Aston Martin', 'Ford'][i % 3]} X{i}", "VIN": f"V{i}", "Fuel Type": ["Gas", "Electric", None][i % 3],
+             "Cash Price": [f"${i},{i:03d}.5{i % 10}", "N/A", f"${i * 700}"][i % 3], "Mileage": f"{i} miles", "Engine": "2.5L Gas", "Features": f"Bluetooth; F{i}"} for i in range(n)]
+    return vertical_split(transform_listings(raw_rows(spark, rows)))
+
+
+def test_serving_copy_joins_without_shuffle_and_pushes_filters(spark):
+    root = scratch_path(spark, "serving-" + uuid.uuid4().hex)
+    ST.write_serving(spark, _tables(spark), root, buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = search_serving(ST.read_serving(spark, root), SearchCriteria(year=2012, car_make="TO", price_min=0, price_max=90000, fuel_type="gas"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        full = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("SortMergeJoin") == 5 and plan.count("Exchange") == 1 and "Exchange rangepartitioning" in plan  # the final order only
+    for pushed in ("GreaterThanOrEqual(Price_Cents,0)", "LessThanOrEqual(Price_Cents,9000000)", "StringContains(Make_Lower,to)",
+                   "StringContains(Fuel_Lower,gas)", "EqualTo(Year_Of_Manufacture,2012)"):
+        assert pushed in full, pushed
+
+
+def test_serving_search_equals_the_plain_search_and_copies_swap_whole(spark):
+    root = scratch_path(spark, "serving-" + uuid.uuid4().hex)
+    t = _tables(spark)
+    ST.write_serving(spark, t, root, buckets=3)
+    wide = listing_wide(t)
+    for cr in (SearchCriteria(), SearchCriteria(price_min=14014.54), SearchCriteria(price_max=14014.541), SearchCriteria(price_min=14014.545, price_max=1e30),
+               SearchCriteria(car_make="o_a", raw_like=True), SearchCriteria(car_make="%"), SearchCriteria(car_make="ASTON m", fuel_type="ELEC", installment_support=False),
+               SearchCriteria(fuel_type="gas", engine="2.5l", features=["Bluetooth", "F1"], features_all=True)):
+        got = search_serving(ST.read_serving(spark, root), cr).collect()
+        assert got == search_listings(wide, cr).collect(), cr
+    before = ST.read_serving(spark, root)
+    ST.write_serving(spark, {n: df.where("VIN < 'V2'") for n, df in t.items()}, root, buckets=5)
+    assert before["car_info"].count() == 60  # an open reader keeps its copy
+    assert {n: df.count() for n, df in ST.read_serving(spark, root).items()} == {n: 12 for n in t}
