@@ -2,6 +2,8 @@
 joins and search (SURVEY 2.2, 2.3, 2.8, 2.12 transform)."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import functions as L
@@ -9,11 +11,13 @@ from ..operators import cleaning as C
 from ..operators.dedup import dedup_by_key
 from ..operators.search import SearchCriteria, ilike_contains, order_by_price, price_between, search_serving
 from ..operators.transform import transform_listings
+from ..operators.trigrams import search_indexed, write_indexed
 from ..operators.warehouse import anti_join_existing, listing_wide
 from ..schemas import TRANSFORMED_COLUMNS
+from ..session import scratch_path
 from . import oracle as O
 from ..streaming.events import encode_events
-from .catalog import FLAGSHIP, analysis, clean, listing, raw, register, serving, tables, wide
+from .catalog import FLAGSHIP, analysis, clean, listing, raw, register, serving, staged, tables, wide
 from .oracle import q, with_ctes
 
 
@@ -347,6 +351,24 @@ def _ilike_contains(s, d):
     return w.filter(ilike_contains("Car_Make", "AN") | ilike_contains("Features", "%"))
 
 
+def _indexed(s, d) -> str:
+    """The wide listings with a trigram index, written by the first user."""
+    def write():
+        root = scratch_path(s, f"indexed-{uuid.uuid4().hex}")
+        write_indexed(wide(s, d), root, ["Car_Full_Title", "Features"], "Car_Full_Title", 4 * int(s.conf.get("spark.sql.shuffle.partitions")))
+        return root
+    return staged(s, d, "indexed", write)
+
+
+@register("ilike_indexed", with_ctes(["wide"], "SELECT 'title' AS search, \"VIN\", \"Car_Full_Title\", \"Features\" FROM wide WHERE contains(lower(\"Car_Full_Title\"), '2018 mazda') "
+                                     "UNION ALL SELECT 'features', \"VIN\", \"Car_Full_Title\", \"Features\" FROM wide WHERE \"Features\" ILIKE '%heated_s%bluetooth%'"))
+def _ilike_indexed(s, d):
+    """Substring searches through the trigram index: only files that may hold the text are read."""
+    root, shown = _indexed(s, d), ["VIN", "Car_Full_Title", "Features"]
+    return search_indexed(s, root, "Car_Full_Title", "2018 Mazda").select(F.lit("title").alias("search"), *shown) \
+        .unionByName(search_indexed(s, root, "Features", "heated_s%bluetooth", raw_like=True).select(F.lit("features").alias("search"), *shown))
+
+
 @register("ilike_raw", _search_sql("\"Car_Make\" ILIKE '%m_z%'"))
 def _ilike_raw(s, d):
     return wide(s, d).filter(ilike_contains("Car_Make", "m_z", raw_like=True))

@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotwise.operators import storage as ST
+from lotwise.operators import trigrams as TG
 from lotwise.operators.cleaning import require_columns
 from lotwise.operators.dedup import dedup_by_key, dedup_report
-from lotwise.operators.search import SearchCriteria, search_listings, search_serving
+from lotwise.operators.search import SearchCriteria, ilike_contains, search_listings, search_serving
 from lotwise.operators.transform import transform_listings
 from lotwise.operators.warehouse import incremental_load, listing_wide, read_warehouse, vertical_split
 from lotwise.schemas import TRANSFORMED_COLUMNS
@@ -143,3 +144,25 @@ def test_serving_search_equals_the_plain_search_and_copies_swap_whole(spark):
     ST.write_serving(spark, {n: df.where("VIN < 'V2'") for n, df in t.items()}, root, buckets=5)
     assert before["car_info"].count() == 60  # an open reader keeps its copy
     assert {n: df.count() for n, df in ST.read_serving(spark, root).items()} == {n: 12 for n in t}
+
+
+def test_trigram_index_reads_few_files_and_finds_the_same_rows(spark):
+    rows = [(f"{1990 + i % 30} {m} Model {i}", f"Sunroof; Code{i}" if i % 4 else None) for i, m in enumerate(["Ärö", "BMW", "Cadillac", "Dodge", "Éxo", "Fiat"] * 200)]
+    rows += [(None, "x"), ("", ""), ("ab", "a_b%c")]
+    df = spark.createDataFrame([(i, t[5:] if t else t, f) for i, (t, f) in enumerate(rows)], "id int, title string, features string")
+    root = scratch_path(spark, "grams-" + uuid.uuid4().hex)
+    TG.write_indexed(df, root, ["title", "features"], "title", 24)
+    read = {}
+    for column, value, raw in [("title", "CADILLAC", False), ("title", "ärö", False), ("title", "Model 11", False), ("features", "code1001", False), ("features", "nothing like it", False),
+                               ("title", "bm", False), ("title", "", False), ("features", "_b%C", False), ("features", "sun%code77", True), ("title", "d_dge", True),
+                               ("features", "a\\_b", True), ("id", "100", False)]:
+        test = ilike_contains(F.col(column).cast("string"), value, raw)
+        want = sorted(r.id for r in df.where(test).collect())
+        if column != "id":
+            assert sorted(r.id for r in TG.search_indexed(spark, root, column, value, raw).collect()) == want, value
+        files, total = TG.candidate_files(spark, root, column, value, raw)
+        read[value] = len(files) / total
+    assert read["bm"] == read[""] == read["a\\_b"] == read["100"] == 1 and read["nothing like it"] == 0
+    assert read["CADILLAC"] < 0.4 and read["code1001"] < 0.3 and read["CADILLAC"] < read["bm"]
+    TG.write_indexed(df.limit(0), root, ["title"], "title", 2)
+    assert TG.search_indexed(spark, root, "title", "bmw").count() == 0
