@@ -33,21 +33,50 @@ def category_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def category_codes(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column, value, code): codes 0..m-1 of each column in ascending value
-    order; NULL, where it occurs, has the last code of its own. The counted
-    values are few rows, materialised once for all columns."""
-    order = Window.partitionBy("column").orderBy(F.col("value").asc_nulls_last())
-    return cut_lineage(category_counts(df, cols).withColumn("code", (F.row_number().over(order) - 1).cast("int")).select("column", "value", "code"))
+    order; NULL, where it occurs, has the last code of its own. Values are ranked in ranges
+    (running places plus the sizes of the ranges before), so no task holds a whole column's
+    values; one row a range and column makes the offsets."""
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    values = category_counts(df, cols).select("column", "value").withColumn("last", F.col("value").isNull())
+    tagged = cut_lineage(values.repartitionByRange(parts, "column", "last", "value").withColumn("pid", F.spark_partition_id()))
+    before = Window.partitionBy("column").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tagged.groupBy("column", "pid").agg(F.count("*").alias("here")) \
+        .select("column", "pid", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("pid", "column").orderBy("last", "value"))
+    return cut_lineage(tagged.join(F.broadcast(offsets), ["column", "pid"])  # columns x partitions rows
+                       .select("column", "value", (F.col("before") + place - 1).cast("int").alias("code")))
+
+
+#: Codes up to which a column's codes are broadcast; more are joined once for all columns.
+BROADCAST_CODES = 200_000
+#: Copies of a code that the rows with its value are dealt over.
+SALTS = 8
 
 
 def label_encode(df: DataFrame, cols: list[str], suffix: str = "", codes: DataFrame | None = None) -> DataFrame:
     """Replace each column by its code. ``codes`` (default: fitted on ``df``)
-    may come from another frame; a value it does not hold gets NULL."""
+    may come from another frame; a value it does not hold gets NULL.
+
+    Few codes (counted) are broadcast, column by column, in one pass over the rows. Otherwise the
+    rows' (column, value) pairs meet all codes in one join, salted so that a frequent value is no hot
+    task, and come together again by row."""
     codes = codes if codes is not None else category_codes(df, cols)
-    out = df
-    for c in cols:
-        idx = codes.where(F.col("column") == c).select(F.col("value").alias("__v"), F.col("code").alias("__code"))
-        out = out.join(idx, _c(c).cast("string").eqNullSafe(F.col("__v")), "left").withColumn(c + suffix, F.col("__code")).drop("__v", "__code")
-    return out
+    if codes.count() <= BROADCAST_CODES:
+        out = df
+        for c in cols:
+            idx = codes.where(F.col("column") == c).select(F.col("value").alias("__v"), F.col("code").alias("__code"))
+            out = out.join(F.broadcast(idx), _c(c).cast("string").eqNullSafe(F.col("__v")), "left").withColumn(c + suffix, F.col("__code")).drop("__v", "__code")
+        return out
+    rows = cut_lineage(df.withColumn("__row", F.monotonically_increasing_id()))
+    null, text = F.col("value").isNull().alias("null"), F.coalesce("value", F.lit("")).alias("value")
+    pairs = rows.select("__row", F.pmod(F.xxhash64("__row"), F.lit(SALTS)).cast("int").alias("salt"),
+                        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _c(c).cast("string").alias("value")) for c in cols])).alias("p")) \
+        .select("__row", "salt", "p.column", "p.value").select("__row", "salt", "column", null, text)
+    dealt = codes.select("column", null, text, "code", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    found = pairs.join(dealt.hint("merge"), ["column", "null", "value", "salt"]).groupBy("__row") \
+        .agg(*[F.max(F.when(F.col("column") == c, F.col("code"))).alias(f"__code{i}") for i, c in enumerate(cols)])
+    return rows.join(found, "__row", "left").withColumns({c + suffix: F.col(f"__code{i}") for i, c in enumerate(cols)}) \
+        .drop("__row", *[f"__code{i}" for i in range(len(cols))])
 
 
 def fill_median(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -6,23 +6,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
+from .clusters import Clusters, fit_clusters, nearest_centre
 from .encode import category_codes, label_encode, one_hot_offsets
 from .knn import knn_join
 from .quantiles import exact_quantiles, quantile_columns
 from .selltime import score_frame
+from .tall_qr import row_products, sparse_svd
 
 NUMERIC = ["Year of Manufacture", "Cash Price (USD)", "Mileage", "City MPG", "Highway MPG"]
 CATEGORICAL = ["Car Make", "Exterior", "Interior", "Fuel Type", "Transmission", "Drivetrain", "Engine",
                "Financing Support", "State"]
 TIME = "Listed Days"
 SVD_COMPONENTS, CLUSTERS, NEIGHBOURS, SEED = 15, 8, 20, 42
+#: Features up to which the products of all pairs of features are summed.
+SQUARED_FEATURES = 1000
 PREDICTION_FIELDS = ["cluster", "current_listing_days", "expected_days_to_sell", "total_expected_days",
                      "probability_sold_30days", "days_to_sell_25p", "days_to_sell_median", "days_to_sell_75p",
                      "similar_cars_count", "similar_cars_median_days", "cluster_median_days", "weibull_shape",
@@ -89,50 +91,59 @@ def _times(dense: np.ndarray, hot: np.ndarray, v: np.ndarray) -> np.ndarray:
     return out
 
 
-def truncated_svd(encoded: DataFrame, enc: Encoding, k: int = SVD_COMPONENTS, rounds: int = 8, extra: int = 10) -> np.ndarray:
-    """The top-k right singular vectors (no centring) of the features of
-    ``encode``'s rows, as a (features, k) matrix, by subspace iteration.
+def _entries(encoded: DataFrame, enc: Encoding) -> DataFrame:
+    """(row, feature, x) of the sparse feature matrix; ``encoded`` carries __row."""
+    dense = F.concat(F.col("z"), F.array("z_time"))
+    base = len(NUMERIC) + 1
+    numbers = F.transform(dense, lambda x, i: F.struct(i.cast("bigint").alias("feature"), x.alias("x")))
+    offsets = F.array(*[F.lit(enc.offsets[c] + base) for c in CATEGORICAL])
+    hot = F.filter(F.transform("codes", lambda c, i: F.struct(F.when(c >= 0, (c + offsets[i]).cast("bigint")).alias("feature"), F.lit(1.0).alias("x"))),
+                   lambda e: e["feature"].isNotNull())
+    return encoded.select(F.col("__row").alias("row"), F.explode(F.concat(numbers, hot)).alias("e")).select("row", "e.feature", "e.x")
 
-    Each round is one pass: tasks multiply their sparse rows and add up what each
-    feature gets, Spark adds the tasks' rows by feature. Only features x (k +
-    extra) numbers meet on the driver, never features squared. Signs: the
-    largest entry of a vector is positive."""
+
+def truncated_svd(encoded: DataFrame, enc: Encoding, k: int = SVD_COMPONENTS) -> np.ndarray | DataFrame:
+    """The top-k right singular vectors (no centring) of the features of ``encode``'s rows.
+
+    Up to SQUARED_FEATURES features one pass adds up the products of all pairs of features, and their
+    eigenvectors come back as a (features, k) matrix. With more features the vectors are a
+    table (feature, v) that no task or driver holds whole (``tall_qr``). Signs: the largest
+    entry of a vector is positive."""
     d = len(NUMERIC) + 1 + enc.width
-    m = min(d, k + extra)
+    if d > SQUARED_FEATURES:
+        rows = cut_lineage(encoded.withColumn("__row", F.monotonically_increasing_id()))
+        return sparse_svd(_entries(rows, enc), k)[0]
     offsets = np.array([enc.offsets[c] for c in CATEGORICAL])
-    q, _ = np.linalg.qr(np.random.default_rng(SEED).normal(size=(d, m)))
-
-    def gram_times(v: np.ndarray) -> np.ndarray:
-        shared = encoded.sparkSession.sparkContext.broadcast(v)
-
-        def run(batches):
-            total = np.zeros((d, m))
-            for b in batches:
-                dense, hot = _dense_and_hot(b, offsets)
-                y = _times(dense, hot, shared.value)
-                total[:dense.shape[1]] += dense.T @ y
-                for j in range(hot.shape[1]):
-                    has = hot[:, j] >= 0
-                    np.add.at(total, hot[has, j], y[has])
-            own = np.flatnonzero(np.abs(total).sum(axis=1))
-            yield pa.RecordBatch.from_pydict({"feature": pa.array(own.astype(np.int32)), "part": pa.array(list(total[own]), pa.list_(pa.float64()))})
-
-        rows = encoded.mapInArrow(run, "feature int, part array<double>").groupBy("feature").agg(*[F.sum(F.col("part")[i]).alias(f"p{i}") for i in range(m)]).collect()
-        out = np.zeros((d, m))
-        for r in rows:
-            out[r[0]] = r[1:]
-        return out
-
-    for _ in range(rounds):
-        q, _ = np.linalg.qr(gram_times(q))
-    small = q.T @ gram_times(q)
-    values, vectors = np.linalg.eigh((small + small.T) / 2)
-    v = q @ vectors[:, np.argsort(values)[::-1][:k]]
+
+    def run(batches):
+        total = np.zeros(d * d)
+        for b in batches:
+            dense, hot = _dense_and_hot(b, offsets)
+            n = dense.shape[1]
+            at = np.c_[np.tile(np.arange(n), (len(dense), 1)), hot]
+            x = np.c_[dense, np.ones(hot.shape)]
+            for j in range(at.shape[1]):
+                ok = (at >= 0) & (at[:, j] >= 0)[:, None]
+                total += np.bincount((at[:, j, None] * d + at)[ok], (x[:, j, None] * x)[ok], d * d)
+        own = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"pair": pa.array(own.astype(np.int32)), "part": pa.array(total[own])})
+
+    gram = np.zeros(d * d)
+    for r in encoded.mapInArrow(run, "pair int, part double").groupBy("pair").agg(F.sum("part")).collect():  # SQUARED_FEATURES squared at most
+        gram[r[0]] = r[1]
+    gram = gram.reshape(d, d)
+    v = np.linalg.eigh((gram + gram.T) / 2)[1][:, ::-1][:, :k]
     return v * np.sign(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])])
 
 
-def project(encoded: DataFrame, enc: Encoding, v: np.ndarray, out: str = "svd") -> DataFrame:
+def project(encoded: DataFrame, enc: Encoding, v: np.ndarray | DataFrame, out: str = "svd") -> DataFrame:
     """``encoded`` plus the features times ``v`` (array<double>)."""
+    if isinstance(v, DataFrame):  # one vector a feature: joined on the features of the rows
+        rows = cut_lineage(encoded.withColumn("__row", F.monotonically_increasing_id()))
+        first = v.first()
+        if first is None:
+            return encoded.withColumn(out, F.array().cast("array<double>"))
+        return rows.join(row_products(_entries(rows, enc), v, len(first.v)).withColumnsRenamed({"row": "__row", "v": out}), "__row").drop("__row")
     offsets = np.array([enc.offsets[c] for c in CATEGORICAL])
     shared = encoded.sparkSession.sparkContext.broadcast(v)
 
@@ -144,21 +155,22 @@ def project(encoded: DataFrame, enc: Encoding, v: np.ndarray, out: str = "svd")
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType()))]))
 
 
-def kmeans_fit(df: DataFrame, col: str = "svd", k: int = CLUSTERS, seed: int = SEED) -> KMeansModel:
-    return KMeans(k=k, seed=seed, featuresCol="__f", predictionCol="cluster").fit(df.select(array_to_vector(F.col(col)).alias("__f")))
+def kmeans_fit(df: DataFrame, col: str = "svd", k: int = CLUSTERS, seed: int = SEED, like: Clusters | None = None) -> Clusters:
+    """Centres that do not depend on the order of the rows; a refit keeps the labels of the centres ``like``."""
+    return fit_clusters(df, k, seed, col, "VIN", like=like)
 
 
-def kmeans_cluster(df: DataFrame, model: KMeansModel, col: str = "svd") -> DataFrame:
+def kmeans_cluster(df: DataFrame, model: Clusters, col: str = "svd") -> DataFrame:
     """``df`` plus the nearest centre of the fitted k-means."""
-    return model.transform(df.withColumn("__f", array_to_vector(F.col(col)))).drop("__f").withColumn("cluster", F.col("cluster").cast("int"))
+    return nearest_centre(df, model, col)
 
 
 @dataclass
 class ListingModel:
     """Everything that scoring takes from the catalogue."""
     encoding: Encoding
-    components: np.ndarray
-    kmeans: KMeansModel
+    components: np.ndarray | DataFrame
+    kmeans: Clusters
     catalogue: DataFrame  # encoded rows with their cluster
     stats: DataFrame      # per cluster
 

@@ -1,10 +1,14 @@
 """Keys for the model block."""
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..operators import encode as E
 from ..operators import model as M
+from ..operators.clusters import Clusters
 from ..operators.knn import knn_join
 from ..operators.selltime import remaining_quantile, score_frame, sell_probability
 from ..session import cut_lineage
@@ -290,3 +294,44 @@ def _score_given(s, d):
 @register("weibull_fit", _with_neighbours(["analysis"], 'SELECT "VIN", weibull_shape, weibull_scale FROM scores'))
 def _weibull_fit(s, d):
     return _given_scores(s, d).select("VIN", "weibull_shape", "weibull_scale")
+
+
+# Projection onto given vectors and nearest given centres, so that SQL can follow (``fit_model`` runs
+# them on the fitted ones): vector j has cos((f + 1) (j + 1)) at feature f, centre i 3 cos(i (j + 2)) at j.
+_GIVEN_DIMS, _GIVEN_CENTRES = 3, 8
+_TIMED_SQL = 'SELECT *, coalesce((days - avg(days) OVER ()) / nullif(stddev_pop(days) OVER (), 0), 0) AS z_time FROM features'
+_WIDTHS_SQL = "SELECT " + ", ".join(f"max(c{i}) AS w{i}" for i in range(len(M.CATEGORICAL))) + " FROM features"
+
+
+def _projected_sql(j: int) -> str:
+    numbers = [f"z{i} * cos({(i + 1) * (j + 1)})" for i in range(len(M.NUMERIC))] + [f"z_time * cos({(len(M.NUMERIC) + 1) * (j + 1)})"]
+    first = len(M.NUMERIC) + 1
+    hot = [f"cos(({first} + c{i}{''.join(f' + w{b}' for b in range(i))}) * {j + 1})" for i in range(len(M.CATEGORICAL))]
+    return " + ".join(numbers + hot) + f" AS p{j}"
+
+
+_PROJECTED = [*_NEIGHBOURS[:3], ("timed", _TIMED_SQL), ("widths", _WIDTHS_SQL),
+              ("projected", 'SELECT "VIN", ' + ", ".join(_projected_sql(j) for j in range(_GIVEN_DIMS)) + " FROM timed, widths")]
+
+
+def _projected(s, d):
+    base = cut_lineage(analysis(s, d).filter(F.col("VIN").isNotNull()).select("VIN", *[F.col(f"`{c}`") for c in M.NUMERIC + M.CATEGORICAL + [M.TIME]]))
+    enc = M.fit_encoding(base)
+    f = np.arange(len(M.NUMERIC) + 1 + enc.width)
+    vectors = np.cos((f[:, None] + 1) * (np.arange(_GIVEN_DIMS) + 1))
+    return M.project(cut_lineage(M.encode(base, enc)), enc, vectors)
+
+
+@register("svd_projection", with_ctes(["analysis"], "SELECT * FROM projected", _PROJECTED))
+def _svd_projection(s, d):
+    return _projected(s, d).select("VIN", *[F.col("svd")[j].alias(f"p{j}") for j in range(_GIVEN_DIMS)])
+
+
+_CENTRES = [[3 * math.cos(i * (j + 2)) for j in range(_GIVEN_DIMS)] for i in range(_GIVEN_CENTRES)]
+
+
+@register("kmeans_nearest", with_ctes(["analysis"], 'SELECT "VIN", CAST(list_position(ds, list_min(ds)) - 1 AS INTEGER) AS cluster FROM (SELECT "VIN", ['
+          + ", ".join(" + ".join(f"(p{j} - 3 * cos({i * (j + 2)})) * (p{j} - 3 * cos({i * (j + 2)}))" for j in range(_GIVEN_DIMS)) for i in range(_GIVEN_CENTRES))
+          + "] AS ds FROM projected)", _PROJECTED))
+def _kmeans_nearest(s, d):
+    return M.kmeans_cluster(_projected(s, d), Clusters(np.array(_CENTRES))).select("VIN", "cluster")

@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 
@@ -5,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lotwise.operators import clusters as CL
 from lotwise.operators import encode as E
 from lotwise.operators import knn
 from lotwise.operators import model as M
@@ -148,6 +150,46 @@ def test_svd_equals_dense_and_clusters_are_nearest(spark, fitted):
         assert r["count"] == len(days[r.cluster]) and r["median"] == np.median(days[r.cluster])
 
 
+def test_many_categories_take_the_other_way_with_equal_results(spark, fitted, monkeypatch):
+    df, model = fitted
+    monkeypatch.setattr(E, "BROADCAST_CODES", 0)
+    codes = E.category_codes(df, M.CATEGORICAL)
+    assert sorted(map(str, codes.collect())) == sorted(map(str, model.encoding.codes.collect()))
+    other = M.encode(df, model.encoding)
+    assert sorted(map(str, other.collect())) == sorted(map(str, model.catalogue.select(other.columns).collect()))
+    monkeypatch.setattr(M, "SQUARED_FEATURES", 5)
+    v = M.truncated_svd(other, model.encoding)
+    table = np.zeros(model.components.shape)
+    for r in v.collect():
+        table[r.feature] = r.v
+    assert np.allclose(np.abs((table * model.components).sum(axis=0))[:10], 1, atol=1e-6)
+    placed = {r.VIN: r.svd for r in M.project(other, model.encoding, v).collect()}
+    assert all(np.allclose(placed[r.VIN][:10], r.svd[:10], atol=1e-5) for r in model.catalogue.collect())
+
+
+def test_refits_give_equal_labels_whatever_the_order_of_the_rows(spark, fitted):
+    _, model = fitted
+    want = {r.VIN: r.cluster for r in model.catalogue.collect()}
+    placed = model.catalogue.drop("cluster")
+    again = M.kmeans_fit(placed.orderBy(F.desc("VIN")).repartition(7))
+    assert {r.VIN: r.cluster for r in M.kmeans_cluster(placed, again).collect()} == want
+    mixed = CL.Clusters(model.kmeans.centres[::-1] + 0.01)
+    like = M.kmeans_fit(placed, like=mixed)  # a refit takes the labels of the centres it matches
+    assert {r.VIN: 7 - r.cluster for r in M.kmeans_cluster(placed, like).collect()} == want
+    none = CL.fit_clusters(placed.limit(0), 3, 1, "svd", "VIN")
+    assert M.kmeans_cluster(placed, none).where("cluster IS NOT NULL").count() == 0
+
+
+def test_best_matching_equals_all_permutations():
+    rnd = np.random.default_rng(4)
+    for n in (1, 2, 4, 6):
+        for _ in range(5):
+            cost = np.round(rnd.random((n, n)), 1)
+            got = CL.best_matching(cost)
+            assert sorted(got) == list(range(n))
+            assert math.isclose(cost[np.arange(n), got].sum(), min(cost[np.arange(n), list(p)].sum() for p in itertools.permutations(range(n))))
+
+
 def test_new_listings_use_the_fitted_state(spark, fitted):
     df, model = fitted
     new = listings(spark, 30, seed=2, makes=("Bb", "Zz"))
