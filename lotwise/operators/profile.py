@@ -89,16 +89,22 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return t.select(F.get(name, F.col("i").cast("int")).alias("col_a"), F.get(name, F.col("j").cast("int")).alias("col_b"), corr.alias("corr"))
 
 
+#: Groups up to which their fences are broadcast.
+BROADCAST_GROUPS = 100_000
+
+
 def boxplot_summary(df: DataFrame, group: str, value: str) -> DataFrame:
     """Per group: q1, median, q3, whiskers (furthest data within 1.5 IQR of the
     box) and the outlier count. Quartiles first, then one pass over the rows
-    joined to their group's fences."""
+    joined to their group's fences: by broadcast where the groups are few (counted), so a
+    frequent group is no hot task; otherwise groups are small."""
     v = _c(value).cast("double")
     base = cut_lineage(df.filter(_c(group).isNotNull() & v.isNotNull()).select(_c(group).alias("grp"), v.alias("v")))
     q = quantile_columns(exact_quantiles(base, ["v"], [0.25, 0.5, 0.75], "grp"), {("v", 0.25): "q1", ("v", 0.5): "median", ("v", 0.75): "q3"}, "grp")
     q = q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    j = base.join(q, "grp")
+    q = cut_lineage(q)
+    j = base.join(F.broadcast(q) if q.count() <= BROADCAST_GROUPS else q, "grp")
     inside = (F.col("v") >= F.col("lo_fence")) & (F.col("v") <= F.col("hi_fence"))
     return j.groupBy("grp", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("v"))).alias("whisker_low"),

@@ -11,8 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.warehouse import incremental_load, run_audit_row
-from ..schemas import LISTING_FIELDS, OVERVIEW_FIELDS
+from ..operators.warehouse import incremental_load, read_table, run_audit_row
+from ..schemas import LISTING_FIELDS, OVERVIEW_FIELDS, WAREHOUSE_TABLES
 from ..session import scratch_path
 from ..sources import files, jdbc, jsonio, kvtext, lake, web
 from . import oracle as O
@@ -70,24 +70,29 @@ SELECT r."VIN", r.page, r.idx, m.crawl_time, m.crawl_time IS NOT NULL AS has_met
 FROM raw_listing r LEFT JOIN (SELECT DISTINCT page, idx, {SIDECAR_TIME} AS crawl_time FROM raw_listing
                               WHERE idx <= 6) m ON r.page = m.page AND r.idx = m.idx"""))
 def _attach_sidecar(s, d):
-    """Sidecars exist for line numbers 1-6 only; they join on (page, index)."""
+    """Sidecars exist for line numbers 1-6 only and belong to a record by its path."""
+    root = "/crawl"
     r = raw(s, d)
     out = _scratch(s, "sidecar")
     side = (r.filter(F.col("idx") <= 6).select("page", "idx").distinct()
              .select(F.concat(F.lit("2024-01-"), F.lpad(F.col("idx").cast("string"), 2, "0"), F.lit(" 08:00:00"))
                      .alias("crawl_time"), F.col("page"), F.col("idx").alias("index")))
     side.write.json(out)
-    meta = s.read.schema("crawl_time string, page int, index int").json(out)
-    j = r.join(meta, (r.page == meta.page) & (r.idx == meta.index), "left")
-    return j.select(r.VIN, r.page, r.idx, meta.crawl_time, meta.crawl_time.isNotNull().alias("has_meta"))
+    records = r.withColumn("source_path", F.concat_ws("/", F.lit(root), "page", F.concat(F.col("idx").cast("string"), F.lit(".txt"))))
+    j = kvtext.attach_sidecar(records, kvtext.read_sidecars(s, out, bulk_root=root))
+    return j.select("VIN", "page", "idx", "metadata.crawl_time", F.col("metadata").isNotNull().alias("has_meta"))
 
 
-@register("write_json_by_page", with_ctes(["raw_listing"], "SELECT page, count(*) AS n FROM raw_listing GROUP BY page"))
+_RAW_SQL = "SELECT " + ", ".join(q(c) for c in LISTING_FIELDS) + ", page, idx FROM raw_listing"
+_RAW_COLUMNS = [*LISTING_FIELDS, "page", "idx"]
+
+
+@register("write_json_by_page", with_ctes(["raw_listing"], _RAW_SQL))
 def _write_json_by_page(s, d):
     out = _scratch(s, "bypage")
     kvtext.write_json_by_page(raw(s, d), out)
     back = s.read.schema(", ".join(f"`{c}` string" for c in LISTING_FIELDS) + ", idx int, page int").json(out)
-    return back.groupBy("page").agg(F.count(F.lit(1)).alias("n"))
+    return back.select(*_RAW_COLUMNS)
 
 
 @register("conversion_summary", with_ctes(["raw_listing"], "SELECT count(*) AS converted_files_count, true AS timed FROM raw_listing"))
@@ -108,14 +113,31 @@ def _stamp(s, d):
                      "datalake_metadata.processing_pipeline", "datalake_metadata.storage_system")
 
 
-@register("write_lake", with_ctes(["raw_listing"], "SELECT page, count(*) AS n, true AS dated FROM raw_listing "
-                                  "GROUP BY page"))
+@register("write_lake", with_ctes(["raw_listing"], _RAW_SQL.replace(" FROM", ", true AS dated, 'hdfs' AS storage_system FROM")))
 def _write_lake(s, d):
     base = _scratch(s, "lake")
     lake.write_lake(lake.stamp_lake_metadata(raw(s, d)), base, fmt="parquet")
     back = lake.read_lake(s, base, fmt="parquet")
-    return back.groupBy("page").agg(F.count(F.lit(1)).alias("n"),
-                                    F.bool_and(F.col("load_date").isNotNull()).alias("dated"))
+    return back.select(*_RAW_COLUMNS, F.col("load_date").isNotNull().alias("dated"), "datalake_metadata.storage_system")
+
+
+_BROKEN = "idx % 5 = 0"
+
+
+@register("load_json_lines", with_ctes(["raw_listing"], f"""SELECT CASE WHEN {_BROKEN} THEN 'rejected' ELSE 'loaded' END AS status, page, idx,
+  CASE WHEN NOT ({_BROKEN}) THEN "VIN" END AS "VIN", CASE WHEN NOT ({_BROKEN}) THEN "Title" END AS "Title" FROM raw_listing"""))
+def _load_json_lines(s, d):
+    """JSON lines, every fifth listing of a page cut off: the good ones reach the lake, the others the log."""
+    source, base = _scratch(s, "lines"), _scratch(s, "lake_lines")
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in _RAW_COLUMNS]))
+    cut = F.concat(F.lit('{"page": '), F.col("page").cast("string"), F.lit(', "idx": '), F.col("idx").cast("string"), F.lit(', "Title": "half'))
+    raw(s, d).select(F.when(F.expr(_BROKEN), cut).otherwise(whole).alias("value")).write.text(source)
+    schema = ", ".join(f"`{c}` string" for c in LISTING_FIELDS) + ", page int, idx int"
+    bad = lake.load_json_lines(s, source, base, schema, fmt="parquet")
+    rejected = bad.select(F.lit("rejected").alias("status"), F.get_json_object(F.concat("record", F.lit('"}')), "$.page").cast("int").alias("page"),
+                          F.get_json_object(F.concat("record", F.lit('"}')), "$.idx").cast("int").alias("idx"),
+                          F.lit(None).cast("string").alias("VIN"), F.lit(None).cast("string").alias("Title"))
+    return lake.read_lake(s, base, fmt="parquet").select(F.lit("loaded").alias("status"), "page", "idx", "VIN", "Title").unionByName(rejected)
 
 
 @register("load_manifest", with_ctes(["raw_listing"], "SELECT page, count(*) AS rows, true AS has_files, true AS counted FROM raw_listing GROUP BY page"))
@@ -128,23 +150,20 @@ def _load_manifest(s, d):
                                  (F.max("loaded_files_count") >= F.count(F.lit(1))).alias("counted"))
 
 
-@register("write_with_fallback", with_ctes(["raw_listing"], "SELECT 'local_fallback' AS storage_type, "
-                                           "count(*) AS rows FROM raw_listing"))
+@register("write_with_fallback", with_ctes(["raw_listing"], _RAW_SQL.replace(" FROM", ", 'local_fallback' AS storage_type FROM")))
 def _write_with_fallback(s, d):
     root = _scratch(s, "fallback")
     primary = "unreachable-lake://namenode/listings"  # primary storage down: no file system answers
     status = lake.write_with_fallback(lake.stamp_lake_metadata(raw(s, d)), primary, f"{root}/fallback",
                                       writer=lambda df, p: lake.write_lake(df, p, fmt="parquet"))
     target = status.first()["target"]
-    back = s.read.parquet(target)
-    return back.groupBy(F.col("datalake_metadata.storage_system").alias("storage_type")).agg(
-        F.count(F.lit(1)).alias("rows"))
+    return s.read.parquet(target).select(*_RAW_COLUMNS, F.col("datalake_metadata.storage_system").alias("storage_type"))
 
 
-@register("archive_snapshot", with_ctes(["raw_listing"], "SELECT count(*) AS rows FROM raw_listing"))
+@register("archive_snapshot", with_ctes(["raw_listing"], _RAW_SQL))
 def _archive(s, d):
     target = lake.archive_snapshot(raw(s, d), _scratch(s, "archive"), fmt="parquet")
-    return s.read.parquet(target).agg(F.count(F.lit(1)).alias("rows"))
+    return s.read.parquet(target).select(*_RAW_COLUMNS)
 
 
 # ---------------------------------------------------------------------------
@@ -158,14 +177,14 @@ def _read_listing_json(s, d):
     return jsonio.read_listing_json(s, out, multiline=False).select(*LISTING_FIELDS)
 
 
-@register("first_nonempty_source", with_ctes(["raw_listing"], "SELECT count(*) AS rows FROM raw_listing"))
+@register("first_nonempty_source", with_ctes(["raw_listing"], "SELECT 'full' AS chosen, " + ", ".join(q(c) for c in LISTING_FIELDS) + " FROM raw_listing"))
 def _first_nonempty(s, d):
     root = _scratch(s, "candidates")
     s.createDataFrame([], "Title string").write.json(f"{root}/empty")
     raw(s, d).select(*LISTING_FIELDS).write.json(f"{root}/full")
     chosen = jsonio.first_nonempty_source(s, [f"{root}/missing", f"{root}/empty", f"{root}/full"],
                                           lambda sp, p: jsonio.read_listing_json(sp, p, multiline=False))
-    return jsonio.read_listing_json(s, chosen, multiline=False).agg(F.count(F.lit(1)).alias("rows"))
+    return jsonio.read_listing_json(s, chosen, multiline=False).select(F.lit(chosen.rsplit("/", 1)[1]).alias("chosen"), *LISTING_FIELDS)
 
 
 CLEAN_FIELDS = [
@@ -190,7 +209,12 @@ def _write_csv(s, d):
     return files.read_csv(s, out, CLEAN_SCHEMA)
 
 
-register("read_csv", _CSV_SQL)(_write_csv)
+@register("read_csv", with_ctes(["raw_listing"], "SELECT " + ", ".join(f"nullif({q(c)}, '') AS {q(c)}" for c in LISTING_FIELDS) + ", page FROM raw_listing"))
+def _read_csv(s, d):
+    """Raw listings as any CSV writer leaves them, read back with a schema."""
+    out = _scratch(s, "csv_raw")
+    raw(s, d).select(*LISTING_FIELDS, "page").write.option("header", "true").option("escape", '"').option("ignoreTrailingWhiteSpace", "false").option("ignoreLeadingWhiteSpace", "false").csv(out)
+    return files.read_csv(s, out, ", ".join(f"`{c}` string" for c in LISTING_FIELDS) + ", page int")
 
 
 # ---------------------------------------------------------------------------
@@ -222,8 +246,7 @@ def _read_jdbc_subquery(s, d):
     url, props = _derby(s, "jdbc_read")
     jdbc.append_jdbc(_car_info(s, d), url, "Car_Info", props)
     missing = jdbc.read_jdbc_subquery(s, url, 'SELECT "VIN" FROM "No_Such_Table"', props, "VIN string")
-    vin = 'CAST("VIN" AS VARCHAR(64))'
-    parts = [f"{vin} < '5'", f"{vin} >= '5' AND {vin} < 'A'", f"{vin} >= 'A'"]  # one task each
+    parts = jdbc.key_ranges(s, url, "Car_Info", "VIN", props, int(s.conf.get("spark.sql.shuffle.partitions")))  # one task each
     keys = jdbc.read_jdbc_subquery(s, url, 'SELECT "VIN" FROM "Car_Info"', props, "VIN string", parts)
     return keys.unionByName(missing)
 
@@ -255,6 +278,24 @@ def _copy_tables(s, d):
                                            F.lit("error: AnalysisException")).otherwise(F.col("status")))
 
 
+@register("copy_tables_by_key", with_ctes(_COPIED, " UNION ALL ".join(
+    f"SELECT '{jdbc.TABLE_NAMES[t]}' AS \"table\", \"VIN\", concat_ws('|', {', '.join(f'CAST({q(c)} AS VARCHAR)' for c, _ in WAREHOUSE_TABLES[t])}) AS content FROM {t}" for t in _COPIED)))
+def _copy_tables_by_key(s, d):
+    """All rows of all tables after a copy that stopped half-way (a third of each table is there) was run again."""
+    (src_url, props), (dst_url, _) = _derby(s, "copy_src"), _derby(s, "copy_dst")
+    t, out = read_warehouse_from_listing(s, d), None
+    for name in _COPIED:
+        table = jdbc.TABLE_NAMES[name]
+        jdbc.append_jdbc(t[name], src_url, table, props)
+        jdbc.append_jdbc(t[name].where(F.pmod(F.crc32("VIN"), F.lit(3)) == 0), dst_url, table, props)
+        for _ in range(2):  # the second run finds nothing to do
+            jdbc.copy_table_by_key(s, (src_url, props), (dst_url, props), table, "VIN", int(s.conf.get("spark.sql.shuffle.partitions")))
+        rows = s.read.jdbc(dst_url, jdbc.quote(table), predicates=jdbc.key_ranges(s, dst_url, table, "VIN", props, 4), properties=props)
+        part = rows.select(F.lit(table).alias("table"), "VIN", F.concat_ws("|", *[F.col(f"`{c}`").cast("string") for c, _ in WAREHOUSE_TABLES[name]]).alias("content"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ---------------------------------------------------------------------------
 # web pages
 # ---------------------------------------------------------------------------
@@ -267,6 +308,21 @@ def _listing_links(s, d):
     return web.listing_links(s.read.parquet(f"{d}/pages.parquet"), attr=None, cap=30)
 
 
+_PLANTED = ("<a href=\"/([a-m])", "<a data-test=\"cardLinkCover\" href=\"/{}1")
+
+
+@register("listing_links_attr", f"""
+SELECT page_id, i - 1 AS pos, regexp_extract(anchors[i], 'href="([^"]*)"', 1) AS href
+FROM (SELECT page_id, list_filter(regexp_extract_all(regexp_replace(html, '{_PLANTED[0]}', '{_PLANTED[1].format(chr(92))}', 'g'), '(<a\\s[^>]*>)', 1),
+             lambda a: contains(a, '{web.LINK_ATTR}')) AS anchors FROM pages) p,
+     LATERAL (SELECT unnest(generate_series(1, len(anchors))) AS i)
+WHERE i - 1 < 30""")
+def _listing_links_attr(s, d):
+    """Only anchors with the listing attribute count; here links to a-m carry it."""
+    pages = s.read.parquet(f"{d}/pages.parquet").withColumn("html", F.regexp_replace("html", _PLANTED[0], _PLANTED[1].format("$")))
+    return web.listing_links(pages)
+
+
 def _html_text_sql(c):
     t = f"regexp_replace({c}, '<[^>]+>', '', 'g')"
     for ent, ch in web.ENTITIES:
@@ -357,17 +413,26 @@ def _incremental_load(s, d):
             .unionByName(second.select(F.lit(2).alias("run"), "*")))
 
 
-@register("run_audit")
+_LOG_SQL = "SELECT CAST({id} AS BIGINT) AS id, CAST(count(*) AS INTEGER) AS num_records_processed, 'SUCCESS' AS status, 'tester' AS executed_by, '{kind}' AS kind, true AS dated FROM car_info"
+
+
+def _log(s, root):
+    log = s.read.parquet(f"{root}/etl_log")
+    return log.withColumn("dated", F.col("execution_date").isNotNull()).drop("execution_date")
+
+
+@register("run_audit", with_ctes(["car_info"], _LOG_SQL.format(id=7, kind="load")))
 def _run_audit(s, d):
     root = _scratch(s, "audit")
     incremental_load(s, listing(s, d), root, run_id=7, user="tester")
-    return s.read.parquet(f"{root}/etl_log")
+    return _log(s, root)
 
 
-@register("run_marker")
+@register("run_marker", with_ctes(["car_info"], _LOG_SQL.format(id=9, kind="marker")))
 def _run_marker(s, d):
+    """A marker row for what a loaded warehouse holds."""
     root = _scratch(s, "marker")
-    n = read_warehouse_from_listing(s, d)["car_info"].count()
+    incremental_load(s, listing(s, d), f"{root}/warehouse", run_id=9, user="tester")
+    n = read_table(s, f"{root}/warehouse", "car_info").count()
     run_audit_row(s, 9, n, "SUCCESS", "tester", kind="marker").write.mode("append").parquet(f"{root}/etl_log")
-    return s.read.parquet(f"{root}/etl_log")
-
+    return _log(s, root)

@@ -187,12 +187,6 @@ def _sell_fallback(s, d):
                                         "similar_cars_median_days", F.col("weibull_shape").isNull().alias("unfitted"))
 
 
-@register("expected_days", with_ctes(["analysis"], 'SELECT "VIN", 0.7 * f + 0.3 * t AS expected_days_to_sell, t + 0.7 * f + 0.3 * t AS total_expected_days FROM few',
-                                     [("given", _GIVEN_SQL), ("few", _FEW_SQL)]))
-def _expected_days(s, d):
-    return _few_neighbours(s, d).select("VIN", "expected_days_to_sell", "total_expected_days")
-
-
 # Statistics and joins over given clusters and predictions, so that SQL can follow
 # (``fit_model`` and ``score_all`` run them on the fitted ones).
 _LABELLED_SQL = ('SELECT a."VIN", CAST(a."Mileage" % 8 AS INTEGER) AS cluster, a."Listed Days", g.l AS expected_days_to_sell, g.k AS probability_sold_30days, '
@@ -253,7 +247,7 @@ def _score_new(s, d):
 # ``score_all`` does after clustering, with the Weibull shape found by bisection in SQL.
 _CURVE = "list_sum(list_transform(ys, lambda y: pow(y, {k}) * ln(y))) / list_sum(list_transform(ys, lambda y: pow(y, {k}))) - 1 / {k} - list_avg(list_transform(ys, lambda y: ln(y)))"
 _MIDDLE = "((lo + hi) / 2)"
-_SCORED_CTES = [*_NEIGHBOURS, ("given", _GIVEN_SQL), ("labelled", _LABELLED_SQL), ("stats", _STATS_SQL),
+_SCORED_CTES = [*_NEIGHBOURS, ("given", _GIVEN_SQL), ("few", _FEW_SQL), ("labelled", _LABELLED_SQL), ("stats", _STATS_SQL),
     ("sample", """SELECT n."VIN", l.cluster, f.days AS t, list_transform(best, lambda b: b.days) AS near, s.median AS cm,
        list_filter(list_transform(best, lambda b: b.days) || [s.median, s.mean], lambda x: x > 0) AS xs
      FROM nearest n JOIN features f USING ("VIN") JOIN labelled l USING ("VIN") JOIN stats s ON s.cluster IS NOT DISTINCT FROM l.cluster"""),
@@ -335,3 +329,13 @@ _CENTRES = [[3 * math.cos(i * (j + 2)) for j in range(_GIVEN_DIMS)] for i in ran
           + "] AS ds FROM projected)", _PROJECTED))
 def _kmeans_nearest(s, d):
     return M.kmeans_cluster(_projected(s, d), Clusters(np.array(_CENTRES))).select("VIN", "cluster")
+
+
+@register("expected_days", _with_neighbours(["analysis"], """SELECT 'fitted' AS branch, "VIN", 0.7 * days_to_sell_median + 0.3 * similar_cars_median_days AS expected_days_to_sell,
+  current_listing_days + 0.7 * days_to_sell_median + 0.3 * similar_cars_median_days AS total_expected_days FROM scores
+  UNION ALL SELECT 'few', "VIN", 0.7 * f + 0.3 * t, t + 0.7 * f + 0.3 * t FROM few"""))
+def _expected_days(s, d):
+    """Fitted listings, and every listing as if it had too few neighbours to fit."""
+    few = _few_neighbours(s, d)
+    return _given_scores(s, d).select(F.lit("fitted").alias("branch"), "VIN", "expected_days_to_sell", "total_expected_days") \
+        .unionByName(few.select(F.lit("few").alias("branch"), "VIN", "expected_days_to_sell", "total_expected_days"))

@@ -99,27 +99,34 @@ def _ingest_listings_stream(s, d):
     return vertical_split(transform_listings(read_survivors(s, state)))["car_info"].select("VIN", "Car_Make", "Car_Price_USD")
 
 
-@register("supervise_streams")
+_FAILS = 3
+
+
+@register("supervise_streams", f"""SELECT listener, event, CAST(attempt AS INTEGER) AS attempt, wait_seconds, (SELECT count(*) FROM events) AS handled FROM (
+  SELECT 'etl_listener' AS listener, 'failed' AS event, unnest(range(1, {_FAILS + 1})) AS attempt, 0.05::DOUBLE * pow(2, unnest(range(0, {_FAILS}))) AS wait_seconds
+  UNION ALL SELECT 'etl_listener', 'ended', {_FAILS + 1}, NULL UNION ALL SELECT 'refresh_listener', 'ended', 1, NULL)""")
 def _supervise(s, d):
-    """Two listeners; the first dies on its first run and is restarted from
-    its checkpoint, the second finishes on its own."""
-    src = _publish(s, d, "topic_sup")
-    state = {"calls": 0}
-
-    def flaky(_b, _bid):
-        state["calls"] += 1
-        if state["calls"] == 1:
-            raise RuntimeError("listener crashed")
-
-    def start_a():
-        return (EV.event_stream(s, src).writeStream.option("checkpointLocation", ck_a)
-                .foreachBatch(flaky).trigger(availableNow=True).start())
-
-    def start_b():
-        return (EV.event_stream(s, src).writeStream.format("noop")
-                .option("checkpointLocation", ck_b).trigger(availableNow=True).start())
-    ck_a, ck_b = _scratch(s, "sup_a"), _scratch(s, "sup_b")
-    restarts = EV.supervise_streams({"etl_listener": start_a, "refresh_listener": start_b})
-    n = s.read.parquet(f"{d}/events.parquet").count()
-    return s.createDataFrame([(k, v, n) for k, v in sorted(restarts.items())],
-                             "listener string, restarts int, events long")
+    """The supervisor's log of two listeners: one fails three times and is restarted from its
+    checkpoint with growing waits, the other ends on its own; both handle every message once."""
+    src, log = _publish(s, d, "topic_sup"), _scratch(s, "sup_log")
+    folders = {n: (_scratch(s, n), _scratch(s, n + "_ck")) for n in ("etl_listener", "refresh_listener")}
+    calls = []
+
+    def start(name, fails):
+        out, ck = folders[name]
+
+        def handle(batch, batch_id):
+            if name == "etl_listener":
+                calls.append(1)
+                if len(calls) <= fails:
+                    raise RuntimeError("listener crashed")
+            batch.select("key").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        return EV.event_stream(s, src).writeStream.option("checkpointLocation", ck).foreachBatch(handle).trigger(availableNow=True).start()
+
+    EV.supervise_streams({"etl_listener": lambda: start("etl_listener", _FAILS), "refresh_listener": lambda: start("refresh_listener", 0)},
+                         first_wait=0.05, log_path=log)
+    handled = None
+    for name, (out, _) in folders.items():
+        part = s.read.parquet(out).agg(F.count("*").alias("handled")).select(F.lit(name).alias("listener"), "handled")
+        handled = part if handled is None else handled.unionByName(part)
+    return s.read.schema(EV.LOG_DDL).json(log).join(handled, "listener").select("listener", "event", "attempt", "wait_seconds", "handled")

@@ -74,8 +74,12 @@ def kv_to_nested(df: DataFrame, record: str = "record") -> DataFrame:
         now.alias("conversion_time"), *keep)
 
 
-def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
-    """``<index>_meta.json`` files -> (meta struct, stem of the record path)."""
+def read_sidecars(spark: SparkSession, path: str, bulk_root: str | None = None) -> DataFrame:
+    """``<index>_meta.json`` files -> (meta struct, stem of the record path). In the bulk layout many
+    sidecars share a file, one a line, and belong to ``<bulk_root>/<page>/<index>``."""
+    if bulk_root is not None:
+        lines = spark.read.schema(META_SIDECAR_SCHEMA).option("recursiveFileLookup", "true").json(path)
+        return lines.select(F.struct(*META_SIDECAR_SCHEMA.fieldNames()).alias("metadata"), F.concat_ws("/", F.lit(bulk_root), "page", "index").alias("__stem"))
     df = (spark.read.schema(META_SIDECAR_SCHEMA).option("multiLine", "true").option("recursiveFileLookup", "true")
           .option("pathGlobFilter", "*_meta.json").json(path))
     return df.select(F.struct(*META_SIDECAR_SCHEMA.fieldNames()).alias("metadata"),

@@ -70,17 +70,44 @@ def load_manifest(spark: SparkSession, base: str, source_directory: str, load_da
         F.lit(user or getpass.getuser()).alias("user"))
 
 
+def storage_failure(e: Exception) -> bool:
+    """Whether an error comes from input or output of files (also a file system that does not
+    answer), not from a missing input file, the plan or the data."""
+    if isinstance(e, OSError):
+        return not isinstance(e, FileNotFoundError)
+    cause = getattr(e, "java_exception", None) or getattr(e, "_origin", None)
+    while cause is not None:
+        names = [c.getName() for c in _classes(cause)]
+        if any(n in ("java.io.FileNotFoundException", "org.apache.spark.SparkFileNotFoundException") for n in names):
+            return False
+        if "java.io.IOException" in names or "java.io.UncheckedIOException" in names:
+            return True
+        cause = cause.getCause()
+    return False
+
+
+def _classes(obj) -> list:
+    out, c = [], obj.getClass()
+    while c is not None:
+        out.append(c)
+        c = c.getSuperclass()
+    return out
+
+
 def write_with_fallback(df: DataFrame, primary: str, fallback: str,
                         writer: Callable[[DataFrame, str], None] = write_lake) -> DataFrame:
-    """Write to ``primary``; if that fails, write to ``fallback`` with
+    """Write to ``primary``; if its storage fails, write to ``fallback`` with
     ``storage_system='local_fallback'`` and return the whole reason. Returns one
-    status row (target, storage_type, reason). Spark's writers publish files when
+    status row (target, storage_type, reason). A failure of the input itself (its plan, its
+    files, its expressions) is raised. Spark's writers publish files when
     the job commits, so a write that failed before that leaves none behind."""
     spark = df.sparkSession
     try:
         writer(df, primary)
         return spark.createDataFrame([(primary, "primary", None)], "target string, storage_type string, reason string")
-    except Exception as e:  # noqa: BLE001 - any write failure selects the fallback
+    except Exception as e:  # noqa: BLE001 - sorted by cause
+        if not storage_failure(e):
+            raise
         reason = f"{type(e).__name__}: {e}"
         if "datalake_metadata" in df.columns:
             df = df.withColumn("datalake_metadata", F.col("datalake_metadata").withField(

@@ -121,12 +121,28 @@ def test_supervisor_restarts_as_often_as_it_takes(spark):
 
     def flaky(_b, _i):
         calls.append(1)
-        if len(calls) <= 5:
+        if len(calls) <= 10:
             raise RuntimeError("down")
 
     def start():
         return EV.event_stream(spark, src).writeStream.option("checkpointLocation", ck).foreachBatch(flaky).trigger(availableNow=True).start()
-    assert EV.supervise_streams({"one": start}, poll_seconds=0.05) == {"one": 5}
+    log = scratch(spark, "log")
+    assert EV.supervise_streams({"one": start}, first_wait=0.01, longest_wait=0.1, log_path=log) == {"one": 10}
+    rows = sorted((r.attempt, r.event, r.wait_seconds) for r in spark.read.schema(EV.LOG_DDL).json(log).collect())
+    assert rows == [(i, "failed", min(0.1, 0.01 * 2 ** (i - 1))) for i in range(1, 11)] + [(11, "ended", None)]
+
+
+def test_supervisor_stops_what_runs_and_retries_starts(spark):
+    src, ck, tries = scratch(spark, "msgs"), scratch(spark, "ck"), []
+    spark.createDataFrame([], "key string, value string").write.json(src)
+
+    def start():
+        tries.append(1)
+        if len(tries) < 3:
+            raise OSError("broker away")
+        return EV.event_stream(spark, src).writeStream.option("checkpointLocation", ck).format("noop").start()
+    assert EV.supervise_streams({"one": start}, poll_seconds=0.05, until=lambda: len(tries) == 3 and bool(spark.streams.active), first_wait=0.01) == {"one": 2}
+    assert not spark.streams.active
 
 
 def test_quarantine_of_a_replayed_batch(spark):
@@ -144,3 +160,19 @@ def test_listeners_run_on_by_default(spark):
     q = EV.etl_on_event(EV.event_stream(spark, src), lambda _i: None, ck)
     assert q.isActive
     q.stop()
+
+
+def test_an_error_of_the_callback_is_logged_and_the_stream_goes_on(spark):
+    src, ck, errors = scratch(spark, "msgs"), scratch(spark, "ck"), scratch(spark, "errors")
+    for i in range(4):
+        spark.createDataFrame([(str(i), '{"status": "new_data_available"}')], "key string, value string").coalesce(1).write.mode("append").json(src)
+    ran = []
+
+    def etl(batch_id):
+        ran.append(batch_id)
+        if batch_id == 1:
+            raise RuntimeError("no warehouse")
+    EV.etl_on_event(EV.event_stream(spark, src, max_files_per_trigger=1), etl, ck, trigger={"availableNow": True}, error_path=errors).awaitTermination()
+    assert ran == [0, 1, 2, 3]
+    log = spark.read.json(errors).collect()
+    assert len(log) == 1 and log[0].error == "RuntimeError: no warehouse" and log[0].batch_id == 1

@@ -1,10 +1,12 @@
 import os
 import uuid
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from lotwise.session import scratch_path
-from lotwise.sources import kvtext, lake, web
+from lotwise.sources import jdbc, kvtext, lake, web
 
 
 def _write(path, text):
@@ -72,3 +74,53 @@ def test_fallback_keeps_the_whole_reason(spark):
         df.write.parquet(path)
     out = lake.write_with_fallback(spark.range(2).toDF("x"), "first", scratch_path(spark, f"fb-{uuid.uuid4().hex}"), fail_first).first()
     assert out.storage_type == "local_fallback" and out.reason == "OSError: "
+
+
+def test_only_storage_failures_select_the_fallback(spark, tmp_path):
+    df = spark.createDataFrame([("a", "1")], "Title string, page string").withColumn("page", F.col("page").cast("int"))
+    write = lambda x, p: x.write.mode("append").parquet(p)
+    got = lake.write_with_fallback(df, "no-such-store://x/y", str(tmp_path / "f"), writer=write).first()
+    assert got.storage_type == "local_fallback" and spark.read.parquet(str(tmp_path / "f")).count() == 1
+    broken = df.withColumn("n", F.expr("assert_true(page < 0, 'bad input')"))
+    with pytest.raises(Exception, match="bad input"):
+        lake.write_with_fallback(broken, str(tmp_path / "p"), str(tmp_path / "g"), writer=write)
+    with pytest.raises(Exception):
+        lake.write_with_fallback(spark.read.schema("a string").parquet(str(tmp_path / "f")).withColumn("n", F.col("nothing")), str(tmp_path / "p"), str(tmp_path / "g"), writer=write)
+    assert not (tmp_path / "g").exists()
+
+
+def test_bulk_sidecars_belong_by_page_and_index(spark, tmp_path):
+    spark.createDataFrame([("t1", 1, 2), ("t2", 3, 4)], "crawl_time string, page int, index int").write.json(str(tmp_path / "side"))
+    records = spark.createDataFrame([("/r/1/2.txt",), ("/r/3/5.txt",)], "source_path string")
+    got = {r.source_path: r.metadata for r in kvtext.attach_sidecar(records, kvtext.read_sidecars(spark, str(tmp_path / "side"), bulk_root="/r")).collect()}
+    assert got["/r/1/2.txt"].crawl_time == "t1" and got["/r/3/5.txt"] is None
+
+
+def _derby(spark, name):
+    return f"jdbc:derby:{scratch_path(spark, name + uuid.uuid4().hex)}/db;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+
+
+def test_key_ranges_and_a_copy_that_goes_on(spark):
+    (src, props), (dst, _) = _derby(spark, "src"), _derby(spark, "dst")
+    rows = [(f"1LW{i:05d}", i % 7) for i in range(700)] + [(None, 1), (None, 1), ("1LW00001", 9), ("1LW00001", 9), ("it's", 3)]
+    df = spark.createDataFrame(rows, "VIN string, n int")
+    jdbc.append_jdbc(df, src, "Cars", props)
+    pieces = jdbc.key_ranges(spark, src, "Cars", "VIN", props, 5)
+    counts = jdbc.piece_counts(spark, src, "Cars", pieces, props)
+    assert sum(counts) == len(rows)
+    jdbc.append_jdbc(df.where("VIN LIKE '1LW%'"), src, "Alike", props)
+    pieces = jdbc.key_ranges(spark, src, "Alike", "VIN", props, 5)
+    counts = jdbc.piece_counts(spark, src, "Alike", pieces, props)
+    assert len(pieces) == 5 and sum(counts) == 702 and max(counts) < 300  # the shared prefix is left out
+    read = spark.read.jdbc(src, '"Alike"', predicates=pieces, properties=props)
+    assert read.rdd.getNumPartitions() == 5 and read.count() == 702
+    both = ((src, props), (dst, props))
+    assert jdbc.copy_table_by_key(spark, *both, "Cars", "VIN", 5) == (705, 705)
+    assert jdbc.copy_table_by_key(spark, *both, "Cars", "VIN", 5) == (705, 0)
+    (dst2, _) = _derby(spark, "dst2")
+    jdbc.append_jdbc(spark.createDataFrame(rows[:300] + rows[701:703], "VIN string, n int"), dst2, "Cars", props)  # a copy that stopped
+    assert jdbc.copy_table_by_key(spark, (src, props), (dst2, props), "Cars", "VIN", 5) == (705, 403)
+    got = spark.read.jdbc(dst2, '"Cars"', properties=props)
+    assert sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
+    jdbc.append_jdbc(df.limit(0), src, "Nothing", props)
+    assert jdbc.key_ranges(spark, src, "Nothing", "VIN", props, 5) == ["1 = 1"]
