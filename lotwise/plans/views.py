@@ -75,6 +75,11 @@ def raw_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    # A small input of one or two Parquet row groups would leave the derivation, which is the
+    # work, to as many tasks; its narrow rows are dealt over all cores first. A large input has splits enough.
+    cores = spark.sparkContext.defaultParallelism
+    if li.rdd.getNumPartitions() < cores:
+        li = li.repartition(cores)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
