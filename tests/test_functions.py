@@ -37,7 +37,7 @@ def test_price_bins_boundaries(spark):
 
 
 def test_price_text(spark):
-    assert one(spark, L.price_numeric, ["$15,152", "$ 20000", "No Cash Price", None]) == [15152.0, 20000.0, None, None]
+    assert one(spark, L.price_numeric, ["$31,407", "$ 20000", "No Cash Price", None]) == [31407.0, 20000.0, None, None]
     assert one(spark, L.format_price, ["$1234", "", None, "Call us"]) == ["$1,234.00", "N/A", "N/A", "Call us"]
     assert one(spark, L.clean_price, ["", "$9.5", None]) == [0.0, 9.5, 0.0]
 
