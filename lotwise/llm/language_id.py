@@ -39,8 +39,8 @@ WRONG_SHARE = 0.01
 #: (run, language) entries of the model that are broadcast at once; a larger model is split
 #: into blocks, each scored in a pass of its own.
 BLOCK_ENTRIES = 2_000_000
-#: Distinct runs a task holds before it sends its counts on.
-HELD = 400_000
+#: Distinct runs a task holds before it sends its counts on, and bytes of text it works on at a time.
+HELD, PIECE = 200_000, 1 << 18
 UNKNOWN = "und"
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BLANK = 32
@@ -132,7 +132,7 @@ def count_runs(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
         for b in batches:
             langs = np.array(b.column(0).to_pylist(), object)
-            for lo, part in pieces(filled(b.column(1))):
+            for lo, part in pieces(filled(b.column(1)), PIECE):
                 r = runs_of(part, order)
                 here = langs[lo:lo + len(part)]
                 for lang in sorted(set(here.tolist())):
@@ -272,7 +272,7 @@ def _sums(block: Block, col: pa.Array, order: int) -> tuple[np.ndarray, np.ndarr
     """(rows, languages) sums of log p over the block's characters, and the rows' numbers of characters."""
     total = np.zeros((len(col), len(block.languages)))
     size = np.zeros(len(col), np.int64)
-    for lo, part in pieces(col):
+    for lo, part in pieces(col, PIECE):
         r = runs_of(part, order)
         size[lo:lo + len(part)] = np.bincount(r.row, minlength=len(part))
         at, row = r.at, r.row
@@ -409,7 +409,6 @@ def identify_languages(docs: DataFrame, order: int = ORDER, calibration_rows: in
     aside = F.floor(fold / 4) % CALIBRATION_SHARE == 0
     model = train(learn.where(~aside), order)
     rows = base.select("doc_id", F.coalesce(fold % 4 == 2, F.lit(False)).alias("held_out"), "text")
-    schema = "doc_id bigint, held_out boolean, lang_pred string, score double, rejected boolean, cross_entropy double"
     if model.where("order = 0").isEmpty():
         return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"),
                            F.lit(None).cast("double").alias("cross_entropy"))
@@ -427,17 +426,19 @@ def identify_languages(docs: DataFrame, order: int = ORDER, calibration_rows: in
     fitted = calibrate(entropy, size, np.array([place[r.lang] for r in got], np.int64), wrong_share)
     scored, _ = cross_entropies(rows, model, order, block_entries)
 
-    def decide(batches):
-        for b in batches:
-            size = np.maximum(np.asarray(b.column(3), float), 1.0)
-            entropy = -np.asarray(b.column(2).flatten(), float).reshape(len(b), len(languages)) / size[:, None]
-            best, x = _features(entropy, size, fitted.usual)
-            p = sigmoid(np.column_stack([(x - fitted.centre) / fitted.scale, np.ones(len(x))]) @ fitted.weights)
-            ok = np.asarray(b.column(4).to_numpy(zero_copy_only=False), bool)
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": b.column(0), "held_out": b.column(1),
-                "lang_pred": pa.array([languages[j] if o else UNKNOWN for j, o in zip(best, ok)], pa.string()),
-                "score": pa.array(np.where(ok, p, 0.0)), "rejected": pa.array(~ok | (p < fitted.threshold)),
-                "cross_entropy": pa.array(entropy[np.arange(len(b)), best], mask=~ok)})
-
-    return scored.select("doc_id", "held_out", "__sums", "__size", "__letters").mapInArrow(decide, schema)
+    # Decisions are plain columns over the sums, so texts pass through Python once.
+    size = F.greatest(F.col("__size"), F.lit(1)).cast("double")
+    scored = scored.withColumn("__entropy", F.transform("__sums", lambda x: -x / size))
+    scored = scored.withColumn("__sorted", F.array_sort("__entropy"))
+    first, second = F.col("__sorted")[0], F.col("__sorted")[min(1, len(languages) - 1)]
+    place = F.array_position("__entropy", first).cast("int")  # ties: the smaller name
+    margin, pick = second - first, lambda values: F.element_at(F.array(*[F.lit(x) for x in values]), place)
+    x = [margin, F.log1p(margin * size), first - pick([float(u) for u in fitted.usual]), F.log1p(size)]
+    z = F.lit(float(fitted.weights[-1]))
+    for value, w, c, d in zip(x, fitted.weights, fitted.centre, fitted.scale):
+        z = z + F.lit(float(w)) * (value - F.lit(float(c))) / F.lit(float(d))
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(z, F.lit(35.0)), F.lit(-35.0))))
+    ok = F.col("__letters")
+    return scored.withColumn("__p", p).select(
+        "doc_id", "held_out", F.when(ok, pick(languages)).otherwise(F.lit(UNKNOWN)).alias("lang_pred"), F.when(ok, F.col("__p")).otherwise(F.lit(0.0)).alias("score"),
+        (~ok | (F.col("__p") < F.lit(float(fitted.threshold)))).alias("rejected"), F.when(ok, first).alias("cross_entropy"))
