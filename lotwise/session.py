@@ -39,6 +39,23 @@ def get_spark(master: str | None = None, app: str = "lotwise",
     return spark
 
 
+def ship_package(spark: SparkSession) -> str:
+    """Send this package to the executors as a zip, for clusters whose workers do not have it on
+    their path; returns the zip's path on the driver."""
+    import zipfile
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="lotwise-ship-"), "lotwise.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("lotwise", os.path.relpath(full, root)))
+    spark.sparkContext.addPyFile(path)
+    return path
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 

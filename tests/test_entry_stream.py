@@ -31,3 +31,11 @@ def test_one_refresh_for_a_batch_of_messages(spark):
     EV.refresh_on_event(EV.event_stream(spark, src), lambda bid: calls.append(bid), ck,
                         trigger={"availableNow": True}).awaitTermination()
     assert len(calls) == 1
+
+
+def test_the_package_can_be_shipped(spark):
+    import zipfile
+
+    from lotwise.session import ship_package
+    names = zipfile.ZipFile(ship_package(spark)).namelist()
+    assert "lotwise/__init__.py" in names and "lotwise/operators/knn.py" in names
