@@ -1,21 +1,24 @@
 """Mixing sources to target weights: iterative proportional fitting, then sampling.
 
 Token counts are added up to one row per (source, language, topic) cell. The
-cell weights are raked until their sums along each dimension meet the target
-marginals; a document of a cell is then kept with the probability that gives
-the cell its weight in a sample of the wished size. All of it is DataFrame
+cell weights are raked until the expected sample, in which no cell can give more
+than it holds, meets the target marginals along each dimension: cells taken whole
+count with their tokens and the others are raked on. A document of a cell is kept
+with the probability that gives the cell its weight. All of it is DataFrame
 operations; the random number of a document is a hash of its id.
 """
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import materialise
 
-ROUNDS = 8
+#: Raking ends when a round finds no marginal off by more than TOLERANCE of the
+#: sample, looked at after every STEP rounds; targets that no weights meet end it after ROUNDS.
+ROUNDS, STEP, TOLERANCE = 96, 4, 1e-4
 #: Share of all tokens to keep, and the powers of the observed shares that give the target marginals.
 KEEP = 0.5
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
@@ -48,48 +51,22 @@ def _with_cell(docs: DataFrame, source_col: str, lang_col: str, text_col: str, t
 _DIMS = {"source": "__source", "lang": "__lang", "topic": "__topic_key"}
 
 
-def _targets(cells: DataFrame, dim: str, given: Mapping[str, float] | None, power: float) -> DataFrame:
-    """(key, share) adding up to 1: the given weights (values without one get none), else tempered observed shares."""
-    seen = cells.groupBy(_DIMS[dim]).agg(F.sum("n").alias("n"))
-    if given is not None:
-        pairs = F.create_map(*[x for k, v in given.items() for x in (F.lit("" if k is None else f"={k}"), F.lit(float(v)))]) if given else F.create_map()
-        raw = seen.select(_DIMS[dim], F.coalesce(F.element_at(pairs.cast("map<string,double>"), F.col(_DIMS[dim])), F.lit(0.0)).alias("raw"))
+def _wishes(cells: DataFrame, dim: str, given: Mapping[str, float] | None, power: float) -> DataFrame:
+    """(key, n, w): a value's tokens, and its given weight (values without one get none), else its tempered tokens."""
+    key = _DIMS[dim]
+    seen = cells.groupBy(key).agg(F.sum("n").alias("n"))
+    if given is None:
+        wish = F.pow(F.col("n").cast("double"), F.lit(power))
     else:
-        raw = seen.select(_DIMS[dim], F.pow(F.col("n").cast("double"), F.lit(power)).alias("raw"))
-    total = raw.agg(F.sum("raw").alias("total"))
-    return materialise(raw.crossJoin(F.broadcast(total)).select(_DIMS[dim], F.when(F.col("total") > 0, F.col("raw") / F.col("total")).otherwise(0.0).alias("share")))
+        pairs = F.create_map(*[x for k, v in given.items() for x in (F.lit("" if k is None else f"={k}"), F.lit(float(v)))]) if given else F.create_map()
+        wish = F.coalesce(F.element_at(pairs.cast("map<string,double>"), F.col(key)), F.lit(0.0))
+    return materialise(seen.select(key, "n", wish.alias("w")))
 
 
-def rake(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, temper: Mapping[str, float] = TEMPER, rounds: int = ROUNDS,
-         keep: float = KEEP, source_col: str = "source", lang_col: str = "lang", text_col: str = "text", topic: Column | None = None) -> DataFrame:
-    """One row per cell: keys, n (tokens), docs, w (raked weight, all adding up to
-    1 where the targets can be met), p (probability of keeping a document).
-
-    The cells are the product of three short lists and are pre-aggregated before
-    any shuffle, so a source with a third of all rows is a few rows here. In each
-    round every dimension is scaled to its target in turn and the cells are
-    written and reread, which keeps each plan at one aggregate and one join. ``p`` is min(1, c * w / n) with c chosen so that the expected
-    tokens are ``keep`` of all; cells that cannot supply their weight are taken whole
-    and the rest is scaled up.
-    """
-    keys = list(_DIMS.values())
-    cells = materialise(_with_cell(docs, source_col, lang_col, text_col, topic).groupBy(*keys)
-                        .agg(F.sum("__n").alias("n"), F.count("*").alias("docs")).withColumn("w", F.col("n").cast("double")))
-    want = {d: _targets(cells, d, (targets or {}).get(d), temper.get(d, 1.0)) for d in _DIMS}
-    for _ in range(rounds):
-        for dim, key in _DIMS.items():
-            now = cells.groupBy(key).agg(F.sum("w").alias("now")).join(want[dim], key)
-            cells = materialise(cells.join(now, key).withColumn("w", F.when(F.col("now") > 0, F.col("w") * F.col("share") / F.col("now")).otherwise(0.0))
-                                .select(*keys, "n", "docs", "w"))
-    c = _scale(cells, keep)
-    p = F.when((F.col("n") > 0) & (F.col("w") > 0), F.least(F.lit(1.0), F.lit(c) * F.col("w") / F.col("n"))).otherwise(0.0)
-    return materialise(cells.withColumn("p", p))
-
-
-def _scale(cells: DataFrame, keep: float) -> float:
-    """c with sum(min(n, c * w)) = keep * sum(n). The cells taken whole only grow
-    from step to step; each step is one aggregate row."""
-    live = cells.where("w > 0 AND n > 0")
+def _level(rows: DataFrame, amount: float) -> float:
+    """c with sum(min(n, c * w)) = ``amount``, or one that takes all. The rows taken
+    whole only grow from step to step; each step is one aggregate row."""
+    live = rows.where("w > 0 AND n > 0")
     c, last = 0.0, -1
     while True:
         whole = F.lit(c) * F.col("w") >= F.col("n")
@@ -97,8 +74,71 @@ def _scale(cells: DataFrame, keep: float) -> float:
                      F.sum(whole.cast("int")).alias("count")).first()
         if r["count"] is None or r["count"] == last or not r["free"]:
             return c
-        total = cells.agg(F.sum("n").cast("double")).first()[0]
-        c, last = max(0.0, keep * total - r["taken"]) / r["free"], r["count"]
+        c, last = max(0.0, amount - r["taken"]) / r["free"], r["count"]
+
+
+def rake(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, temper: Mapping[str, float] = TEMPER, rounds: int = ROUNDS,
+         keep: float = KEEP, source_col: str = "source", lang_col: str = "lang", text_col: str = "text", topic: Column | None = None) -> DataFrame:
+    """One row per cell: keys, n (tokens), docs, w (the cell's share of the expected
+    sample), p (probability of keeping a document, also the share of its tokens).
+
+    The sample has ``keep`` of all tokens, or what the values with a target hold if
+    that is less. A value that holds less than its target is taken whole and the
+    targets of its dimension's other values are scaled up. A round scales the
+    weights along each dimension in turn by target over min(n, weight) summed, so
+    cells that are taken whole leave their part to the others. Targets that exclude
+    each other end after ``rounds`` with the dimension raked last met;
+    ``marginals`` tells what was reached.
+
+    The cells are the product of three short lists and are pre-aggregated before any
+    shuffle, so a source with a third of all rows is a few rows here; sums along a
+    dimension are windows over cells, which keeps the plan of a round linear, and
+    every ``STEP`` rounds the cells are written and read again.
+    """
+    keys = list(_DIMS.values())
+    cells = materialise(_with_cell(docs, source_col, lang_col, text_col, topic).groupBy(*keys).agg(F.sum("__n").alias("n"), F.count("*").alias("docs")))
+    wishes = {d: _wishes(cells, d, (targets or {}).get(d), temper.get(d, 1.0)) for d in _DIMS}
+    total = cells.agg(F.sum("n").cast("double")).first()[0] or 0.0
+    amount = min([keep * total, *(w.where("w > 0").agg(F.sum("n").cast("double")).first()[0] or 0.0 for w in wishes.values())])
+    state = cells.withColumn("w", F.col("n") * F.lit(float(keep)))
+    for d, key in _DIMS.items():
+        want = F.least(F.col("n").cast("double"), F.lit(_level(wishes[d], amount)) * F.col("w"))
+        state = state.join(wishes[d].select(key, want.alias(f"want_{d}")), key)
+    state = materialise(state)
+    for _ in range(0, rounds if amount > 0 else 0, STEP):
+        for _ in range(STEP):
+            state = _round(state, amount)
+        state = materialise(state)
+        if state.agg(F.max("off")).first()[0] < TOLERANCE:
+            break
+    given = F.least(F.col("n").cast("double"), F.col("w"))
+    return materialise(state.select(*keys, "n", "docs", F.when(F.lit(amount > 0), given / F.lit(amount or 1.0)).otherwise(0.0).alias("w"),
+                                    F.when(F.col("n") > 0, given / F.col("n")).otherwise(0.0).alias("p")))
+
+
+def _round(state: DataFrame, amount: float) -> DataFrame:
+    """The cells after one round, and ``off``: how far a marginal was from its target, as a share of the sample."""
+    off = F.lit(0.0)
+    for d, key in _DIMS.items():
+        state = state.withColumn("now", F.sum(F.least(F.col("n").cast("double"), F.col("w"))).over(Window.partitionBy(key)))
+        state = state.withColumns({f"off_{d}": F.abs(F.col("now") - F.col(f"want_{d}")) / F.lit(amount),
+                                   "w": F.when(F.col("now") > 0, F.col("w") * F.col(f"want_{d}") / F.col("now")).otherwise(0.0)})
+        off = F.greatest(off, F.col(f"off_{d}"))
+    return state.withColumn("off", off).drop("now", *(f"off_{d}" for d in _DIMS))
+
+
+def marginals(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, temper: Mapping[str, float] = TEMPER) -> DataFrame:
+    """What ``rake`` reached: dimension, value (as a key), supply (share of all
+    tokens), target (as wished) and reached (share of the expected sample)."""
+    out = None
+    for d, key in _DIMS.items():
+        wish = _wishes(cells, d, (targets or {}).get(d), temper.get(d, 1.0))
+        total = wish.agg(F.sum("n").alias("all"), F.sum("w").alias("wished"))
+        own = cells.groupBy(key).agg(F.sum("w").alias("reached")).join(wish, key).crossJoin(F.broadcast(total)) \
+            .select(F.lit(d).alias("dimension"), F.col(key).alias("value"), (F.col("n") / F.col("all")).alias("supply"),
+                    (F.col("w") / F.col("wished")).alias("target"), "reached")
+        out = own if out is None else out.unionAll(own)
+    return out
 
 
 def uniform(id_col: Column) -> Column:
@@ -130,33 +170,38 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixture_sql(rounds: int = ROUNDS, keep: float = KEEP, temper: Mapping[str, float] = TEMPER) -> str:
-    """The same as DuckDB SQL over ``documents``."""
+    """The same as DuckDB SQL over ``documents``: the rounds are written out, and weights stay as they are once ``off`` was small enough."""
     dims = ["source", "lang", "topic"]
-    steps = []
-    last = "cells"
+    steps, last = [], "start"
     for i in range(rounds):
+        if i % STEP == 0:
+            steps.append(f"go{i // STEP} AS MATERIALIZED (SELECT max(off) >= {TOLERANCE} AS go FROM {last})")
+        still = f"(SELECT go FROM go{i // STEP})"
         for d in dims:
             name = f"r{i}_{d}"
-            steps.append(f"{name} AS MATERIALIZED (SELECT c.* REPLACE (CASE WHEN s.now > 0 THEN c.w * t.share / s.now ELSE 0 END AS w) FROM {last} c "
-                         f"JOIN (SELECT {d}, sum(w) AS now FROM {last} GROUP BY {d}) s ON c.{d} IS NOT DISTINCT FROM s.{d} JOIN t_{d} t ON c.{d} IS NOT DISTINCT FROM t.{d})")
+            was = "0.0" if d == "source" else "off"
+            steps.append(f"{name} AS MATERIALIZED (SELECT * EXCLUDE (now) REPLACE (CASE WHEN NOT {still} THEN w WHEN now > 0 THEN w * want_{d} / now ELSE 0 END AS w, "
+                         f"CASE WHEN NOT {still} THEN off ELSE greatest({was}, abs(now - want_{d}) / (SELECT amount FROM whole)) END AS off) "
+                         f"FROM (SELECT *, sum(least(n::DOUBLE, w)) OVER (PARTITION BY {d}) AS now FROM {last}))")
             last = name
-    target = ", ".join(
-        f"t_{d} AS MATERIALIZED (SELECT {d}, pow(sum(n)::DOUBLE, {temper[d]}) / sum(pow(sum(n)::DOUBLE, {temper[d]})) OVER () AS share FROM cells GROUP BY {d})" for d in dims)
+    wish = ", ".join(f"""
+wish_{d} AS MATERIALIZED (SELECT {d}, sum(n) AS n, pow(sum(n)::DOUBLE, {temper[d]}) AS w FROM cells GROUP BY {d}),
+level_{d} AS MATERIALIZED (SELECT max(c) AS c FROM (SELECT ((SELECT amount FROM whole) - coalesce(taken, 0)) / free AS c, r FROM (
+  SELECT w / n AS r, sum(n) OVER above AS taken, sum(w) OVER below AS free FROM wish_{d} WHERE n > 0
+  WINDOW above AS (ORDER BY w / n DESC, {d} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         below AS (ORDER BY w / n DESC, {d} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))) WHERE c * r < 1)""" for d in dims)
     return f"""
 WITH counted AS MATERIALIZED (
   SELECT doc_id, source, lang, text, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n_tokens FROM documents),
 named AS MATERIALIZED (
   SELECT doc_id, source, lang, n_tokens, CASE WHEN n_tokens = 0 THEN 'empty' WHEN contains(text, ' | ') THEN 'listing' WHEN contains(text, '!!') THEN 'shout'
     WHEN n_tokens < 64 THEN 'note' WHEN n_tokens < 512 THEN 'article' ELSE 'long' END AS topic FROM counted),
-cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::BIGINT AS n, sum(n_tokens)::DOUBLE AS w FROM named GROUP BY ALL),
-{target},
+cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::BIGINT AS n FROM named GROUP BY ALL),
+whole AS MATERIALIZED (SELECT {keep} * sum(n)::DOUBLE AS amount FROM cells),{wish},
+start AS MATERIALIZED (SELECT c.*, n * {keep}::DOUBLE AS w, 1.0::DOUBLE AS off, {", ".join(
+        f"(SELECT least(t.n::DOUBLE, (SELECT c FROM level_{d}) * t.w) FROM wish_{d} t WHERE t.{d} IS NOT DISTINCT FROM c.{d}) AS want_{d}" for d in dims)} FROM cells c),
 {", ".join(steps)},
-ranked AS (SELECT *, w / n AS r, sum(n) OVER above AS taken, sum(w) OVER below AS free FROM {last} WHERE n > 0 AND w > 0
-  WINDOW above AS (ORDER BY w / n DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
-         below AS (ORDER BY w / n DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
-scale AS (SELECT max(c) AS c FROM (
-  SELECT ({keep} * (SELECT sum(n) FROM cells) - coalesce(taken, 0)) / free AS c, r FROM ranked) WHERE c * r < 1),
-final AS (SELECT f.*, CASE WHEN n > 0 AND w > 0 THEN least(1.0, (SELECT c FROM scale) * w / n) ELSE 0 END AS p FROM {last} f)
-SELECT d.doc_id, d.source, d.lang, d.topic, d.n_tokens, round(f.w, 9) AS weight, round(f.p, 9) AS probability,
+final AS (SELECT *, least(n::DOUBLE, w) / (SELECT amount FROM whole) AS share, CASE WHEN n > 0 THEN least(n::DOUBLE, w) / n ELSE 0 END AS p FROM {last})
+SELECT d.doc_id, d.source, d.lang, d.topic, d.n_tokens, round(f.share, 9) AS weight, round(f.p, 9) AS probability,
   ('0x' || substr(md5('{SALT}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0 < f.p AS sampled
 FROM named d JOIN final f ON d.source IS NOT DISTINCT FROM f.source AND d.lang IS NOT DISTINCT FROM f.lang AND d.topic = f.topic"""
