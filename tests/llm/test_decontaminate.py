@@ -60,3 +60,21 @@ def test_empty_tables_and_null_ids(spark, case):
     d = spark.createDataFrame([(None, items[3][1])] * 2, "doc_id long, text string")
     assert find_leaks(d, spark.createDataFrame([], "item_id long, text string")).count() == 0
     assert find_leaks(d, q).count() == 4 and drop_leaks(d, q).count() == 0
+
+
+def test_items_of_one_and_two_shingles_are_never_missed(spark):
+    """A thousand five- and six-word items, each in the midst of a document of its own."""
+    items = [(i, " ".join(f"q{i}x{j}" for j in range(5 + i % 2))) for i in range(1000)]
+    docs = [(i, " ".join(f"d{i}y{j}" for j in range(i % 40)) + " " + q + " " + " ".join(f"d{i}z{j}" for j in range(60))) for i, q in items]
+    got = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(i, i) for i in range(1000)]
+
+
+def test_repeated_items_blocks_by_bytes_and_a_long_text(spark, case):
+    docs, items = case
+    many = items + [(None if i % 2 else 1000 + i, items[4][1]) for i in range(50)]
+    d = spark.createDataFrame(docs + [(950, "filler " * 300_000 + items[5][1])], "doc_id long, text string")
+    q = spark.createDataFrame(many, "item_id long, text string")
+    got = sorted(((r.doc_id, r.item_id, r.n_matched) for r in find_leaks(d, q, block_bytes=500).collect()), key=str)
+    one = brute(docs, items) | {(950, items[5][0], len(shingle_set(items[5][1])))}
+    assert got == sorted([x for x in one] + [(a, i, m) for a, q0, m in one if q0 == items[4][0] for i, _ in many[len(items):]], key=str)
