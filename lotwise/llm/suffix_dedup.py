@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blobs import bucket_count, deal, pack, runs, unpack
+from .blobs import BUCKETS_PER_PARTITION, bucket_count, deal, pack, runs, unpack
 from .parsing import GRAM, LENGTH, phrases
 from .tables import materialise
 from .text import byte_view, filled, mix64, pieces, prefix_sums, substring_hash
@@ -52,15 +52,20 @@ HELD = 1 << 20
 #: asks for and the places of phrases that one document holds more than once.
 ROW = "key int, kind int, payload binary, ask binary, more binary"
 RANGE, PARSE, PHRASE, RUN = range(4)
-_RANGE = [8, 5, 5]          # document, first start, last start
-_ASK = [3, 8, 5, 1]         # bucket of the trigger (_AS_RUNS: crowded), document, first start, starts - 1
+_RANGE = [8, 7, 7]          # document, first start, last start
+_ASK = [3, 8, 7, 1]         # bucket of the trigger (_AS_RUNS: crowded), document, first start, starts - 1
 _AS_RUNS = (1 << 24) - 1
-_MORE = [6, 8, 5, 1]        # phrase, document, first start, starts - 1, for phrases that one document holds more than once
-_PHRASE = [8, 5, 1]         # document, first start, starts - 1; the bytes follow
-_PARSE = [5, 6, 8, 5, 1, 1]  # trigger, phrase, document, first start, starts - 1, whether its strings went as runs
-_RUN = [6, 5, 8, 5]         # two hashes of LENGTH bytes, document, start
+_MORE = [6, 8, 7, 1]        # phrase, document, first start, starts - 1, for phrases that one document (one block of it) holds more than once
+_PHRASE = [8, 7, 1]         # document, first start, starts - 1; the bytes follow
+_PARSE = [5, 6, 8, 7, 1, 1]  # trigger, phrase, document, first start, starts - 1, whether its strings went as runs
+_RUN = [6, 5, 8, 7]         # two hashes of LENGTH bytes, document, start
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 _LAST = np.iinfo(np.int64).max  # stands for a NULL id
+#: The rows of one id are dealt over blocks: a place is block << BLOCK_BITS plus a place in
+#: the block. A block has about BLOCK_BYTES of an id's text, a group about GROUP_BYTES of all.
+BLOCK_BITS, BLOCK_BYTES, MOST_BLOCKS, GROUP_BYTES = 36, 1 << 24, 1 << 18, 1 << 25
+#: Copies of one row that one array stands for when they are written out again.
+COPIES = 1 << 16
 
 
 def _rows(found: list[tuple]) -> pa.RecordBatch:
@@ -70,8 +75,10 @@ def _rows(found: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["key", "kind", "payload", "ask", "more"])
 
 
-def _group(doc: np.ndarray, groups: int) -> np.ndarray:
-    return (mix64(doc.astype(np.int64).view(np.uint64)) % np.uint64(groups)).astype(np.int64)
+def _group(doc: np.ndarray, place: np.ndarray, groups: int) -> np.ndarray:
+    """The group of the text of document ``doc`` that holds ``place``."""
+    block = (place.astype(np.int64) >> BLOCK_BITS).view(np.uint64)
+    return (mix64(doc.astype(np.int64).view(np.uint64) + block * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(groups)).astype(np.int64)
 
 
 def _ranges(doc, a, b, groups: int) -> list[tuple[int, int, bytes]]:
@@ -82,7 +89,7 @@ def _ranges(doc, a, b, groups: int) -> list[tuple[int, int, bytes]]:
     doc, a, b = doc[order], a[order], b[order]
     first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (a[1:] > b[:-1] + 1)])
     doc, a, b = doc[first], a[first], np.maximum.reduceat(b, first)
-    return [(k, RANGE, p) for k, p in deal(_group(doc, groups), [doc, a, b], _RANGE)]
+    return [(k, RANGE, p) for k, p in deal(_group(doc, a, groups), [doc, a, b], _RANGE)]
 
 
 def _settle_runs(data: np.ndarray, at: np.ndarray, doc: np.ndarray, start: np.ndarray, length: int, groups: int) -> list[tuple[int, int, bytes]]:
@@ -218,7 +225,7 @@ def _settle_phrases(groups: int, crowd_all: int):
                 told.setdefault(k, [None] * 3)[0] = p
         for i, (name, widths) in enumerate((("ask", _ASK), ("more", _MORE)), 1):
             if r := held.take(name):
-                for k, p in deal(_group(r[1], groups), r, widths):
+                for k, p in deal(_group(r[1], r[2], groups), r, widths):
                     told.setdefault(k, [None] * 3)[i] = p
         return _rows([(k, RANGE, *t) for k, t in told.items()])
 
@@ -239,12 +246,13 @@ def _settle_phrases(groups: int, crowd_all: int):
             many = np.repeat(phrases_of > 1, phrases_of)
             held.add("range", doc[late], a[late], a[late] + span[late])
             marked = np.maximum.reduceat(sent, head[of]) > 0
-            ask = many & (sent[head] == 0)  # strings of a marked flush are runs already
-            first = head[ask]
-            to = np.where(np.repeat(marked | (phrases_of > crowd_all), phrases_of)[ask], _AS_RUNS, key[0])
-            held.add("ask", to, doc[first], a[first], span[first])
-            copies = np.add.reduceat((~late).astype(np.int64), head)
-            more = ~late & np.repeat(many & (copies > 1), size)
+            as_runs = np.repeat(np.repeat(marked | (phrases_of > crowd_all), phrases_of), size)
+            at = runs(trig, phr, doc, a >> BLOCK_BITS)  # each block of a phrase's smallest document is asked
+            copies = np.repeat(np.diff(np.r_[at, len(trig)]), np.diff(np.r_[at, len(trig)]))
+            own = ~late & np.repeat(many, size)
+            first = at[own[at] & (sent[at] == 0)]  # strings of a marked flush are runs already
+            held.add("ask", np.where(as_runs[first], _AS_RUNS, key[0]), doc[first], a[first], span[first])
+            more = own & (copies > 1)
             held.add("more", phr[more], doc[more], a[more], span[more])
             if held.size > HELD:
                 yield send(held)
@@ -299,10 +307,10 @@ def _unpack_phrases(payloads: list[bytes]):
 
 
 def _texts(table: pa.Table):
-    """(doc_id, base, bytes) of each text row of a group."""
+    """(doc_id, base, bytes, copies) of each text row of a group."""
     unzip = zstandard.ZstdDecompressor()
-    for d, base, z in zip(table["doc_id"].to_pylist(), table["base"].to_pylist(), table["payload"].to_pylist()):
-        yield d, base, np.frombuffer(unzip.decompress(z), np.uint8)
+    for d, base, n, z in zip(*(table[c].to_pylist() for c in ("doc_id", "base", "copies", "payload"))):
+        yield d, base, np.frombuffer(unzip.decompress(z), np.uint8), n
 
 
 def _of(doc: np.ndarray, a: np.ndarray, key: int, base: int, n: int) -> slice:
@@ -323,7 +331,7 @@ def _phrases(groups: int, length: int):
         order = np.lexsort((a, doc))
         to, doc, a, span = (x[order] for x in (to, doc, a, span))
         found = []
-        for d, base, buf in _texts(texts) if len(doc) else ():
+        for d, base, buf, _ in _texts(texts) if len(doc) else ():
             own = _of(doc, a, _key_or_last(d), base, len(buf))
             if own.stop > own.start:
                 data, *_ = _strings(buf, a[own] - base, span[own], length)
@@ -369,11 +377,11 @@ def _cut(length: int):
             return np.cumsum(edge[:n + 1]) > 0
 
         rows = []
-        for d, base, buf in _texts(texts):
+        for d, base, buf, copies in _texts(texts):
             key, n = _key_or_last(d), len(buf)
             lo, hi = int(np.searchsorted(doc, key, "left")), int(np.searchsorted(doc, key, "right"))
             if lo == hi:
-                rows.append((d, n, 0, 0, hashlib.sha256(buf).hexdigest()))
+                rows.append((d, n, 0, 0, hashlib.sha256(buf).hexdigest(), copies))
                 continue
             starts = repeated(lo, hi, base, n)[:n]
             mlo, mhi = np.searchsorted(mdoc, key, "left"), np.searchsorted(mdoc, key, "right")
@@ -387,30 +395,48 @@ def _cut(length: int):
             i = np.arange(1, n + 1)
             gone = count[i] > count[np.maximum(i - length, 0)]
             spans = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
-            rows.append((d, n, int(gone.sum()), spans, hashlib.sha256(buf[~gone].tobytes()).hexdigest()))
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-        types = [pa.int64()] * 4 + [pa.string()]
+            rows.append((d, n, int(gone.sum()), spans, hashlib.sha256(buf[~gone].tobytes()).hexdigest(), copies))
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "copies"]
+        types = [pa.int64()] * 4 + [pa.string(), pa.int64()]
         return pa.Table.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
     return run
 
 
-def _with_base(docs: DataFrame) -> DataFrame:
-    """(doc_id, base, text): texts that share an id are one document whose
-    strings lie one after another; base is where a text's places begin."""
-    again = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("__again"))
-    if again.isEmpty():
-        return docs.select("doc_id", F.lit(0).cast("bigint").alias("base"), "text")
-    h = F.xxhash64(F.coalesce("text", F.lit("")))
-    variants = docs.join(again, docs.doc_id.eqNullSafe(again["__again"]), "left_semi") \
-        .select(F.col("doc_id").alias("__id"), h.alias("__h"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("__size")).distinct()
-    before = Window.partitionBy("__id").orderBy("__h").rowsBetween(Window.unboundedPreceding, -1)
-    variants = variants.withColumn("base", F.coalesce(F.sum(F.col("__size") + 1).over(before), F.lit(0)))
-    return docs.join(variants, docs.doc_id.eqNullSafe(variants["__id"]) & (h == variants["__h"]), "left") \
-        .select("doc_id", F.coalesce("base", F.lit(0)).cast("bigint").alias("base"), "text")
+def _text_bytes(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def _with_base(docs: DataFrame, size: int, block_bytes: int) -> DataFrame:
+    """(doc_id, base, copies, text): equal rows are one row with their number.
+    Other texts that share an id are one document; each lies in a block that its
+    hash names, behind the others there, and base is where its places begin. So
+    an id that a third of all rows share is many groups."""
+    if docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return docs.select("doc_id", F.lit(0).cast("bigint").alias("base"), F.lit(1).cast("bigint").alias("copies"), "text")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", F.sha2(text, 256).alias("__h"), text.alias("text")).groupBy("doc_id", "__h").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    blocks = min(MOST_BLOCKS, 1 + size // block_bytes)
+    before = Window.partitionBy("doc_id", "__block").orderBy("__h").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("__block", F.pmod(F.xxhash64("__h"), F.lit(blocks)))
+    base = F.shiftleft(F.col("__block"), BLOCK_BITS) + F.coalesce(F.sum(F.octet_length("text").cast("bigint") + 1).over(before), F.lit(0))
+    return materialise(rows.select("doc_id", base.cast("bigint").alias("base"), "copies", "text"))
+
+
+def _each_copy(rows: DataFrame) -> DataFrame:
+    """A row as often as ``copies`` says."""
+    some = rows.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(copies - 1) div {COPIES}"))))
+    return some.withColumn("__one", F.explode(F.array_repeat(F.lit(0), F.least(F.lit(COPIES), F.col("copies") - F.col("__part") * COPIES).cast("int")))) \
+        .drop("copies", "__part", "__one")
+
+
+def _dealt(rows: DataFrame, parts: int):
+    """``rows`` by key, over more partitions than usual where there are more groups."""
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.repartition(parts, "key") if parts > usual else rows).groupBy("key")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, crowd_all: int = CROWD_ALL,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans (maximal removed
     runs), kept_sha256 (of the remaining UTF-8 bytes).
 
@@ -419,11 +445,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     judged on the input. NULL and empty texts have no bytes; a NULL id is larger
     than any other; rows that share an id are one document to each other (nothing
     goes because of them); other columns are not read; an empty table gives no
-    rows. Hashes that stand for strings have 80 bits or more together.
+    rows. Hashes that stand for strings have 80 bits or more together. The number of
+    groups follows the bytes of all texts, and an id's rows are dealt over blocks.
     """
-    groups = bucket_count(docs.sparkSession)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = _with_base(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+    slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    size = _text_bytes(slim)
+    groups = max(bucket_count(docs.sparkSession), -(-size // GROUP_BYTES))
+    parts = -(-groups // BUCKETS_PER_PARTITION)
+    base = _with_base(slim, size, block_bytes)
 
     def settle(rows, step):
         return rows.repartitionById(parts, F.col("key")).sortWithinPartitions("key", "kind").mapInArrow(step, ROW)
@@ -431,17 +460,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     def zipped(batches):
         z = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            ids = b.column(0).fill_null(_LAST).to_numpy(zero_copy_only=False)
+            ids, at = b.column(0).fill_null(_LAST).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_group(ids, groups).astype(np.int32)), b.column(0), b.column(1),
-                 pa.array([z.compress(t or b"") for t in b.column(2).to_pylist()], pa.binary())], names=["key", "doc_id", "base", "payload"])
+                [pa.array(_group(ids, at, groups).astype(np.int32)), b.column(0), b.column(1), b.column(2),
+                 pa.array([z.compress(t or b"") for t in b.column(3).to_pylist()], pa.binary())], names=["key", "doc_id", "base", "copies", "payload"])
 
-    parsed = base.mapInArrow(_parse(groups, length, gram, crowd), ROW)
+    parsed = base.select("doc_id", "base", "text").mapInArrow(_parse(groups, length, gram, crowd), ROW)
     first = materialise(settle(parsed, _settle_phrases(groups, crowd_all)))
-    texts = base.select("doc_id", "base", F.col("text").cast("binary")).mapInArrow(zipped, "key int, doc_id bigint, base bigint, payload binary")
+    texts = base.select("doc_id", "base", "copies", F.col("text").cast("binary")) \
+        .mapInArrow(zipped, "key int, doc_id bigint, base bigint, copies bigint, payload binary")
     asked = first.where("ask IS NOT NULL").select("key", "ask")
-    strings = texts.groupBy("key").cogroup(asked.groupBy("key")).applyInArrow(_phrases(groups, length), ROW)
+    strings = _dealt(texts, parts).cogroup(_dealt(asked, parts)).applyInArrow(_phrases(groups, length), ROW)
     second = settle(strings.unionAll(first.where(F.col("kind") == RUN)), _settle_strings(groups, length))
     settled = first.where((F.col("kind") == RANGE) & (F.col("payload").isNotNull() | F.col("more").isNotNull())).select("key", "payload", "more") \
         .unionAll(second.select("key", "payload", "more"))
-    return texts.groupBy("key").cogroup(settled.groupBy("key")).applyInArrow(_cut(length), SCHEMA)
+    return _each_copy(_dealt(texts, parts).cogroup(_dealt(settled, parts)).applyInArrow(_cut(length), SCHEMA + ", copies bigint"))
