@@ -19,6 +19,8 @@ from .tables import materialise
 #: Raking ends when a round finds no marginal off by more than TOLERANCE of the
 #: sample, looked at after every STEP rounds; targets that no weights meet end it after ROUNDS.
 ROUNDS, STEP, TOLERANCE = 96, 4, 1e-4
+#: So many cells (counted) are raked by one task, which needs no shuffle; more of them by windows over shuffled cells.
+ONE_TASK_CELLS = 100_000
 #: Share of all tokens to keep, and the powers of the observed shares that give the target marginals.
 KEEP = 0.5
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
@@ -93,22 +95,28 @@ def rake(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = No
     The cells are the product of three short lists and are pre-aggregated before any
     shuffle, so a source with a third of all rows is a few rows here; sums along a
     dimension are windows over cells, which keeps the plan of a round linear, and
-    every ``STEP`` rounds the cells are written and read again.
+    every ``STEP`` rounds the cells are written and read again. Up to
+    ``ONE_TASK_CELLS`` cells are raked in one task, with equal results.
     """
     keys = list(_DIMS.values())
     cells = materialise(_with_cell(docs, source_col, lang_col, text_col, topic).groupBy(*keys).agg(F.sum("__n").alias("n"), F.count("*").alias("docs")))
     wishes = {d: _wishes(cells, d, (targets or {}).get(d), temper.get(d, 1.0)) for d in _DIMS}
-    total = cells.agg(F.sum("n").cast("double")).first()[0] or 0.0
+    total, count = cells.agg(F.sum("n").cast("double"), F.count("*")).first()
+    total = total or 0.0
+
+    def near(df: DataFrame) -> DataFrame:
+        return df.coalesce(1) if count <= ONE_TASK_CELLS else df
+
     amount = min([keep * total, *(w.where("w > 0").agg(F.sum("n").cast("double")).first()[0] or 0.0 for w in wishes.values())])
     state = cells.withColumn("w", F.col("n") * F.lit(float(keep)))
     for d, key in _DIMS.items():
         want = F.least(F.col("n").cast("double"), F.lit(_level(wishes[d], amount)) * F.col("w"))
         state = state.join(wishes[d].select(key, want.alias(f"want_{d}")), key)
-    state = materialise(state)
+    state = near(materialise(near(state)))
     for _ in range(0, rounds if amount > 0 else 0, STEP):
         for _ in range(STEP):
             state = _round(state, amount)
-        state = materialise(state)
+        state = near(materialise(state))
         if state.agg(F.max("off")).first()[0] < TOLERANCE:
             break
     given = F.least(F.col("n").cast("double"), F.col("w"))

@@ -65,3 +65,11 @@ def test_long_text_and_clashing_columns(spark):
                                  "doc_id long, text string, source string, lang string, weight int")
     got = {r.doc_id: r for r in m.mixture(docs).collect()}
     assert got[1].n_tokens == 400_000 and got[1].topic == "long" and len(got) == 3 and got[None].probability == 0
+
+
+def test_many_cells_are_raked_by_shuffled_windows_with_equal_results(spark, monkeypatch):
+    rows = [(i, "w " * (10 + i % 90), f"s{i % 7}", "en" if i % 4 else "fr") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    one = sorted(tuple(r) for r in m.mixture(docs).collect())
+    monkeypatch.setattr(m, "ONE_TASK_CELLS", 0)
+    assert sorted(tuple(r) for r in m.mixture(docs).collect()) == one
