@@ -1,3 +1,4 @@
+import os
 import uuid
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from lotwise.operators import storage as ST
 from lotwise.operators import trigrams as TG
 from lotwise.operators.cleaning import require_columns
-from lotwise.operators.dedup import dedup_by_key, dedup_report
+from lotwise.operators.dedup import dedup_by_key, dedup_report, pack_texts, packed_row, unpack_texts
 from lotwise.operators.search import SearchCriteria, ilike_contains, search_listings, search_serving
 from lotwise.operators.transform import transform_listings
 from lotwise.operators.warehouse import incremental_load, listing_wide, read_warehouse, vertical_split
@@ -165,3 +166,27 @@ def test_trigram_index_reads_few_files_and_finds_the_same_rows(spark):
     assert read["CADILLAC"] < 0.4 and read["code1001"] < 0.3 and read["CADILLAC"] < read["bm"]
     TG.write_indexed(df.limit(0), root, ["title"], "title", 2)
     assert TG.search_indexed(spark, root, "title", "bmw").count() == 0
+
+
+def test_packed_texts_keep_values_and_order(spark):
+    values = [None, "", "\x00", "\x01", "\x02", "\x03", "a", "a\x00", "a\x00\x01", "\x01\x00", "\x00\x01\x02", "é", "\U0010ffff", "ab"]
+    rows = [(a, b) for a in values for b in values]
+    df = spark.createDataFrame(rows, "a string, b string").select("a", "b", pack_texts([F.col("a"), F.col("b")]).alias("p"))
+    got = df.orderBy("p").select("a", "b", unpack_texts(F.col("p"), 2).alias("back")).collect()
+    assert all([r.a, r.b] == r.back for r in got)
+    assert [(r.a, r.b) for r in got] == sorted(rows, key=lambda r: [(x is None, (x or "").encode()) for x in r])
+    odd = spark.range(1).select(pack_texts([F.expr("cast(X'ff41' AS string)"), F.lit("b")]).alias("p"))
+    assert odd.select(F.hex(unpack_texts(F.col("p"), 2)[0].cast("binary"))).first()[0] == "FF41"
+
+
+def test_dedup_shuffles_packed_rows(spark):
+    df = spark.range(4000).select((F.col("id") % 3000).cast("string").alias("VIN"), *[F.when(F.col("id") % (i + 2) > 0, F.concat(F.lit("v"), "id")).alias(f"c{i}") for i in range(16)])
+    rows = {}
+    for r in df.collect():
+        key = [(x is None, x or "") for x in r[1:]]
+        if r.VIN not in rows or key < rows[r.VIN][0]:
+            rows[r.VIN] = (key, tuple(r))
+    out = dedup_by_key(df)
+    assert {tuple(r) for r in out.collect()} == {v[1] for v in rows.values()} and out.count() == 3000
+    row = next(f.dataType for f in df.groupBy("VIN").agg(F.min(packed_row(df, "VIN")[0]).alias("r")).schema if f.name == "r")
+    assert row.fieldNames() == ["t0"]  # one text, no slot a column
