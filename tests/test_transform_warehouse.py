@@ -190,3 +190,22 @@ def test_dedup_shuffles_packed_rows(spark):
     assert {tuple(r) for r in out.collect()} == {v[1] for v in rows.values()} and out.count() == 3000
     row = next(f.dataType for f in df.groupBy("VIN").agg(F.min(packed_row(df, "VIN")[0]).alias("r")).schema if f.name == "r")
     assert row.fieldNames() == ["t0"]  # one text, no slot a column
+
+
+def test_load_moves_keys_only_and_leaves_no_copies(spark):
+    root = scratch_path(spark, f"load-{uuid.uuid4().hex}")
+    lst = transform_listings(raw_rows(spark, ROWS))
+    folder = os.path.dirname(root)
+
+    def kept():
+        return {n for n in os.listdir(folder.removeprefix("file:")) if n.startswith("cut-")} if os.path.isdir(folder.removeprefix("file:")) else set()
+
+    checkpoints = lambda: sum(len(d) for _, d, _ in os.walk(os.path.dirname(folder).removeprefix("file:")) if any(x.startswith("rdd-") for x in d))
+    before, rdds = kept(), checkpoints()
+    first = {r["table"]: r.rows_added for r in incremental_load(spark, lst, root, run_id=1).collect()}
+    second = {r["table"]: r.rows_added for r in incremental_load(spark, lst, root, run_id=2).collect()}
+    more = lst.unionByName(lst.where("VIN = 'V1'").withColumn("VIN", F.lit("V9")))
+    third = {r["table"]: r.rows_added for r in incremental_load(spark, more, root, run_id=3).collect()}
+    assert set(first.values()) == {4} and set(second.values()) == {0} and set(third.values()) == {1}
+    assert read_warehouse(spark, root)["car_info"].count() == 5
+    assert kept() == before and checkpoints() == rdds
