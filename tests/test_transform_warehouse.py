@@ -209,3 +209,8 @@ def test_load_moves_keys_only_and_leaves_no_copies(spark):
     assert set(first.values()) == {4} and set(second.values()) == {0} and set(third.values()) == {1}
     assert read_warehouse(spark, root)["car_info"].count() == 5
     assert kept() == before and checkpoints() == rdds
+
+
+def test_read_csv_reads_the_typed_cleaned_listings():
+    from lotwise.plans.catalog import ORACLE
+    assert ORACLE["read_csv"] == ORACLE["write_csv"] != ORACLE["read_raw_csv"]
