@@ -214,3 +214,8 @@ def test_load_moves_keys_only_and_leaves_no_copies(spark):
 def test_read_csv_reads_the_typed_cleaned_listings():
     from lotwise.plans.catalog import ORACLE
     assert ORACLE["read_csv"] == ORACLE["write_csv"] != ORACLE["read_raw_csv"]
+
+
+def test_searches_ask_for_every_hundredth_id():
+    from lotwise.plans.catalog import ORACLE
+    assert "a.vec_id % 100 = 0" in ORACLE["knn_join"] and "% 100 = 0" in ORACLE["knn_listings"]
