@@ -118,8 +118,8 @@ def histogram_by_group(df: DataFrame, group: str, value: str, bins: int = 30) ->
     group; the last bin is closed on the right. The global bounds are one
     aggregate row joined on a constant key (a one-row broadcast)."""
     v = _c(value).cast("double")
-    base = df.filter(v.isNotNull() & _c(group).isNotNull()).select(_c(group).alias("grp"), v.alias("v"),
-                                                                    F.lit(1).alias("__k"))
+    base = cut_lineage(df.filter(v.isNotNull() & _c(group).isNotNull()).select(_c(group).alias("grp"), v.alias("v"))) \
+        .withColumn("__k", F.lit(1))
     bounds = base.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).withColumn("__k", F.lit(1))
     j = base.join(F.broadcast(bounds), "__k")
     span = F.col("hi") - F.col("lo")
