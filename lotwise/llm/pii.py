@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,11 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import materialise
 from .text import filled
-from .trees import Boosted, boost
+from .trees import Boosted, apply_tree, boost_counted, coded, counted_cuts, decoded, frontier, histogram, quantile_cuts
 
-#: Documents and candidates used for fitting, at most (samples by hash when there are more).
-TRAIN_DOCS, TRAIN_CANDIDATES = 4_000, 20_000
+#: Different points (of as many bytes as there are features) up to which the driver grows the trees by itself.
+DRIVER_POINTS = 100_000
 #: A kind's threshold keeps at least this share of right spans on calibration rows, and is never below MIN_SCORE.
 PRECISION, MIN_SCORE = 0.98, 0.9
 KINDS = ["email", "ip", "card", "phone", "secret"]
@@ -116,7 +118,7 @@ def features(text: str, s: int, e: int, kind: str) -> list[float]:
             max(map(len, groups), default=0), span.count(" "), span.count("."), span.count("-"), span.count("(") + span.count(")"),
             float("+" in span), span.count("@"), span.count("="), float(bool(re.fullmatch(r"[0-9a-fA-F]+", span))),
             float(len(digits) > 1 and luhn(digits)), float(len(groups) == 4 and all(len(g) < 4 and int(g) <= 255 for g in groups)),
-            float(-(p * np.log2(p)).sum()), float(digits[:1] or 0), float(before[-1:] in ('"', "'") and bool(before)),
+            round(float(-(p * np.log2(p)).sum()) * 256) / 256, float(digits[:1] or 0), float(before[-1:] in ('"', "'") and bool(before)),
             float(after[:1].isalnum()), float(before[-1:].isalnum()), *(float(c in near) for c in _CUES)]
 
 
@@ -183,48 +185,158 @@ class SpanModel:
         return chosen
 
 
+CUTS, TREES, DEPTH = 48, 60, 4
+_POINT = "codes binary, y int, kind int, held boolean, n bigint"
+
+
+def _thresholds(kind: np.ndarray, score: np.ndarray, y: np.ndarray, n: np.ndarray) -> dict[str, float]:
+    """Of counted scores, for each kind half way between the lowest score down to which precision is at
+    least PRECISION and the next one."""
+    thresholds = {}
+    for i, k in enumerate(KINDS):
+        own = kind == i
+        s, at = np.unique(-score[own], return_inverse=True)
+        right, every = (np.bincount(at, w, len(s)) for w in (n[own] * y[own], n[own]))
+        good = np.flatnonzero(np.cumsum(right) >= PRECISION * np.cumsum(every))
+        last, below = (-s[good[-1]], -s[good[-1] + 1:][:1].sum()) if len(good) else (2.0, 2.0)
+        thresholds[k] = max(MIN_SCORE, float(last + below) / 2) if right.any() else 2.0
+    return thresholds
+
+
+def _scores(model: Boosted, x: np.ndarray) -> np.ndarray:
+    """Scores in steps of 1 / 10,000, which bounds what is counted of them."""
+    return np.round(model.predict(x), 4)
+
+
+def _local_sums(codes, y, n, grid):
+    """``sums`` for ``boost_counted`` over points at hand."""
+    x, state = decoded(codes, grid), {}
+
+    def sums(model, tree, level):
+        if not state:
+            state.update(z=np.full(len(x), model.start), done=0)
+        for t in model.trees[state["done"]:]:
+            state["z"] += model.rate * apply_tree(t, x)
+        state["done"] = len(model.trees)
+        return histogram(codes, x, y, n, state["z"], tree, level, CUTS + 2)
+
+    return sums
+
+
 def fit_spans(x: np.ndarray, y: np.ndarray, kinds: list[str]) -> SpanModel:
-    """Boost on two thirds of the rows and calibrate each kind's threshold on the
-    rest: half way between the lowest score down to which precision is at least
-    PRECISION and the next one."""
+    """Boost on two thirds of the rows at hand and calibrate each kind's threshold on the rest."""
     if not len(y):
         return SpanModel(Boosted(-30.0, 0.0, []), dict.fromkeys(KINDS, 2.0))
-    test = np.arange(len(y)) % 3 == 2
-    model = boost(x[~test], y[~test], n_trees=60, depth=4)
-    p, own = model.predict(x[test]), np.array(kinds)[test]
-    thresholds = {}
-    for k in KINDS:
-        s, t = p[own == k], y[test][own == k]
-        order = np.argsort(-s, kind="stable")
-        good = np.flatnonzero(np.cumsum(t[order]) >= PRECISION * np.arange(1, len(order) + 1))
-        last, below = (s[order][good[-1]], s[order][good[-1] + 1:][:1].sum()) if len(good) else (2.0, 2.0)
-        thresholds[k] = max(MIN_SCORE, float(last + below) / 2) if t.any() else 2.0
-    return SpanModel(model, thresholds)
-
-
-def train_spans(docs: DataFrame, max_docs: int = TRAIN_DOCS, max_rows: int = TRAIN_CANDIDATES, id_col: str = "doc_id",
-                text_col: str = "text") -> SpanModel:
-    """Fit on the candidates of at most ``max_docs`` documents that hold a digit
-    or ``@`` (those with the smallest hashes of their id), at most ``max_rows``
-    of them: the sampled ids are a bounded broadcast, and the driver receives
-    feature rows alone."""
-    base = docs.select(F.col(id_col).alias("__id"), F.xxhash64(F.col(id_col)).alias("__key"), F.col(text_col).cast("string").alias("text"))
-    some = base.where(F.col("text").rlike("[0-9@]") & F.col("__id").isNotNull())
-    sample = some.select("__key").distinct().orderBy("__key").limit(max_docs).withColumnRenamed("__key", "__pick")
-
-    def run(batches):
+    test, one = np.arange(len(y)) % 3 == 2, np.ones(len(y), np.int64)
+    grid = [quantile_cuts(x[~test, j], CUTS) for j in range(x.shape[1])]
+    model = boost_counted(_local_sums(coded(x[~test], grid), y[~test], one[~test], grid), grid, int((~test).sum()), int(y[~test].sum()), TREES, DEPTH)
+    return SpanModel(model, _thresholds(np.array([KINDS.index(k) for k in kinds])[test], _scores(model, x[test]), y[test], one[test]))
+
+
+def _counted(rows: dict, columns: list[str], types: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*(pa.array([r[i] for r in rows], k) for i, k in enumerate(types)), pa.array(list(rows.values()), pa.int64())],
+                                      names=[*columns, "n"])
+
+
+def _matrix(col: pa.Array, dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(col.to_pylist()), dtype).reshape(len(col), len(FEATURES))
+
+
+def _candidate_rows(batches):
+    """Counted (x, y, kind, held) of the candidates of a task's texts; a third, by a hash of document and place, is held out."""
+    for b in batches:
+        found = Counter()
+        for key, text in zip(b.column(0).to_pylist(), filled(b.column(1)).to_pylist()):
+            for i, (f, y, kind) in enumerate(training_rows(text, key % 97)):
+                found[np.array(f, float).tobytes(), y, KINDS.index(kind), (key + i) % 3 == 2] += 1
+        if found:
+            yield _counted(found, ["x", "y", "kind", "held"], [pa.binary(), pa.int32(), pa.int32(), pa.bool_()])
+
+
+def _value_rows(batches):
+    for b in batches:
+        x, n = _matrix(b.column("x"), float), b.column("n").to_numpy()
+        for j in range(x.shape[1]):
+            v, at = np.unique(x[:, j], return_inverse=True)
+            yield pa.RecordBatch.from_pydict({"feature": pa.array(np.full(len(v), j), pa.int32()), "v": v,
+                                              "n": pa.array(np.bincount(at, n, len(v)).astype(np.int64))})
+
+
+def _spark_sums(points: DataFrame, grid):
+    """``sums`` for ``boost_counted`` over a table of points: one pass a level of a tree. A task sends sums by
+    node, feature and code, and Spark adds them up."""
+    spark, width = points.sparkSession, CUTS + 2
+
+    def sums(model, tree, level):
+        shared = spark.sparkContext.broadcast((model, tree, grid))
+
+        def run(batches):
+            total, (model, tree, grid) = 0, shared.value
+            for b in batches:
+                codes = _matrix(b.column("codes"), np.uint8)
+                x = decoded(codes, grid)
+                total = total + histogram(codes, x, b.column("y").to_numpy(), b.column("n").to_numpy(), model.raw(x), tree, level, width)
+            if not isinstance(total, int):
+                at = np.flatnonzero(total[2])
+                yield pa.RecordBatch.from_pydict({"cell": at, **{c: total[i].ravel()[at] for i, c in enumerate("ghn")}})
+
+        got = points.select("codes", "y", "n").mapInArrow(run, "cell bigint, g bigint, h bigint, n bigint") \
+            .groupBy("cell").agg(*[F.sum(c).alias(c) for c in "ghn"]).toArrow()
+        out = np.zeros((3, len(frontier(tree, level)) * len(FEATURES) * width), np.int64)
+        for i, c in enumerate("ghn"):
+            out[i, got["cell"].to_numpy()] = got[c].to_numpy()
+        shared.destroy()
+        return out.reshape(3, -1, len(FEATURES), width)
+
+    return sums
+
+
+def train_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", driver_points: int = DRIVER_POINTS, trees: int = TREES) -> SpanModel:
+    """Fit on all candidates of all documents: boost on two thirds of them and calibrate each kind's threshold
+    on the rest.
+
+    Equal candidates are counted. Quantile cuts come from the counts of every feature's distinct values
+    (numbers of characters, mostly; entropies in steps of 1 / 256), and points are the codes between
+    cuts. Up to ``driver_points`` different points the driver grows the trees; of more, Spark sums the
+    histograms, a pass a level, to the same trees. Thresholds come from counted scores.
+    """
+    base = docs.select(F.xxhash64(F.col(id_col)).alias("__key"), F.col(text_col).cast("string").alias("text"))
+    cells = materialise(base.where(F.col("text").rlike("[0-9@]")).mapInArrow(_candidate_rows, "x binary, y int, kind int, held boolean, n bigint"))
+    counts = cells.where("NOT held").select("x", "n").mapInArrow(_value_rows, "feature int, v double, n bigint") \
+        .groupBy("feature", "v").agg(F.sum("n").alias("n")).orderBy("feature", "v").toArrow()
+    if not len(counts):
+        return fit_spans(np.empty((0, len(FEATURES))), np.empty(0), [])
+    feature, v, n = (counts[c].to_numpy() for c in ("feature", "v", "n"))
+    grid = [counted_cuts(v[feature == j], n[feature == j], CUTS) for j in range(len(FEATURES))]
+
+    def codes(batches):
+        for b in batches:
+            found = Counter()
+            for c, y, kind, held, m in zip(coded(_matrix(b.column("x"), float), grid), *(b.column(k).to_pylist() for k in ("y", "kind", "held", "n"))):
+                found[c.tobytes(), y, kind, held] += m
+            yield _counted(found, ["codes", "y", "kind", "held"], [pa.binary(), pa.int32(), pa.int32(), pa.bool_()])
+
+    point = ["codes", "y", "kind", "held"]
+    points = materialise(cells.mapInArrow(codes, _POINT).groupBy(*point).agg(F.sum("n").alias("n")))
+    fit = points.where("NOT held")
+    total = fit.agg(F.count("*").alias("points"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("y")).alias("positive")).first()
+    if total.points <= driver_points:  # measured
+        got = fit.select("codes", "y", "n").toArrow()
+        sums = _local_sums(_matrix(got["codes"], np.uint8), got["y"].to_numpy(), got["n"].to_numpy(), grid)
+    else:
+        sums = _spark_sums(fit, grid)
+    model = boost_counted(sums, grid, total.n, total.positive, trees, DEPTH)
+
+    def scored(batches):
         for b in batches:
-            out = [(f, y, k, key + i) for key, text in zip(b.column(0).to_pylist(), filled(b.column(1)).to_pylist())
-                   for i, (f, y, k) in enumerate(training_rows(text, key % 97))]
-            if out:
-                yield pa.RecordBatch.from_pydict({"x": pa.array([o[0] for o in out], pa.list_(pa.float64())), "y": pa.array([o[1] for o in out], pa.int32()),
-                                                  "kind": [o[2] for o in out], "n": pa.array([o[3] for o in out], pa.decimal128(38, 0))})
-
-    rows = some.join(F.broadcast(sample), F.col("__key") == F.col("__pick")).select("__key", "text") \
-        .mapInArrow(run, "x array<double>, y int, kind string, n decimal(38,0)")
-    got = rows.orderBy(F.xxhash64("n"), "n", "kind", "y").limit(max_rows).toPandas()
-    x = np.array(got["x"].tolist(), float).reshape(len(got), len(FEATURES))
-    return fit_spans(x, got["y"].to_numpy(float), got["kind"].tolist())
+            found = Counter()
+            p = _scores(model, decoded(_matrix(b.column("codes"), np.uint8), grid))
+            for k, s, y, m in zip(b.column("kind").to_pylist(), p.tolist(), b.column("y").to_pylist(), b.column("n").to_pylist()):
+                found[k, s, y] += m
+            yield _counted(found, ["kind", "s", "y"], [pa.int32(), pa.float64(), pa.int32()])
+
+    held = points.where("held").mapInArrow(scored, "kind int, s double, y int, n bigint").groupBy("kind", "s", "y").agg(F.sum("n").alias("n")).toArrow()
+    return SpanModel(model, _thresholds(*(held[c].to_numpy() for c in ("kind", "s", "y", "n"))))
 
 
 def _all_spans(text: str, model: SpanModel) -> tuple[list, list]:
