@@ -99,6 +99,20 @@ def test_signature_index_finds_the_nearest_by_bounds(n, dims, columns, values):
         assert pairs < 0.2 * n * 41
 
 
+def test_signature_index_compares_halves_of_the_codes():
+    """A query looks at far fewer signatures and candidates than there are points."""
+    rnd = np.random.default_rng(7)
+    v, c = rnd.normal(size=(20_000, 3)), rnd.integers(0, 9, size=(20_000, 6)).astype(np.int32)
+    index, seen = SignatureIndex(v, c, np.arange(20_000)), []
+    assert len(index.a.size) <= 729 and len(index.b.size) <= 729 and index.a.size.sum() == index.b.size.sum() == 20_000
+    within = index._within
+    index._within = lambda *a: seen.append(len((got := within(*a))[0])) or got
+    for i in range(0, 20_000, 1000):
+        d2 = ((v - v[i]) ** 2).sum(1) + 2.0 * (c != c[i]).sum(1)
+        assert list(index.search(v[i], c[i], 5)[0]) == list(np.argsort(d2, kind="stable")[:5])
+    assert sum(seen) < 0.1 * 20 * 20_000
+
+
 def test_knn_counts_the_pairs_it_evaluates(spark):
     rnd = np.random.default_rng(5)
     rows = [(i, [float(x) for x in rnd.normal(size=3)], [int(x) for x in rnd.integers(0, 9, size=6)]) for i in range(2000)]
