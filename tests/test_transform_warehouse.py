@@ -113,6 +113,24 @@ def _tables(spark, n=60):
     return vertical_split(transform_listings(raw_rows(spark, rows)))
 
 
+def test_tables_of_bucketed_listings_are_written_without_a_shuffle(spark):
+    """Listings stored in buckets by VIN deliver these buckets, one file each; NULL keys and odd texts come back."""
+    rows = [(f"V{i}", f"t \u00b7 {i}" if i % 3 else None) for i in range(50)] + [(None, "no key"), ("V1", "twice")]
+    df = spark.createDataFrame(rows, "`VIN` string, `Cash Price (USD)` string")
+    path = scratch_path(spark, "bucketed-" + uuid.uuid4().hex)
+    ST.write_bucketed(spark, df.repartition(7), path, 4)
+    back = ST.read_bucketed(spark, df.schema, path, 4)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect())) == sorted(map(str, spark.read.schema(df.schema).parquet(path).collect()))
+    assert len(spark.read.parquet(path).inputFiles()) == 4
+    with ST._buckets_kept(spark):
+        again = back.where("VIN IS NOT NULL").select("VIN").repartition(4, "VIN").sortWithinPartitions("VIN")
+        assert "Exchange" not in again._jdf.queryExecution().executedPlan().toString() and again.rdd.getNumPartitions() == 4
+    copy = scratch_path(spark, "bucketed-" + uuid.uuid4().hex)
+    ST.write_bucketed(spark, back.where("VIN IS NOT NULL"), copy, 4)
+    assert len(spark.read.parquet(copy).inputFiles()) <= 4 and spark.read.parquet(copy).count() == 51
+    assert spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") == "true"
+
+
 def test_serving_copy_joins_without_shuffle_and_pushes_filters(spark):
     root = scratch_path(spark, "serving-" + uuid.uuid4().hex)
     ST.write_serving(spark, _tables(spark), root, buckets=4)
