@@ -12,6 +12,7 @@ from lotwise.operators import knn
 from lotwise.operators import model as M
 from lotwise.operators.quantiles import exact_quantiles
 from lotwise.operators.signature_index import SignatureIndex
+from lotwise.operators.tile_search import TileIndex
 from lotwise.operators.selltime import weibull_scale, weibull_shape
 
 
@@ -113,6 +114,53 @@ def test_signature_index_compares_halves_of_the_codes():
     assert sum(seen) < 0.1 * 20 * 20_000
 
 
+@pytest.mark.parametrize("n,dims,columns,values,indicators", [(5000, 5, 9, 6, 512), (3000, 12, 0, 1, 512), (2000, 0, 5, 3, 512), (3000, 3, 4, 700, 32), (1, 2, 2, 2, 512), (2500, 2, 130, 3, 512)])
+def test_tile_search_finds_the_nearest(n, dims, columns, values, indicators):
+    rnd = np.random.default_rng(n)
+    v = np.round(rnd.normal(size=(n, dims)) * 3 + 1000, 1)  # many equal distances, far from 0
+    c = rnd.integers(-1, values, size=(n, columns)).astype(np.int32)
+    v[:n // 3], c[:n // 3] = v[0], c[0]
+    order, at = rnd.permutation(n), np.arange(0, n, max(1, n // 300))
+    codes = c[at].copy()
+    codes[:, :1] = np.where(at[:, None] % 2, 999, codes[:, :1])  # a code that no point has
+    d2 = ((v[at][:, None] - v[None]) ** 2).sum(-1) + np.where(codes[:, None] == c[None], 0, 2 - (codes[:, None] < 0) - (c[None] < 0)).sum(-1)
+    want = [np.lexsort((order, np.round(x, 9)))[:7].tolist() for x in d2]
+    index = TileIndex(v, c, order, tile=256, small=16, indicators=indicators)
+    q, p, d, _ = index.search(v[at], codes, 7)
+    for i in range(len(at)):
+        own = q == i
+        assert np.allclose(d[own] ** 2, d2[i][want[i]], atol=1e-9)
+        assert set(p[own][d[own] < d[own].max() - 1e-9]) == set(j for j in want[i] if np.sqrt(d2[i][j]) < d[own].max() - 1e-9)
+    limit = np.array([d[q == i].max() if i % 2 else 0.0 for i in range(len(at))])
+    q, p, d, _ = index.search(v[at], codes, 7, limit)
+    assert (d <= limit[q]).all() and all((q == i).sum() == min(7, n) for i in range(1, len(at), 2))
+
+
+def test_tile_search_rules_tiles_out():
+    rnd = np.random.default_rng(7)
+    v, c = rnd.normal(size=(20_000, 3)), rnd.integers(0, 4, size=(20_000, 6)).astype(np.int32)
+    q, p, d, pairs = TileIndex(v, c, np.arange(20_000)).search(v[:500], c[:500], 5)
+    for i in range(0, 500, 50):
+        d2 = ((v - v[i]) ** 2).sum(1) + 2.0 * (c != c[i]).sum(1)
+        assert list(p[q == i]) == list(np.argsort(d2, kind="stable")[:5])
+    assert pairs < 0.3 * 500 * 20_000
+
+
+@pytest.mark.parametrize("broadcast", [10 ** 6, 0])
+def test_knn_in_tiles_equals_one_by_one(spark, monkeypatch, broadcast):
+    rnd = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in np.round(rnd.normal(size=3), 1)], [int(x) for x in rnd.integers(-1, 5, size=4)]) for i in range(1500)]
+    rows.append((5000, [1e20, 0.0, 0.0], [0, 0, 0, 0]))
+    df = spark.createDataFrame(rows, "id long, vec array<double>, codes array<int>")
+    found = []
+    for few, cell in ((10 ** 6, 2000), (0, 300)):
+        for name, x in (("FEW", few), ("CELL", cell), ("BROADCAST_NUMBERS", broadcast), ("QUERIES", 400), ("BLOCK", 200)):
+            monkeypatch.setattr(knn, name, x)
+        asked, known = df.withColumnRenamed("id", "qid"), df.where("id < 5000").withColumnRenamed("id", "nid")
+        found.append(sorted((r.qid, r["rank"], r.nid, round(r.dist, 9)) for r in knn.knn_join(asked, known, 6, codes="codes").collect()))
+    assert found[0] == found[1] and len(found[0]) == 9006
+
+
 def test_knn_counts_the_pairs_it_evaluates(spark):
     rnd = np.random.default_rng(5)
     rows = [(i, [float(x) for x in rnd.normal(size=3)], [int(x) for x in rnd.integers(0, 9, size=6)]) for i in range(2000)]
