@@ -234,6 +234,10 @@ def test_read_csv_reads_the_typed_cleaned_listings():
     assert ORACLE["read_csv"] == ORACLE["write_csv"] != ORACLE["read_raw_csv"]
 
 
-def test_searches_ask_for_every_hundredth_id():
-    from lotwise.plans.catalog import ORACLE
-    assert "a.vec_id % 100 = 0" in ORACLE["knn_join"] and "% 100 = 0" in ORACLE["knn_listings"]
+def test_every_vector_asks_for_its_neighbours(spark, tmp_path):
+    from lotwise.plans.catalog import ORACLE, QUERIES
+    rows = [(i, [float(i % 7), float(i // 7)], 0) for i in range(1, 41)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = QUERIES["knn_join"](spark, str(tmp_path)).collect()
+    assert sorted({r.qid for r in got}) == list(range(1, 41)) and len(got) == 40 * 20
+    assert "% 100" not in ORACLE["knn_join"]
