@@ -241,3 +241,13 @@ def test_every_vector_asks_for_its_neighbours(spark, tmp_path):
     got = QUERIES["knn_join"](spark, str(tmp_path)).collect()
     assert sorted({r.qid for r in got}) == list(range(1, 41)) and len(got) == 40 * 20
     assert "% 100" not in ORACLE["knn_join"]
+
+
+def test_every_listing_asks_for_its_neighbours(spark, monkeypatch):
+    from lotwise.plans import queries_model
+    from lotwise.plans.catalog import ORACLE, QUERIES
+    rows = [(f"1LW{i:014d}", [float(i % 5), 0.5], [i % 3, i % 2]) for i in range(1, 31)]
+    monkeypatch.setattr(queries_model, "_encoded", lambda s, d: s.createDataFrame(rows, "VIN string, z array<double>, codes array<int>"))
+    got = QUERIES["knn_listings"](spark, "").collect()
+    assert {r.qid for r in got} == {r[0] for r in rows} and len(got) == 30 * 20
+    assert "% 100" not in ORACLE["knn_listings"]
