@@ -98,6 +98,7 @@ def conversion_summary(df: DataFrame) -> DataFrame:
                   F.count(F.lit(1)).alias("converted_files_count"))
 
 
-def write_json_by_page(df: DataFrame, out: str, mode: str = "overwrite") -> None:
-    """One output folder per page (``page=<n>``)."""
-    df.hint("rebalance", "page").write.mode(mode).partitionBy("page").json(out)
+def write_json_by_page(df: DataFrame, out: str, mode: str = "overwrite", compression: str | None = None, dealt: bool = False) -> None:
+    """One output folder per page (``page=<n>``); ``compression`` names a codec that readers know by the file's ending.
+    Rows are dealt by page first, unless they come ``dealt``."""
+    (df if dealt else df.hint("rebalance", "page")).write.mode(mode).partitionBy("page").json(out, compression=compression)
