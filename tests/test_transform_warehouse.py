@@ -251,3 +251,14 @@ def test_every_listing_asks_for_its_neighbours(spark, monkeypatch):
     got = QUERIES["knn_listings"](spark, "").collect()
     assert {r.qid for r in got} == {r[0] for r in rows} and len(got) == 30 * 20
     assert "% 100" not in ORACLE["knn_listings"]
+
+
+def test_warehouse_and_index_files_use_the_codec_of_stored_copies(spark, tmp_path):
+    from lotwise.operators.trigrams import search_indexed, write_indexed
+    from lotwise.operators.warehouse import _write_part
+    rows = spark.createDataFrame([(f"V{i}", f"2018 Mazda {i}") for i in range(50)], "VIN string, title string")
+    write_indexed(rows, f"{tmp_path}/indexed", ["title"], "title", 2)
+    assert _write_part(rows, f"{tmp_path}/part") == 50
+    files = [f for f in tmp_path.rglob("*.parquet") if not f.name.startswith(".")]
+    assert len(files) >= 3 and all(f.name.endswith(".zstd.parquet") for f in files)
+    assert search_indexed(spark, f"{tmp_path}/indexed", "title", "mazda 4").count() == 11
